@@ -183,3 +183,24 @@ def q_cv_mean_metrics(spark, sf):
         F.count(F.lit(1)).alias("n_folds"),
         F.avg("accuracy").alias("cv_accuracy"), F.avg("precision").alias("cv_precision"),
         F.avg("recall").alias("cv_recall"), F.avg("f1").alias("cv_f1")))
+
+
+EVAL_SQL = with_views(f"""
+    SELECT b.model_id, b.test_file,
+           b.accuracy, b.precision, b.recall, b.f1, r.auc_roc, r.average_precision,
+           g.mcc, g.cohen_kappa, g.balanced_accuracy, p.plate_ppv,
+           CAST(NULL AS DOUBLE) AS diverse_plate_ppv,
+           h.hits_at_200, h.precision_at_200, h.hits_at_500, h.precision_at_500,
+           b.tp AS total_hits
+    FROM (SELECT model_id, test_file, tp, {BASIC_SQL} FROM ({counts_sql('scored')})) b
+    JOIN (SELECT model_id, test_file, {AGREE_SQL}
+          FROM (SELECT *, {PO_PE_SQL} FROM ({counts_sql('scored')}))) g USING (model_id, test_file)
+    JOIN {ranked_sql('scored')} r USING (model_id, test_file)
+    JOIN {topk_sql('scored')} h USING (model_id, test_file)
+    JOIN {plate_sql('scored')} p USING (model_id, test_file)""", "scored")
+
+
+@register("evaluate_all", EVAL_SQL)
+def q_evaluate_all(spark, sf):
+    from ..operators.evaluation import evaluate
+    return rounded(evaluate(fx.scored(spark, sf), KEYS))

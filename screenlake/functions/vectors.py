@@ -39,7 +39,7 @@ def pack_bits(bits: Column | str) -> Column:
         hi = F.least(lo + 63, n - 1)
         return F.aggregate(
             F.sequence(lo, hi), F.lit(0).cast("bigint"),
-            lambda acc, i: acc.bitwiseOR(F.shiftleft(F.get(bits, i).cast("bigint"), i - lo)))
+            lambda acc, i: acc.bitwiseOR(F.call_function("shiftleft", F.get(bits, i).cast("bigint"), i - lo)))
 
     return F.when(n > 0, F.transform(F.sequence(F.lit(0), n_words - 1), word)) \
             .otherwise(F.array().cast("array<bigint>"))

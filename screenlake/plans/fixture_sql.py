@@ -40,6 +40,10 @@ VIEWS: dict[str, tuple[list[str], str]] = {
                      CAST(l_returnflag = 'R' AS INTEGER) AS y_true,
                      l_discount * 10 AS y_proba
               FROM lineitem)"""),
+    "tokens": ([], """
+        SELECT 'p' || p_partkey AS tok_id, p_name AS text FROM part
+        UNION ALL
+        SELECT 'd' || doc_id AS tok_id, text FROM documents"""),
 }
 
 

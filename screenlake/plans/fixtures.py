@@ -59,3 +59,13 @@ def scored_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = base.select("row_id", "model_id", "test_file", "y_true",
                       (F.col("l_discount") * 10).alias("y_proba"))
     return out.withColumn("y_pred", (F.col("y_proba") > 0.5).cast("int"))
+
+
+def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """String column to fingerprint: part names and whole document texts, one id space."""
+    parts = read_table(spark, sf_dir, "part", ["p_partkey", "p_name"]).select(
+        F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("tok_id"),
+        F.col("p_name").alias("text"))
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"]).select(
+        F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("tok_id"), "text")
+    return parts.unionByName(docs)

@@ -55,9 +55,9 @@ def intersection_count(a: Column | str, b: Column | str) -> Column:
 
 
 def tanimoto_from_counts(inter: Column, pop_a: Column, pop_b: Column) -> Column:
-    """|a ∧ b| / |a ∨ b|; two empty sets are identical (1.0)."""
+    """|a ∧ b| / |a ∨ b|; 0.0 when both are empty."""
     union = pop_a + pop_b - inter
-    return F.when(union == 0, F.lit(1.0)).otherwise(inter.cast("double") / union.cast("double"))
+    return F.when(union == 0, F.lit(0.0)).otherwise(inter.cast("double") / union.cast("double"))
 
 
 def tanimoto(a: Column | str, b: Column | str) -> Column:

@@ -44,6 +44,32 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         SELECT 'p' || p_partkey AS tok_id, p_name AS text FROM part
         UNION ALL
         SELECT 'd' || doc_id AS tok_id, text FROM documents"""),
+    "ms_ex": (["vectors"], """
+        SELECT row_id, y, CAST(unnest(v) AS DOUBLE) AS x, unnest(range(len(v))) AS pos FROM vectors"""),
+    "ms_stats": (["ms_ex"], """
+        SELECT pos, avg(x) FILTER (WHERE y = 0) AS m0, avg(x) FILTER (WHERE y = 1) AS m1,
+               var_pop(x) FILTER (WHERE y = 0) + 1e-9 AS v0, var_pop(x) FILTER (WHERE y = 1) + 1e-9 AS v1
+        FROM ms_ex GROUP BY pos"""),
+    "ms_per": (["ms_ex", "ms_stats"], """
+        SELECT e.row_id, any_value(e.y) AS y,
+               sqrt(sum((x - m0) * (x - m0))) AS d0, sqrt(sum((x - m1) * (x - m1))) AS d1,
+               sum(x * (m1 - m0)) AS dt,
+               sum(-0.5 * ln(2 * pi() * v0) - (x - m0) * (x - m0) / (2.0 * v0)) AS l0,
+               sum(-0.5 * ln(2 * pi() * v1) - (x - m1) * (x - m1) / (2.0 * v1)) AS l1
+        FROM ms_ex e JOIN ms_stats s USING (pos) GROUP BY e.row_id"""),
+    "multi_scored": (["ms_per", "vectors"], f"""
+        SELECT row_id, model_id, 'embeddings' AS test_file, y AS y_true, y_proba,
+               CAST(y_proba > 0.5 AS INTEGER) AS y_pred
+        FROM (
+          SELECT row_id, y, 'centroid' AS model_id, round(1.0 / (1.0 + exp(d1 - d0)), 6) AS y_proba FROM ms_per
+          UNION ALL
+          SELECT row_id, y, 'gnb', round(1.0 / (1.0 + exp(least(greatest(
+                 (ln(1 - (SELECT avg(y) FROM vectors)) + l0) - (ln((SELECT avg(y) FROM vectors)) + l1),
+                 -700.0), 700.0))), 6) FROM ms_per
+          UNION ALL
+          SELECT row_id, y, 'dot', round(1.0 / (1.0 + exp(-10.0 * dt)), 6) FROM ms_per
+          UNION ALL
+          SELECT row_id, y, 'noise', round({md5_unit_sql("'noise|' || row_id")}, 6) FROM ms_per)"""),
 }
 
 

@@ -69,3 +69,63 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"]).select(
         F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("tok_id"), "text")
     return parts.unionByName(docs)
+
+
+# ---- multi_scored: four closed-form scorers over ``vectors`` ---------------------------
+
+MODELS = ["centroid", "gnb", "dot", "noise"]
+
+
+def fit_class_stats(v: DataFrame) -> dict:
+    """Per class and dimension: mean and population variance; prior of class 1.
+    A fitted model sized by the vector width (2 x dims numbers), like an MLlib model."""
+    ex = v.select("y", F.posexplode("v").alias("pos", "x"))
+    st = ex.groupBy("y", "pos").agg(F.avg(F.col("x").cast("double")).alias("m"),
+                                    F.var_pop(F.col("x").cast("double")).alias("var"))
+    rows = st.collect()  # 2 * dims rows
+    dims = max(r["pos"] for r in rows) + 1
+    out = {k: {"m": [0.0] * dims, "var": [0.0] * dims} for k in (0, 1)}
+    for r in rows:
+        out[r["y"]]["m"][r["pos"]] = r["m"]
+        out[r["y"]]["var"][r["pos"]] = r["var"]
+    out["p1"] = v.agg(F.avg(F.col("y").cast("double"))).first()[0]
+    return out
+
+
+def _sum_over(arr_fn, dims: int):
+    return F.aggregate(F.sequence(F.lit(0), F.lit(dims - 1)), F.lit(0.0), lambda acc, i: acc + arr_fn(i))
+
+
+def multi_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long prediction table (row_id, model_id, test_file, y_true, y_proba, y_pred) for four
+    scorers; probabilities rounded to 6 places before thresholding."""
+    import math
+
+    v = vectors(spark, sf_dir)
+    st = fit_class_stats(v)
+    dims = len(st[0]["m"])
+    lit_arr = lambda xs: F.array(*[F.lit(float(x)) for x in xs])
+    m0, m1 = lit_arr(st[0]["m"]), lit_arr(st[1]["m"])
+    v0 = lit_arr([x + 1e-9 for x in st[0]["var"]])
+    v1 = lit_arr([x + 1e-9 for x in st[1]["var"]])
+    x = lambda i: F.get(F.col("v"), i).cast("double")
+    d0 = F.sqrt(_sum_over(lambda i: F.pow(x(i) - F.get(m0, i), 2), dims))
+    d1 = F.sqrt(_sum_over(lambda i: F.pow(x(i) - F.get(m1, i), 2), dims))
+    dot = _sum_over(lambda i: x(i) * (F.get(m1, i) - F.get(m0, i)), dims)
+    ll = lambda m, var, prior: F.lit(math.log(prior)) + _sum_over(
+        lambda i: F.lit(-0.5) * F.ln(F.lit(2 * math.pi) * F.get(var, i))
+        - F.pow(x(i) - F.get(m, i), 2) / (F.lit(2.0) * F.get(var, i)), dims)
+    p1 = st["p1"]
+    l0, l1 = ll(m0, v0, 1 - p1), ll(m1, v1, p1)
+    sig = lambda z: F.lit(1.0) / (F.lit(1.0) + F.exp(z))
+    clamp = lambda z: F.least(F.greatest(z, F.lit(-700.0)), F.lit(700.0))
+    scores = F.array(
+        F.struct(F.lit("centroid").alias("model_id"), sig(d1 - d0).alias("p")),
+        F.struct(F.lit("gnb").alias("model_id"), sig(clamp(l0 - l1)).alias("p")),
+        F.struct(F.lit("dot").alias("model_id"), sig(F.lit(-10.0) * dot).alias("p")),
+        F.struct(F.lit("noise").alias("model_id"),
+                 md5_unit(F.concat(F.lit("noise|"), F.col("row_id").cast("string"))).alias("p")))
+    long = v.select("row_id", F.col("y").alias("y_true"), F.explode(scores).alias("s"))
+    out = long.select("row_id", "s.model_id", F.lit("embeddings").alias("test_file"), "y_true",
+                      F.round("s.p", 6).alias("y_proba"))
+    return out.withColumn("y_pred", (F.col("y_proba") > 0.5).cast("int"))

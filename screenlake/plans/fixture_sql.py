@@ -70,6 +70,18 @@ VIEWS: dict[str, tuple[list[str], str]] = {
           SELECT row_id, y, 'dot', round(1.0 / (1.0 + exp(-10.0 * dt)), 6) FROM ms_per
           UNION ALL
           SELECT row_id, y, 'noise', round({md5_unit_sql("'noise|' || row_id")}, 6) FROM ms_per)"""),
+    "props": ([], """
+        SELECT d.doc_id, d.n_chars, len(w) AS word_count,
+               CASE WHEN c > 0 THEN length(regexp_replace(text, '[^0-9]', '', 'g'))::DOUBLE / c END AS digit_share,
+               CASE WHEN len(w) > 0 THEN len(list_distinct(w))::DOUBLE / len(w) END AS distinct_share,
+               CASE WHEN len(w) > 0 THEN length(regexp_replace(text, '\\s', '', 'g'))::DOUBLE / len(w) END
+                    AS mean_word_len,
+               len(string_split(text, chr(10))) AS line_count,
+               CASE WHEN c > 0 THEN length(regexp_replace(text, '[^A-Z]', '', 'g'))::DOUBLE / c END AS upper_share,
+               l.quality
+        FROM (SELECT doc_id, n_chars, text, length(text) AS c,
+                     [t FOR t IN string_split_regex(text, '\\s+') IF t <> ''] AS w FROM documents) d
+        LEFT JOIN labels l USING (doc_id)"""),
 }
 
 

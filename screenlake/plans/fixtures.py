@@ -129,3 +129,26 @@ def multi_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = long.select("row_id", "s.model_id", F.lit("embeddings").alias("test_file"), "y_true",
                       F.round("s.p", 6).alias("y_proba"))
     return out.withColumn("y_pred", (F.col("y_proba") > 0.5).cast("int"))
+
+
+def props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-document property record (whole texts) + quality label (left join ``labels``)."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "n_chars"])
+    labels = read_table(spark, sf_dir, "labels", ["doc_id", "quality"])
+    words = F.filter(F.split("text", r"\s+"), lambda t: t != "")
+    chars = F.char_length("text")
+    base = docs.select("doc_id", "n_chars", "text", words.alias("_w"), chars.alias("_c"))
+
+    def share(num, den):
+        return F.when(den > 0, num.cast("double") / den.cast("double"))
+
+    wc = F.size("_w")
+    out = base.select(
+        "doc_id", "n_chars",
+        wc.alias("word_count"),
+        share(F.char_length(F.regexp_replace("text", "[^0-9]", "")), F.col("_c")).alias("digit_share"),
+        share(F.size(F.array_distinct("_w")), wc).alias("distinct_share"),
+        share(F.char_length(F.regexp_replace("text", r"\s", "")), wc).alias("mean_word_len"),
+        F.size(F.split("text", "\n")).alias("line_count"),
+        share(F.char_length(F.regexp_replace("text", "[^A-Z]", "")), F.col("_c")).alias("upper_share"))
+    return out.join(labels, "doc_id", "left")

@@ -17,6 +17,20 @@ def md5_unit_sql(expr: str) -> str:
 
 _ROW_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
 
+_COUNTS = """SELECT {keys},
+        count(*) FILTER (WHERE y_true = 1 AND y_pred = 1) AS tp,
+        count(*) FILTER (WHERE y_true = 0 AND y_pred = 1) AS fp,
+        count(*) FILTER (WHERE y_true = 0 AND y_pred = 0) AS tn,
+        count(*) FILTER (WHERE y_true = 1 AND y_pred = 0) AS fn,
+        count(*) AS n
+      FROM {src} GROUP BY {keys}"""
+
+_METRICS_NOROUND = """
+    CASE WHEN n = 0 THEN 0.0 ELSE (tp + tn)::DOUBLE / n END AS accuracy,
+    CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp::DOUBLE / (tp + fp) END AS precision,
+    CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp::DOUBLE / (tp + fn) END AS recall,
+    CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2.0 * tp / (2 * tp + fp + fn) END AS f1"""
+
 VIEWS: dict[str, tuple[list[str], str]] = {
     "vectors": ([], """
         SELECT vec_id AS row_id, embedding AS v,
@@ -82,6 +96,38 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         FROM (SELECT doc_id, n_chars, text, length(text) AS c,
                      [t FOR t IN string_split_regex(text, '\\s+') IF t <> ''] AS w FROM documents) d
         LEFT JOIN labels l USING (doc_id)"""),
+    "ledger_base": (["scored"], f"""
+        SELECT list_extract(['rf', 'lr', 'svc', 'nb', 'dt', 'knn', 'gb'], t.model_id) AS model_type,
+               CASE WHEN t.test_file = 'F' THEN 'ECFP4' ELSE 'MACCS' END AS column_name,
+               list_extract(['rf', 'lr', 'svc', 'nb', 'dt', 'knn', 'gb'], t.model_id) || '_'
+                   || (CASE WHEN t.test_file = 'F' THEN 'ECFP4' ELSE 'MACCS' END) || '_model' AS model_path,
+               'train_' || t.test_file || '.parquet' AS train_file,
+               'test_' || t.test_file || '.parquet' AS test_file_name,
+               '{{"max_depth": ' || t.model_id || ', "n_estimators": ' || (t.model_id * 10) || '}}' AS hyperparameters,
+               round(t.accuracy, 6) AS test_accuracy, round(t.precision, 6) AS test_precision,
+               round(t.recall, 6) AS test_recall,
+               CASE WHEN t.model_id <> 3 THEN round(t.f1, 6) END AS test_f1score,
+               CASE WHEN t.model_id = 5 THEN 'n/a' ELSE CAST(t.tp AS VARCHAR) END AS test_totalhits_text,
+               round(c.cv_accuracy, 6) AS cv_accuracy, round(c.cv_precision, 6) AS cv_precision,
+               round(c.cv_recall, 6) AS cv_recall, round(c.cv_f1, 6) AS cv_f1,
+               '2024-01-0' || t.model_id AS run_date, '10:00:00' AS run_time,
+               CASE WHEN t.model_id = 7 THEN 'skipped' WHEN t.model_id = 6 AND t.test_file = 'O' THEN 'failed'
+                    WHEN t.model_id = 4 THEN NULL ELSE 'success' END AS status,
+               t.model_id AS _mid
+        FROM (SELECT *, {_METRICS_NOROUND} FROM ({_COUNTS.format(src='scored', keys='model_id, test_file')})) t
+        JOIN (SELECT model_id, test_file, avg(accuracy) AS cv_accuracy, avg(precision) AS cv_precision,
+                     avg(recall) AS cv_recall, avg(f1) AS cv_f1
+              FROM (SELECT *, {_METRICS_NOROUND} FROM ({_COUNTS.format(
+                  src='(SELECT *, ' + md5_bits_sql('row_id') + ' % 2 AS fold FROM scored)',
+                  keys='model_id, test_file, fold')}))
+              GROUP BY model_id, test_file) c USING (model_id, test_file)"""),
+    "ledger": (["ledger_base"], """
+        SELECT * EXCLUDE (_mid) FROM ledger_base
+        UNION ALL
+        SELECT * EXCLUDE (_mid) REPLACE ('10:00:01' AS run_time) FROM ledger_base WHERE _mid <= 2
+        UNION ALL
+        SELECT '', '', '', '', '', '', NULL, NULL, NULL, NULL, '', NULL, NULL, NULL, NULL, '', '', ''
+        FROM ledger_base WHERE _mid = 1"""),
 }
 
 

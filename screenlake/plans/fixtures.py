@@ -152,3 +152,48 @@ def props(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size(F.split("text", "\n")).alias("line_count"),
         share(F.char_length(F.regexp_replace("text", "[^A-Z]", "")), F.col("_c")).alias("upper_share"))
     return out.join(labels, "doc_id", "left")
+
+
+# ---- ledger: one row per (model, test file) experiment, derived from ``scored`` -------
+
+MODEL_TYPES = ["rf", "lr", "svc", "nb", "dt", "knn", "gb"]
+
+
+def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results ledger: identity, hyperparameters (JSON text), Test_* and CV_* metrics,
+    date/time text, status; plus duplicate runs, blank rows and missing values."""
+    from ..operators.metrics import basic_metrics, confusion_counts
+    from ..functions.hashing import md5_bits
+
+    s = scored(spark, sf_dir)
+    keys = ["model_id", "test_file"]
+    test = basic_metrics(confusion_counts(s, keys))
+    folds = basic_metrics(confusion_counts(s.withColumn("fold", F.pmod(md5_bits("row_id"), F.lit(2))),
+                                           keys + ["fold"]))
+    cv = folds.groupBy(*keys).agg(*[F.avg(m).alias(f"cv_{m}") for m in ("accuracy", "precision", "recall", "f1")])
+    j = test.join(cv, keys)
+    mtype = F.element_at(F.array(*[F.lit(x) for x in MODEL_TYPES]), F.col("model_id"))
+    column = F.when(F.col("test_file") == "F", "ECFP4").otherwise("MACCS")
+    mid = F.col("model_id")
+    base = j.select(
+        mtype.alias("model_type"), column.alias("column_name"),
+        F.concat(mtype, F.lit("_"), column, F.lit("_model")).alias("model_path"),
+        F.concat(F.lit("train_"), "test_file", F.lit(".parquet")).alias("train_file"),
+        F.concat(F.lit("test_"), "test_file", F.lit(".parquet")).alias("test_file_name"),
+        F.concat(F.lit('{"max_depth": '), mid.cast("string"), F.lit(', "n_estimators": '),
+                 (mid * 10).cast("string"), F.lit("}")).alias("hyperparameters"),
+        F.round("accuracy", 6).alias("test_accuracy"), F.round("precision", 6).alias("test_precision"),
+        F.round("recall", 6).alias("test_recall"),
+        F.when(mid != 3, F.round("f1", 6)).alias("test_f1score"),
+        F.when(mid == 5, F.lit("n/a")).otherwise(F.col("tp").cast("string")).alias("test_totalhits_text"),
+        *[F.round(f"cv_{m}", 6).alias(f"cv_{m}") for m in ("accuracy", "precision", "recall", "f1")],
+        F.concat(F.lit("2024-01-0"), mid.cast("string")).alias("run_date"),
+        F.lit("10:00:00").alias("run_time"),
+        F.when(mid == 7, "skipped").when((mid == 6) & (F.col("test_file") == "O"), "failed")
+         .when(mid == 4, F.lit(None)).otherwise("success").alias("status"),
+        mid.alias("_mid"))
+    dups = base.filter(F.col("_mid") <= 2).withColumn("run_time", F.lit("10:00:01"))
+    strings = [c for c, t in base.dtypes if t == "string"]
+    blanks = base.filter(F.col("_mid") == 1).select(
+        *[(F.lit("") if c in strings else F.lit(None).cast(t)).alias(c) for c, t in base.dtypes])
+    return base.unionByName(dups).unionByName(blanks).drop("_mid")

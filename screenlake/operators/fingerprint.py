@@ -16,6 +16,8 @@ Count vs binary output is ``binary=``.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,7 +45,7 @@ def _ngrams_of(chars: Column, width: int) -> Column:
         F.array().cast("array<int>"))
     tag = F.lit(f"{width}:")
     # one-argument lambda: transform() passes the index as a second argument otherwise
-    return F.transform(starts, lambda i: F.concat(tag, F.array_join(F.slice(chars, i, width), "")))
+    return F.transform(starts, lambda i: F.concat(tag, *[F.get(chars, i - 1 + k) for k in range(width)]))
 
 
 def char_ngrams(chars: Column, radius: int) -> Column:
@@ -131,19 +133,32 @@ def sparse_fingerprint(df: DataFrame, id_col: str, text_col: str, mode: str = "n
         return out.withColumn("value", F.lit(1).cast("bigint"))
     units = src.select(id_col, token_units(mode, text).alias("_units"))
     toks = units.select(id_col, F.explode(tokens_for(mode, F.col("_units"), radius)).alias("tok"))
-    bits = toks.select(id_col, F.pmod(md5_bits(F.col("tok")), F.lit(n_bits)).cast("int").alias("bit"))
-    agg = bits.groupBy(id_col, "bit").agg(F.count(F.lit(1)).alias("value"))
+    # count each distinct token of a row first (map-side partial aggregate), so the hash
+    # runs once per distinct token per row rather than once per occurrence
+    tok_counts = toks.groupBy(id_col, "tok").agg(F.count(F.lit(1)).alias("_n"))
+    bits = tok_counts.select(id_col, F.pmod(md5_bits(F.col("tok")), F.lit(n_bits)).cast("int").alias("bit"), "_n")
+    agg = bits.groupBy(id_col, "bit").agg(F.sum("_n").alias("value"))
     return agg.withColumn("value", F.lit(1).cast("bigint")) if binary else agg
 
 
+def _scatter_udf(n_bits: int):
+    """Arrow-batched helper: (bits, values) lists -> dense int array of width n_bits."""
+    @F.pandas_udf("array<int>")
+    def scatter(bits: pd.Series, values: pd.Series) -> pd.Series:
+        out = []
+        for b, v in zip(bits, values):
+            dense = np.zeros(n_bits, dtype=np.int32)
+            dense[np.asarray(b, dtype=np.int64)] = np.asarray(v, dtype=np.int64)
+            out.append(dense)
+        return pd.Series(out)
+    return scatter
+
+
 def dense_fingerprint(sparse: DataFrame, id_col: str, n_bits: int = 2048) -> DataFrame:
-    """Sparse (id, bit, value) -> (id, fp array<int> of width n_bits). One group per row id,
-    bounded by n_bits entries."""
-    per = sparse.groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("bit", "value")))
-                                     .alias("_m"))
-    return per.select(id_col, F.transform(F.sequence(F.lit(0), F.lit(n_bits - 1)),
-                                          lambda i: F.coalesce(F.col("_m")[i], F.lit(0)).cast("int"))
-                      .alias("fp"))
+    """Sparse (id, bit, value) -> (id, fp array<int> of width n_bits).  One group per row id,
+    bounded by n_bits entries; the scatter into a dense array is a numpy helper."""
+    per = sparse.groupBy(id_col).agg(F.collect_list("bit").alias("_b"), F.collect_list("value").alias("_v"))
+    return per.select(id_col, _scatter_udf(n_bits)("_b", "_v").alias("fp"))
 
 
 def with_validity(df: DataFrame, id_col: str, text_col: str, dense: DataFrame,

@@ -66,8 +66,25 @@ def with_prefix(prepared: DataFrame, ranks: DataFrame, threshold: float) -> Data
     return prepared.withColumn("prefix", F.slice(sorted_ranks, 1, F.greatest(plen.cast("int"), F.lit(0))))
 
 
+def n_words(prepared: DataFrame) -> int:
+    """Packed width in 64-bit words (one tiny aggregate; fixed-width vectors)."""
+    w = prepared.agg(F.max(F.size("packed"))).first()[0]
+    return int(w or 0)
+
+
+def _inter_unrolled(a: str, b: str, words: int):
+    """|a AND b| as a plain sum of bit_count terms (whole-stage codegen, no lambda)."""
+    if words <= 0:
+        return F.lit(0)
+    terms = [F.bit_count(F.get(F.col(a), w).bitwiseAND(F.get(F.col(b), w))) for w in range(words)]
+    out = terms[0]
+    for t in terms[1:]:
+        out = out + t
+    return out
+
+
 def similarity_join(left: DataFrame, right: DataFrame, threshold: float,
-                    self_join: bool = False) -> DataFrame:
+                    self_join: bool = False, words: int | None = None) -> DataFrame:
     """All pairs (id_l, id_r) with Tanimoto >= threshold (id_l < id_r when ``self_join``).
     Inputs come from ``with_prefix`` computed with the same ranks and threshold."""
     lx = left.select(F.col("id").alias("id_l"), F.col("packed").alias("packed_l"),
@@ -82,13 +99,17 @@ def similarity_join(left: DataFrame, right: DataFrame, threshold: float,
     if self_join:
         cond.append(lx.id_l < rx.id_r)
     cand = lx.join(rx, cond)
-    # emit each pair once: at its smallest shared prefix bit
-    first = F.array_min(F.array_intersect("prefix_l", "prefix_r")) == F.col("lx_tok")
-    cand = cand.select(lx.tok.alias("lx_tok"), "id_l", "id_r", "packed_l", "packed_r", "pop_l", "pop_r",
-                       "prefix_l", "prefix_r").filter(first)
-    inter = intersection_count("packed_l", "packed_r")
+    if words is None:
+        words = n_words(left)
+    inter = _inter_unrolled("packed_l", "packed_r", words) if words else \
+        intersection_count("packed_l", "packed_r")
     sim = tanimoto_from_counts(inter, F.col("pop_l"), F.col("pop_r"))
-    return cand.select("id_l", "id_r", sim.alias("similarity")).filter(F.col("similarity") >= threshold - EPS)
+    # verify first (cheap, codegen'd), then emit each true pair once: at its smallest
+    # shared prefix bit (the array test runs on true pairs only)
+    verified = cand.select(lx.tok.alias("lx_tok"), "id_l", "id_r", "prefix_l", "prefix_r",
+                           sim.alias("similarity")).filter(F.col("similarity") >= threshold - EPS)
+    first = F.array_min(F.array_intersect("prefix_l", "prefix_r")) == F.col("lx_tok")
+    return verified.filter(first).select("id_l", "id_r", "similarity")
 
 
 def tanimoto_pairs(df: DataFrame, id_col: str, bits_col: str, threshold: float) -> DataFrame:
@@ -130,6 +151,7 @@ def leader_pick(df: DataFrame, id_col: str, bits_col: str, max_distance: float =
     prep = prepare(df, id_col, bits_col)
     ranks = cut_lineage(bit_ranks(prep))
     undecided = cut_lineage(with_prefix(prep, ranks, sim))
+    words = n_words(undecided)
     found: list[DataFrame] = []
     b = block_size
     while not undecided.isEmpty():
@@ -140,7 +162,7 @@ def leader_pick(df: DataFrame, id_col: str, bits_col: str, max_distance: float =
         new_leaders = resolved.filter("is_leader").select("id")
         found.append(new_leaders)
         leaders_pref = undecided.join(new_leaders, "id", "left_semi")
-        near = similarity_join(leaders_pref, undecided, sim).select(F.col("id_r").alias("id"))
+        near = similarity_join(leaders_pref, undecided, sim, words=words).select(F.col("id_r").alias("id"))
         decided = resolved.select("id").unionByName(near)
         undecided = cut_lineage(undecided.join(decided, "id", "left_anti"))
         b = min(b * 2, max_block)

@@ -88,7 +88,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         SELECT d.doc_id, d.n_chars, len(w) AS word_count,
                CASE WHEN c > 0 THEN length(regexp_replace(text, '[^0-9]', '', 'g'))::DOUBLE / c END AS digit_share,
                CASE WHEN len(w) > 0 THEN len(list_distinct(w))::DOUBLE / len(w) END AS distinct_share,
-               CASE WHEN len(w) > 0 THEN length(regexp_replace(text, '\\s', '', 'g'))::DOUBLE / len(w) END
+               CASE WHEN len(w) > 0 THEN length(regexp_replace(text, '[ \t\n\x0b\f\r]', '', 'g'))::DOUBLE / len(w) END
                     AS mean_word_len,
                len(string_split(text, chr(10))) AS line_count,
                CASE WHEN c > 0 THEN length(regexp_replace(text, '[^A-Z]', '', 'g'))::DOUBLE / c END AS upper_share,

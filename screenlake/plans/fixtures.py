@@ -131,6 +131,13 @@ def multi_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("y_pred", (F.col("y_proba") > 0.5).cast("int"))
 
 
+# Character classes of the property record (ASCII digits, ASCII upper case,
+# and the whitespace characters of the regex class \s: space, \t, \n, \x0b, \f, \r).
+DIGITS = "0123456789"
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+SPACES = " \t\n\x0b\f\r"
+
+
 def props(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-document property record (whole texts) + quality label (left join ``labels``)."""
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "n_chars"])
@@ -142,15 +149,19 @@ def props(spark: SparkSession, sf_dir: str) -> DataFrame:
     def share(num, den):
         return F.when(den > 0, num.cast("double") / den.cast("double"))
 
+    def count_of(chars: str):
+        # characters from a fixed set, counted with translate (no regex pass)
+        return F.col("_c") - F.char_length(F.translate("text", chars, ""))
+
     wc = F.size("_w")
     out = base.select(
         "doc_id", "n_chars",
         wc.alias("word_count"),
-        share(F.char_length(F.regexp_replace("text", "[^0-9]", "")), F.col("_c")).alias("digit_share"),
+        share(count_of(DIGITS), F.col("_c")).alias("digit_share"),
         share(F.size(F.array_distinct("_w")), wc).alias("distinct_share"),
-        share(F.char_length(F.regexp_replace("text", r"\s", "")), wc).alias("mean_word_len"),
-        F.size(F.split("text", "\n")).alias("line_count"),
-        share(F.char_length(F.regexp_replace("text", "[^A-Z]", "")), F.col("_c")).alias("upper_share"))
+        share(F.col("_c") - count_of(SPACES), wc).alias("mean_word_len"),
+        (count_of("\n") + 1).alias("line_count"),
+        share(count_of(UPPER), F.col("_c")).alias("upper_share"))
     return out.join(labels, "doc_id", "left")
 
 

@@ -1,0 +1,6 @@
+"""Streaming variants.
+
+The reference pipeline reads only finite files (no watermark, window, session or state),
+so no streaming operator is built; every operator here is a batch DataFrame function and
+can be applied per micro-batch with ``writeStream.foreachBatch`` if files arrive over time.
+"""

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 from . import metrics as M
 from . import ranking as R
 
@@ -14,12 +16,17 @@ METRIC_COLUMNS = ["accuracy", "precision", "recall", "f1", "auc_roc", "average_p
 
 
 def evaluate(pred: DataFrame, keys: list[str], clusters: DataFrame | None = None,
-             cluster_col: str = "cluster_id") -> DataFrame:
+             cluster_col: str = "cluster_id", materialize: bool = True) -> DataFrame:
     """One row per group; ``clusters`` (row_id, cluster_id) enables DiversePlatePPV, else NULL.
 
     Each part is a grouped aggregate over the same keys, so the joins below are between
     tables with one row per group (sized by the number of models x test files).
     """
+    cols = list(dict.fromkeys(keys + ["row_id", "y_true", "y_pred", "y_proba"]))
+    if materialize:
+        # four metric families read the predictions: compute a derived prediction table
+        # (e.g. a model transform) once, into the shared checkpoint folder
+        pred = cut_lineage(pred.select(*cols))
     counts = M.confusion_counts(pred, keys)
     base = M.agreement_metrics(M.basic_metrics(counts))
     ranked = M.ranked_metrics(pred, keys)

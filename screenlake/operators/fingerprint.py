@@ -172,3 +172,34 @@ def with_validity(df: DataFrame, id_col: str, text_col: str, dense: DataFrame,
         *[F.col(c) for c in df.columns],
         F.when(ok, F.coalesce(F.col("fp"), zeros)).alias("fp"),
         F.coalesce(ok, F.lit(False)).alias("is_valid"))
+
+
+# Fingerprint kinds by name -> (mode, radius, binary).
+KINDS = {
+    "ngram_r2": ("ngram", 2, False),
+    "ngram_r3": ("ngram", 3, False),
+    "class_ngram_r2": ("class_ngram", 2, False),
+    "class_ngram_r3": ("class_ngram", 3, False),
+    "key_presence": ("key_presence", 0, True),
+    "path4": ("path4", 0, True),
+    "token_pairs": ("token_pairs", 0, True),
+}
+
+
+def fingerprints(df: DataFrame, id_col: str, text_col: str, kinds: list[str],
+                 n_bits: int = 2048) -> DataFrame:
+    """Several kinds in one long table (id, kind, bit, value); unknown kind names are
+    ignored, as are repeated ones."""
+    chosen = [k for k in dict.fromkeys(kinds) if k in KINDS]
+    parts = []
+    for k in chosen:
+        mode, radius, binary = KINDS[k]
+        sp = sparse_fingerprint(df, id_col, text_col, mode, radius, n_bits, binary)
+        parts.append(sp.select(id_col, F.lit(k).alias("kind"), "bit", "value"))
+    if not parts:
+        return df.select(id_col, F.lit(None).cast("string").alias("kind"), F.lit(None).cast("int").alias("bit"),
+                         F.lit(None).cast("bigint").alias("value")).limit(0)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.maths import safe_div
+from ..session import cut_lineage
 from .prefix import running_sums
 
 TRUE, PRED, PROBA = "y_true", "y_pred", "y_proba"
@@ -65,7 +66,7 @@ def _score_histogram(pred: DataFrame, keys: list[str], score: str) -> DataFrame:
 
 
 def ranked_metrics(pred: DataFrame, keys: list[str], score: str = PROBA,
-                   buckets: int = 64) -> DataFrame:
+                   buckets: int = 64, materialize: bool = True) -> DataFrame:
     """AUC-ROC (tie-averaged) and AUC-PR as average precision (step sum), per group.
 
     AUC = sum_s p(s) * (neg below s + n(s)/2) / (P * N)
@@ -73,6 +74,10 @@ def ranked_metrics(pred: DataFrame, keys: list[str], score: str = PROBA,
     Both are NULL for a group with a single class.
     """
     hist = _score_histogram(pred, keys, score)
+    if materialize:
+        # the histogram feeds four branches (bounds, bucket totals, windows, class totals):
+        # write it once to the shared checkpoint folder instead of recomputing it per branch
+        hist = cut_lineage(hist)
     cum = running_sums(hist, keys, "_s", ["_p", "_n"], buckets=buckets)
     totals = hist.groupBy(*keys).agg(F.sum("_p").alias("_tot_pos"), F.sum("_n").alias("_tot_neg"))
     j = cum.join(totals, keys)

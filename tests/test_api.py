@@ -41,3 +41,17 @@ def test_entry_contract(spark):
     df = E.entry(spark)
     assert df.count() >= 0
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_fingerprint_kinds_ignore_unknown(spark):
+    from screenlake.operators import fingerprint as FP
+    df = spark.createDataFrame([("a", "the cat sat on the mat"), ("b", "  "), ("c", None)], "id string, text string")
+    out = FP.fingerprints(df, "id", "text", ["ngram_r2", "no_such_kind", "key_presence", "ngram_r2"], n_bits=64)
+    kinds = {r.kind for r in out.select("kind").distinct().collect()}
+    assert kinds == {"ngram_r2", "key_presence"}
+    assert {r.id for r in out.select("id").distinct().collect()} == {"a"}   # blank / NULL text: invalid
+    n = len("the cat sat on the mat")
+    total = out.filter("kind = 'ngram_r2'").agg(F.sum("value")).first()[0]
+    assert total == n + (n - 1) + (n - 2)
+    dense = FP.dense_fingerprint(out.filter("kind = 'ngram_r2'").drop("kind"), "id", 64)
+    assert sum(dense.first().fp) == total and len(dense.first().fp) == 64

@@ -36,7 +36,7 @@ def expand_long(df: DataFrame, key: str, column: str) -> DataFrame:
     """Vector -> long rows (key, feature 'column_i', value); a narrow, map-only explode."""
     ex = df.select(key, F.posexplode(column).alias("pos", "value"))
     return ex.select(key, F.concat(F.lit(f"{column}_"), F.col("pos").cast("string")).alias("feature"),
-                     "pos", "value")
+                     F.col("pos").cast("bigint").alias("pos"), "value")
 
 
 def binarize_pack(df: DataFrame, column: str, out: str = "packed") -> DataFrame:

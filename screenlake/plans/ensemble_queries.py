@@ -112,7 +112,7 @@ def q_conformal_threshold(spark, sf):
 def q_conformal_sets(spark, sf):
     sets, _ = _calibrated_sets(spark, sf)
     return sets.select("row_id", "model_id", F.array_join("pred_set", ",").alias("pred_set"),
-                       F.size("pred_set").alias("set_size"))
+                       F.size("pred_set").cast("bigint").alias("set_size"))
 
 
 @register("conformal_coverage", with_views("""

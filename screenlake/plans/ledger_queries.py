@@ -131,7 +131,7 @@ def q_rank_ledger(spark, sf):
     led = _ledger(spark, sf)
     # the ledger has one row per experiment: a global order over it is small
     w = Window.orderBy(*L.order_exprs(led), "test_file_name", "run_time")
-    return led.select("model_path", "test_file_name", "run_time", F.row_number().over(w).alias("rank"))
+    return led.select("model_path", "test_file_name", "run_time", F.row_number().over(w).cast("bigint").alias("rank"))
 
 
 @register("best_row_per_model", with_views(f"""

@@ -31,7 +31,7 @@ def q_scan_project_limit(spark, sf):
     FROM text_vectors""")]))
 def q_load_features_labels(spark, sf):
     feats = io.load_features(fx.text_vectors(spark, sf), ["bits_text"], "y")
-    return feats.select("row_id", "y", F.size("bits_text").alias("width"),
+    return feats.select("row_id", "y", F.size("bits_text").cast("bigint").alias("width"),
                         F.aggregate("bits_text", F.lit(0.0), lambda a, x: a + x).cast("bigint")
                         .alias("n_set"))
 

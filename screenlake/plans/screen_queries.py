@@ -44,7 +44,7 @@ def q_rule_pass_all(spark, sf):
     FROM props p JOIN flags f USING (doc_id)""", "props", extra=[FLAGS_SQL]))
 def q_join_flags(spark, sf):
     # two separately derived tables merged on the explicit key (not by row position)
-    p = fx.props(spark, sf).select("doc_id", "word_count", F.col("quality").cast("double").alias("quality"))
+    p = fx.props(spark, sf).select("doc_id", F.col("word_count").cast("bigint").alias("word_count"), F.col("quality").cast("double").alias("quality"))
     return p.join(_flags(spark, sf).select("doc_id", "pass_all_filters"), "doc_id")
 
 

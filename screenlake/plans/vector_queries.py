@@ -45,7 +45,7 @@ INT_VECTORS_SQL = ("int_vectors", """
           FROM text_vectors)""", "text_vectors"))
 def q_parse_text_vector(spark, sf):
     df = as_float_vector(fx.text_vectors(spark, sf), "bits_text")
-    return df.select("row_id", F.size("bits_text").alias("width"),
+    return df.select("row_id", F.size("bits_text").cast("bigint").alias("width"),
                      F.aggregate("bits_text", F.lit(0.0), lambda a, x: a + x).cast("bigint").alias("n_set"),
                      F.round(_weighted_checksum("bits_text"), 6).alias("checksum"))
 
@@ -72,7 +72,7 @@ _FUSE_OUT_SQL = """SELECT row_id, fused_name, len(f) AS width,
 def q_fuse_all(spark, sf):
     df, names = V.fuse_columns(_int_vectors(spark, sf), ["bits", "hi", "lo"], "All")
     (name,) = names
-    return df.select("row_id", F.lit(name).alias("fused_name"), F.size(name).alias("width"),
+    return df.select("row_id", F.lit(name).alias("fused_name"), F.size(name).cast("bigint").alias("width"),
                      _weighted_checksum(name).cast("bigint").alias("checksum"))
 
 
@@ -86,7 +86,7 @@ def q_fuse_pairwise(spark, sf):
     # wide -> long: one stack() over the fused columns, no shuffle
     stacked = df.select("row_id", F.explode(F.array(*[
         F.struct(F.lit(n).alias("fused_name"), F.col(n).alias("f")) for n in names])).alias("s"))
-    return stacked.select("row_id", "s.fused_name", F.size("s.f").alias("width"),
+    return stacked.select("row_id", "s.fused_name", F.size("s.f").cast("bigint").alias("width"),
                           _weighted_checksum("s.f").cast("bigint").alias("checksum"))
 
 

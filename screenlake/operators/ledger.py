@@ -104,8 +104,14 @@ def sort_columns(df: DataFrame) -> list[str]:
     return []
 
 
-def order_exprs(df: DataFrame, tiebreak: str = "model_path"):
-    return [F.col(c).desc_nulls_last() for c in sort_columns(df)] + [F.col(tiebreak).asc_nulls_last()]
+TIEBREAK = ["model_path", "test_file_name", "run_date", "run_time"]
+
+
+def order_exprs(df: DataFrame, tiebreak: list[str] = TIEBREAK):
+    """Metric columns descending (nulls last), then a total order over the identity and
+    run time, so duplicate runs with equal metrics resolve the same way every time."""
+    return [F.col(c).desc_nulls_last() for c in sort_columns(df)] + \
+           [F.col(c).asc_nulls_last() for c in tiebreak if c in df.columns]
 
 
 def best_per_model(df: DataFrame, model_col: str = "model_path") -> DataFrame:

@@ -19,7 +19,8 @@ LEDGER_COLS = ["model_type", "column_name", "model_path", "train_file", "test_fi
                "cv_accuracy", "cv_precision", "cv_recall", "cv_f1", "status"]
 _PART = ", ".join(LEDGER_COLS)
 ORDER_SQL = ("test_f1score DESC NULLS LAST, test_precision DESC NULLS LAST, test_recall DESC NULLS LAST, "
-             "test_accuracy DESC NULLS LAST, model_path ASC NULLS LAST")
+             "test_accuracy DESC NULLS LAST, model_path ASC NULLS LAST, test_file_name ASC NULLS LAST, "
+             "run_date ASC NULLS LAST, run_time ASC NULLS LAST")
 
 
 def _ledger(spark, sf):
@@ -124,13 +125,13 @@ def q_ledger_dedupe(spark, sf):
 
 
 @register("rank_ledger", with_views(f"""
-    SELECT model_path, test_file_name, run_time, row_number() OVER (ORDER BY {ORDER_SQL}, test_file_name, run_time)
+    SELECT model_path, test_file_name, run_time, row_number() OVER (ORDER BY {ORDER_SQL})
            AS rank FROM ledger""", "ledger"))
 def q_rank_ledger(spark, sf):
     from pyspark.sql import Window
     led = _ledger(spark, sf)
     # the ledger has one row per experiment: a global order over it is small
-    w = Window.orderBy(*L.order_exprs(led), "test_file_name", "run_time")
+    w = Window.orderBy(*L.order_exprs(led))
     return led.select("model_path", "test_file_name", "run_time", F.row_number().over(w).cast("bigint").alias("rank"))
 
 

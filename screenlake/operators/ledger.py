@@ -128,3 +128,9 @@ def select_top(df: DataFrame, k: int, train_files: list[str] | None = None,
         df = df.filter(F.col("test_file_name").isin(test_files))
     best = best_per_model(dedupe(df))
     return best.orderBy(*order_exprs(best)).limit(k)
+
+
+def list_to_text(c, sep: str = ","):
+    """List-valued ledger fields are stored as comma-joined text (other values as text)."""
+    col = F.col(c) if isinstance(c, str) else c
+    return F.concat_ws(sep, col)

@@ -90,3 +90,9 @@ def calibration_split(df: DataFrame, key: str, size: float = 0.3, seed: int = 42
 
 def ceil_fraction(n: int, size: float) -> int:
     return math.ceil(n * size - 1e-9)
+
+
+def shuffled(df: DataFrame, key: str, seed: int | str = 42) -> DataFrame:
+    """Seeded random row order inside each output partition (what a 'shuffle before writing'
+    needs); a global sort would add a range-partitioning pass for no benefit."""
+    return df.sortWithinPartitions(seeded_order(seed, key), key)

@@ -38,7 +38,8 @@ def q_ledger_append_union(spark, sf):
     path = scratch_path(spark, "ledger")
     L.append_to_path(led.withColumn("run_id", F.lit(1)), path)
     second = (led.filter(F.col("test_file_name") == "test_F.parquet").drop("status")
-              .withColumn("fusion_method", F.lit("none")).withColumn("run_id", F.lit(2)))
+              .withColumn("fusion_method", F.lit("none")).withColumn("run_id", F.lit(2))
+              .withColumn("fused_columns", L.list_to_text(F.array(F.lit("ECFP4"), F.lit("MACCS")))))
     L.append_to_path(second, path)
     back = L.read_ledger(spark, path)
     return back.groupBy("run_id").agg(F.count(F.lit(1)).alias("n_rows"),

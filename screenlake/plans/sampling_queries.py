@@ -66,7 +66,8 @@ def q_balance_multi(spark, sf):
 def q_sink_partitioned_roundtrip(spark, sf):
     # Balanced sets written as one dataset partitioned by ratio, then read back.
     path = scratch_path(spark, "balanced")
-    write_partitioned(_balanced(spark, sf, [1, 2, 3]).select("ratio", "row_id", "y"), path, ["ratio"])
+    rows = S.shuffled(_balanced(spark, sf, [1, 2, 3]).select("ratio", "row_id", "y"), "row_id", SEED)
+    write_partitioned(rows, path, ["ratio"])
     back = spark.read.parquet(path)
     return back.groupBy(F.col("ratio").cast("double").alias("ratio"), "y").agg(
         F.count(F.lit(1)).alias("n"))

@@ -55,3 +55,13 @@ def test_fingerprint_kinds_ignore_unknown(spark):
     assert total == n + (n - 1) + (n - 2)
     dense = FP.dense_fingerprint(out.filter("kind = 'ngram_r2'").drop("kind"), "id", 64)
     assert sum(dense.first().fp) == total and len(dense.first().fp) == 64
+
+
+def test_shuffled_and_list_text(spark):
+    from screenlake.operators import ledger as L
+    from screenlake.operators import sampling as S
+    df = spark.range(100).withColumnRenamed("id", "k").repartition(3)
+    a = [r.k for r in S.shuffled(df, "k", 1).collect()]
+    assert sorted(a) == list(range(100)) and a != sorted(a)
+    t = spark.range(1).select(L.list_to_text(F.array(F.lit("a"), F.lit("b"))).alias("t")).first().t
+    assert t == "a,b"

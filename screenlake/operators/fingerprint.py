@@ -108,14 +108,14 @@ def valid_text(text: Column) -> Column:
     return text.isNotNull() & (F.length(F.trim(text)) > 0)
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Token generation costs far more than moving the text: when the scan yields fewer
-    partitions than the cluster has cores (one small file), spread rows first.  Large
-    inputs already arrive split by spark.sql.files.maxPartitionBytes and are left alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+def _by_id(df: DataFrame, id_col: str) -> DataFrame:
+    """Hash-partition the raw rows by id once.  Both later aggregations group by
+    (id, token) and (id, bit), which a partitioning on id already satisfies, so the
+    token stream is never shuffled: moving the text costs far less than moving the
+    (id, token, count) tuples it expands into.  Ids are unique, so there is no hot key."""
+    parts = max(df.sparkSession.sparkContext.defaultParallelism,
+                int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(parts, id_col)
 
 
 def sparse_fingerprint(df: DataFrame, id_col: str, text_col: str, mode: str = "ngram",
@@ -123,7 +123,7 @@ def sparse_fingerprint(df: DataFrame, id_col: str, text_col: str, mode: str = "n
     """Long form (id, bit, value): value = token count (or 1 when ``binary``).
     Invalid rows produce no entries; see ``with_validity``."""
     text = F.col(text_col)
-    src = _spread(df.select(id_col, text_col).filter(valid_text(text)))
+    src = _by_id(df.select(id_col, text_col).filter(valid_text(text)), id_col)
     if mode == "key_presence":
         keys = F.array(*[F.lit(k) for k in PRESENCE_KEYS])
         hits = F.filter(F.transform(F.sequence(F.lit(0), F.lit(len(PRESENCE_KEYS) - 1)),

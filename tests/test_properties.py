@@ -86,3 +86,18 @@ def test_auc_same_under_repartition(spark):
     a = sorted(M.auc_roc(s.repartition(1), ["model_id", "test_file"]).collect())
     b = sorted(M.auc_roc(s.repartition(13), ["model_id", "test_file"]).collect())
     assert [round(x.auc_roc, 12) for x in a] == [round(x.auc_roc, 12) for x in b]
+
+
+def test_conformal_set_size_grows_with_confidence(spark):
+    from screenlake.operators import conformal as C
+    ms = fx.multi_scored(spark, SF)
+    split = S.calibration_split(fx.vectors(spark, SF).select("row_id"), "row_id", 0.3)
+    j = ms.join(split, "row_id")
+    cal = j.filter(F.col("split") == "calibration")
+    sizes = []
+    for conf in (0.5, 0.8, 0.95):
+        q = C.conformal_threshold(cal, ["model_id"], conf)
+        cov = C.coverage(C.prediction_sets(j.filter(F.col("split") == "proper"), q, ["model_id"]), ["model_id"])
+        sizes.append({r.model_id: r.mean_set_size for r in cov.collect()})
+    for m in sizes[0]:
+        assert sizes[0][m] <= sizes[1][m] <= sizes[2][m]

@@ -16,7 +16,7 @@ METRIC_COLUMNS = ["accuracy", "precision", "recall", "f1", "auc_roc", "average_p
 
 
 def evaluate(pred: DataFrame, keys: list[str], clusters: DataFrame | None = None,
-             cluster_col: str = "cluster_id", materialize: bool = True) -> DataFrame:
+             cluster_col: str = "cluster_id", materialize: bool = False) -> DataFrame:
     """One row per group; ``clusters`` (row_id, cluster_id) enables DiversePlatePPV, else NULL.
 
     Each part is a grouped aggregate over the same keys, so the joins below are between
@@ -24,8 +24,9 @@ def evaluate(pred: DataFrame, keys: list[str], clusters: DataFrame | None = None
     """
     cols = list(dict.fromkeys(keys + ["row_id", "y_true", "y_pred", "y_proba"]))
     if materialize:
-        # four metric families read the predictions: compute a derived prediction table
-        # (e.g. a model transform) once, into the shared checkpoint folder
+        # four metric families read the predictions: a *derived* prediction table (a model
+        # transform, a fused ensemble) is computed once into the shared checkpoint folder;
+        # a stored table is simply re-scanned (five narrow columns), never rewritten
         pred = cut_lineage(pred.select(*cols))
     counts = M.confusion_counts(pred, keys)
     base = M.agreement_metrics(M.basic_metrics(counts))

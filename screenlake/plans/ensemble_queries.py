@@ -96,7 +96,7 @@ FUSION_METRICS_SQL = with_views(f"""
 @register("fusion_metrics", FUSION_METRICS_SQL)
 def q_fusion_metrics(spark, sf):
     fused = EN.fused_predictions(fx.multi_scored(spark, sf), ["row_id", "test_file"])
-    return rounded(evaluate(fused, ["test_file"]).drop("diverse_plate_ppv"))
+    return rounded(evaluate(fused, ["test_file"], materialize=True).drop("diverse_plate_ppv"))
 
 
 @register("conformal_threshold", with_views(

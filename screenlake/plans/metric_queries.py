@@ -204,7 +204,7 @@ EVAL_SQL = with_views(EVAL_SELECT, "scored")
 @register("evaluate_all", EVAL_SQL)
 def q_evaluate_all(spark, sf):
     from ..operators.evaluation import evaluate
-    return rounded(evaluate(fx.scored(spark, sf), KEYS))
+    return rounded(evaluate(fx.scored(spark, sf), KEYS, materialize=True))
 
 
 @register("ledger_test_rewrite", with_views("""
@@ -222,7 +222,7 @@ def q_ledger_test_rewrite(spark, sf):
     from ..operators.ledger import grid
     from ..session import scratch_path
     s = fx.scored(spark, sf)
-    ev = evaluate(s, KEYS)
+    ev = evaluate(s, KEYS, materialize=True)
     cells = grid({"model_id": s.select("model_id"), "test_file": s.select("test_file")})
     out = rounded(cells.join(ev, KEYS, "left").select(
         *KEYS, F.col("accuracy").alias("test_accuracy"), F.col("f1").alias("test_f1score"),

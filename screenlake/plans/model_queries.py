@@ -31,7 +31,7 @@ def _train_eval(name: str, **params):
         model = MD.fit(name, train, **params)
         pred = MD.predict(model, test).withColumn("model_id", F.lit(name)) \
                  .withColumn("test_file", F.lit("fold0"))
-        return rounded(evaluate(pred, ["model_id", "test_file"]))
+        return rounded(evaluate(pred, ["model_id", "test_file"], materialize=True))
     return q
 
 
@@ -56,7 +56,7 @@ def q_cv_models(spark, sf):
         held = feats.filter(F.col("fold") == fold)
         pred = MD.predict(models[0], held).withColumn("model_id", F.lit(f"lr_fold{fold}")) \
                  .withColumn("test_file", F.lit(f"fold{fold}"))
-        rows.append(rounded(evaluate(pred, ["model_id", "test_file"])))
+        rows.append(rounded(evaluate(pred, ["model_id", "test_file"], materialize=True)))
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)

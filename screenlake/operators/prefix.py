@@ -30,13 +30,10 @@ def running_sums(df: DataFrame, keys: list[str], order_col: str, value_cols: lis
     bounds = df.groupBy(*keys).agg(
         F.percentile_approx(order_col, probs, 10000).alias("_bounds"))
     # bounds has one row per group: sized by the number of groups, not rows.
-    # bucket = number of bounds below the value, unrolled into plain comparisons so that
-    # whole-stage codegen compiles it (a lambda over the bounds array is interpreted)
-    below = [F.when(F.get(F.col("_bounds"), i) < F.col(order_col), 1).otherwise(0) for i in range(len(probs))]
-    bucket = below[0] if below else F.lit(0)
-    for b in below[1:]:
-        bucket = bucket + b
-    with_bucket = df.join(bounds, keys).withColumn("_bucket", bucket).drop("_bounds")
+    # bucket = number of bounds below the value (equal values share a bucket)
+    with_bucket = (df.join(bounds, keys)
+                   .withColumn("_bucket", F.size(F.filter("_bounds", lambda b: b < F.col(order_col))))
+                   .drop("_bounds"))
     totals = with_bucket.groupBy(*keys, "_bucket").agg(
         *[F.sum(v).alias(f"_tot_{v}") for v in value_cols])
     wb = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -140,7 +140,8 @@ SPACES = " \t\n\x0b\f\r"
 
 def props(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-document property record (whole texts) + quality label (left join ``labels``)."""
-    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "n_chars"])
+    from ..session import spread_if_narrow
+    docs = spread_if_narrow(read_table(spark, sf_dir, "documents", ["doc_id", "text", "n_chars"]))
     labels = read_table(spark, sf_dir, "labels", ["doc_id", "quality"])
     words = F.filter(F.split("text", r"\s+"), lambda t: t != "")
     chars = F.char_length("text")

@@ -59,3 +59,13 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def spread_if_narrow(df: DataFrame) -> DataFrame:
+    """When a scan yields fewer partitions than the cluster has cores (a small file with few
+    row groups), spread rows round-robin before heavy per-row work.  Large inputs arrive
+    already split by spark.sql.files.maxPartitionBytes and are left untouched."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

@@ -69,9 +69,15 @@ def read_any(spark: SparkSession, path: str, schema: T.StructType | str | None =
     raise ValueError(f"unsupported file type: {path}")
 
 
-def with_source_file(df: DataFrame, column: str = "source_file") -> DataFrame:
-    """Tag rows with the name of the file they came from (hidden _metadata column)."""
-    return df.withColumn(column, F.col("_metadata.file_name"))
+def with_source_file(df: DataFrame, column: str = "source_file", level: str = "file") -> DataFrame:
+    """Tag rows with where they came from (hidden _metadata column): the file name, or with
+    ``level='dataset'`` the directory holding it (a Spark-written dataset is a directory of
+    part files)."""
+    if level == "file":
+        return df.withColumn(column, F.col("_metadata.file_name"))
+    if level == "dataset":
+        return df.withColumn(column, F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1))
+    raise ValueError("level must be 'file' or 'dataset'")
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenlake.llm import chat_format, secrets, url_filter
+from screenlake.llm import chat_format, html_text, packing, secrets, url_filter
 from screenlake.llm.tables import table
 
 URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -38,6 +38,11 @@ SELECT page_id, host, path, w.rule AS rule, coalesce(w.verdict, 'allow') AS verd
 """
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (html_text.extract(table(spark, sf_dir, "pages"))
+            .withColumn("n_chars", F.length("text").cast("long")))
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
     n = {f"n_{k}": secrets.count_kind(F.col("base"), k) for k, *_ in secrets.STRONG}
@@ -46,6 +51,18 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.render(F.col("spans")).alias("spans"))
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+    return pieces.select("doc_id", "start", "length", packing.ids_crc32(F.col("ids")).alias("ids_crc32"),
+                         "doc_tokens", "sequence_id", "offset")
+
+
 HARD_TEXT = "\\### Assistant: </turn> ok"
 
 
@@ -87,7 +104,9 @@ FROM w GROUP BY conv_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op2_html_text": op2_html_text,
     "op3_secrets": op3_secrets,
+    "op4_packing": op4_packing,
     "op8_chat_format": op8_chat_format,
 }
 ORACLE: dict[str, str] = {"op1_url_filter": OP1_SQL, "op8_chat_format": OP8_SQL}

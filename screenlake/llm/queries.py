@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenlake.llm import chat_format, html_text, packing, secrets, url_filter
+from screenlake.llm import chat_format, html_text, packing, secrets, toxicity, url_filter
 from screenlake.llm.tables import table
 
 URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -63,6 +63,17 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "doc_tokens", "sequence_id", "offset")
 
 
+HELD_OUT = "crc32(cast(doc_id as string)) % 3 = 1"
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~F.expr(HELD_OUT))
+    return toxicity.score_documents(docs, model).select(
+        "doc_id", F.coalesce(F.expr(HELD_OUT), F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= toxicity.CUT).cast("int").alias("predicted"), "threshold", "rejected")
+
+
 HARD_TEXT = "\\### Assistant: </turn> ok"
 
 
@@ -107,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_html_text": op2_html_text,
     "op3_secrets": op3_secrets,
     "op4_packing": op4_packing,
+    "op5_toxicity": op5_toxicity,
     "op8_chat_format": op8_chat_format,
 }
 ORACLE: dict[str, str] = {"op1_url_filter": OP1_SQL, "op8_chat_format": OP8_SQL}

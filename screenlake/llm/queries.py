@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenlake.llm import chat_format, html_text, packing, secrets, toxicity, url_filter
+from screenlake.llm import chat_format, decontaminate, fingerprints, html_text, packing, secrets, toxicity, url_filter
 from screenlake.llm.tables import table
 
 URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -74,6 +74,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= toxicity.CUT).cast("int").alias("predicted"), "threshold", "rejected")
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_pairs(table(spark, sf_dir, "documents"))
+
+
 HARD_TEXT = "\\### Assistant: </turn> ok"
 
 
@@ -91,6 +95,10 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"), "round_trip")
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 OP8_SQL = r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -119,6 +127,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secrets": op3_secrets,
     "op4_packing": op4_packing,
     "op5_toxicity": op5_toxicity,
+    "op6_fingerprints": op6_fingerprints,
     "op8_chat_format": op8_chat_format,
+    "op10_decontamination": op10_decontamination,
 }
 ORACLE: dict[str, str] = {"op1_url_filter": OP1_SQL, "op8_chat_format": OP8_SQL}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenlake.llm import chat_format, decontaminate, fingerprints, html_text, packing, secrets, toxicity, url_filter
+from screenlake.llm import chat_format, decontaminate, fingerprints, html_text, jaccard_join, packing, secrets, suffix_dedup, toxicity, url_filter
 from screenlake.llm.tables import table
 
 URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -95,6 +95,16 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"), "round_trip")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"),
+        F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -129,6 +139,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op6_fingerprints": op6_fingerprints,
     "op8_chat_format": op8_chat_format,
+    "op7_suffix_dedup": op7_suffix_dedup,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_decontamination": op10_decontamination,
 }
 ORACLE: dict[str, str] = {"op1_url_filter": OP1_SQL, "op8_chat_format": OP8_SQL}

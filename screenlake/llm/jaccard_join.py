@@ -210,12 +210,12 @@ def _root(words: int, near: Fraction, counts, buckets: int):
             for lo in range(0, batch.num_rows, 1024):
                 part = batch.slice(lo, 1024)
                 rows = []
-                for doc_id, s in zip(part.column(0).to_pylist(), make.sets(part.column(1))):
+                for doc_id, digest, s in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), make.sets(part.column(1))):
                     if not len(s):
-                        rows.append((DOC, None, None, None, doc_id, 0))
+                        rows.append((DOC, None, None, digest, doc_id, 0))
                         continue
                     key = set_key(s)
-                    rows.append((DOC, None, key, None, doc_id, len(s)))
+                    rows.append((DOC, None, key, digest, doc_id, len(s)))
                     if key in index:
                         continue
                     index[key] = len(keys)
@@ -431,8 +431,13 @@ def _sets_of(words: int, members):
     return run
 
 
+def text_key(body):
+    """128-bit digest of a text's bytes."""
+    return F.unhex(F.md5(body))
+
+
 def jaccard_join(docs: DataFrame, words: int = 3, near: Fraction = Fraction(9, 10), limit: int = LIMIT) -> tuple[DataFrame, DataFrame]:
-    """(members, links): ``doc_id, n_shingles, set_key`` of every row, and links ``a, b`` between keys of different sets
+    """(members, links): ``doc_id, n_shingles, set_key, text_key`` of every row, and links ``a, b`` between keys of different sets
     that join exactly the components of the relation d <= 1 - near."""
     if not 0 < near <= 1:
         raise ValueError("near must lie in (0, 1]")
@@ -441,8 +446,10 @@ def jaccard_join(docs: DataFrame, words: int = 3, near: Fraction = Fraction(9, 1
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), body)
     counts = spark.sparkContext.broadcast(shingle_counts(read, words))
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    root = cut_lineage(read.mapInArrow(_root(words, near, counts, buckets), _ROOT_SQL))
-    members = root.where(f"kind = {DOC}").select("doc_id", F.col("n").alias("n_shingles"), F.col("a").alias("set_key"))
+    keyed = read.withColumn("text_key", text_key(F.col("body")))
+    root = cut_lineage(keyed.mapInArrow(_root(words, near, counts, buckets), _ROOT_SQL))
+    members = root.where(f"kind = {DOC}").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.col("a").alias("set_key"), F.col("b").alias("text_key"))
     meet = root.where(f"kind = {MEET}").select("bucket", "a", "b").groupBy("bucket").applyInArrow(_meet, _LINK_SQL)
     ties = root.where(f"kind = {TIE}").select("a", "b").mapInArrow(_untie, _LINK_SQL)
     region = components(meet.unionByName(ties))
@@ -460,14 +467,35 @@ def jaccard_join(docs: DataFrame, words: int = 3, near: Fraction = Fraction(9, 1
     return members, cut_lineage(links)
 
 
+def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
+    """``set_key, label`` of every non-empty set; sets of one component share a label."""
+    keys = members.where("set_key is not null").select("set_key").distinct()
+    label = components(links).withColumnRenamed("node", "set_key")
+    return keys.join(label, "set_key", "left").select("set_key", F.coalesce("label", "set_key").alias("label"))
+
+
 def near_components(docs: DataFrame, words: int = 3, near: Fraction = Fraction(9, 10), limit: int = LIMIT) -> DataFrame:
     """``doc_id, n_shingles, set_key, component_id`` per row: the smallest doc_id reachable by links, itself included."""
     members, links = jaccard_join(docs, words, near, limit)
-    label = components(links)
-    keys = members.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("least"))
-    known = keys.join(label.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn("label", F.coalesce("label", "set_key"))
-    least = known.groupBy("label").agg(F.min("least").alias("component_id"))
-    by_key = known.join(least, "label").select("set_key", "component_id")
-    empty = members.where("set_key is null").select("doc_id", "n_shingles", "set_key", F.col("doc_id").alias("component_id"))
-    return members.where("set_key is not null").join(by_key, "set_key").select(
-        "doc_id", "n_shingles", "set_key", "component_id").unionByName(empty)
+    label = _labelled(members, links)
+    own = members.where("set_key is not null")
+    least = own.groupBy("set_key").agg(F.min("doc_id").alias("least")).join(label, "set_key")
+    least = label.join(least.groupBy("label").agg(F.min("least").alias("component_id")), "label").select("set_key", "component_id")
+    empty = members.where("set_key is null").withColumn("component_id", F.col("doc_id"))
+    out = ["doc_id", "n_shingles", "set_key", "component_id"]
+    return own.join(least, "set_key").select(*out).unionByName(empty.select(*out))
+
+
+def one_of_each(docs: DataFrame, words: int = 5, near: Fraction = Fraction(4, 5), limit: int = LIMIT) -> DataFrame:
+    """The rows of ``docs`` (all columns) that stand for their component: the one of the smallest doc_id, nulls last, then of the
+    smallest text digest.  Rows without words are components of their own; of rows equal in id and text one stays."""
+    members, links = jaccard_join(docs, words, near, limit)
+    label = _labelled(members, links)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("m")
+    own = members.where("set_key is not null").groupBy("set_key").agg(first).join(label, "set_key")
+    kept = own.groupBy("label").agg(F.min("m").alias("m")).select(F.col("m.doc_id").alias("_id"), F.col("m.text_key").alias("_key"))
+    kept = kept.unionByName(members.where("set_key is null").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))).distinct()
+    names = docs.columns
+    marked = docs.withColumns({"_doc": F.col("doc_id").cast("long"), "_text": text_key(text_or_empty(F.col("text")).cast("binary"))})
+    found = marked.join(kept, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_key")), "left_semi")
+    return found.dropDuplicates(["_doc", "_text"]).select(*names)

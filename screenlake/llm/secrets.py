@@ -106,24 +106,60 @@ def _linked(parts: DataFrame, scope: int) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("start", "rank", "kind", "end"))).cast(_SPAN).alias("linked"))
 
 
+def _with_parts(docs: DataFrame) -> DataFrame:
+    """Adds ``_base``, the strong spans, and for texts where a weak span has company ``_parts`` and ``_digest``."""
+    text = text_or_empty(F.col("text"))
+    low = F.lower(text)
+    weak = F.filter("_weak", lambda w: ~F.exists("_base", lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
+    several = (F.size("_weak") > 0) & (F.size("_weak") + F.size("_base") > 1)
+    return (docs.withColumns({"_base": F.sort_array(_all(text, low, STRONG)), "_weak": _all(text, low, WEAK)})
+            .withColumn("_weak", weak)
+            .withColumns({"_parts": F.when(several, F.concat("_base", "_weak")),
+                          "_digest": F.when(several, F.sha2(text, 256))})
+            .drop("_weak"))
+
+
+def _with_spans(parted: DataFrame, linked: DataFrame) -> DataFrame:
+    """Adds ``_spans``: strong spans with the linked weak ones; texts without any company skip the join."""
+    alone = parted.where("_digest is null").withColumn("_spans", F.col("_base"))
+    rest = parted.where("_digest is not null").join(linked, F.col("_digest") == F.col("digest"), "left")
+    rest = rest.withColumn("_spans", F.when(F.col("linked").isNull(), F.col("_base"))
+                           .otherwise(F.sort_array(F.concat("_base", "linked")))).drop("digest", "linked")
+    return alone.unionByName(rest)
+
+
+def _parts(parted: DataFrame) -> DataFrame:
+    return parted.select(F.col("_digest").alias("digest"), F.col("_parts").alias("parts"))
+
+
 def find_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """``doc_id, base, spans`` per row: strong spans, and strong with linked weak spans; a span is
     (start, rank, kind, end) in code points, ordered by start, then kind."""
-    text = text_or_empty(F.col("text"))
-    read = docs.select("doc_id", text.alias("text")).withColumn("low", F.lower("text"))
-    base = F.sort_array(_all(F.col("text"), F.col("low"), STRONG))
-    cut = read.select("doc_id", "text", base.alias("base"), _all(F.col("text"), F.col("low"), WEAK).alias("weak"))
-    free = F.filter("weak", lambda w: ~F.exists("base", lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
-    cut = cut.withColumn("weak", free)
-    several = (F.size("weak") > 0) & (F.size("weak") + F.size("base") > 1)
-    narrow = cut_lineage(cut.select("doc_id", "base", F.when(several, F.concat("base", "weak")).alias("parts"),
-                                    F.when(several, F.sha2("text", 256)).alias("digest")))
-    alone = narrow.where("digest is null").select("doc_id", "base", F.col("base").alias("spans"))
-    joined = narrow.where("digest is not null").join(_linked(narrow, scope), "digest", "left").select(
-        "doc_id", "base",
-        F.when(F.col("linked").isNull(), F.col("base"))
-        .otherwise(F.sort_array(F.concat("base", "linked"))).alias("spans"))
-    return alone.unionByName(joined)
+    narrow = cut_lineage(_with_parts(docs.select("doc_id", "text")).drop("text"))
+    return _with_spans(narrow, _linked(_parts(narrow), scope)).select(
+        "doc_id", F.col("_base").alias("base"), F.col("_spans").alias("spans"))
+
+
+def redact(docs: DataFrame, scope: int = SCOPE, mark: str = "[secret]") -> DataFrame:
+    """``docs`` (all columns) with every span of its text replaced by ``mark``, overlapping ones by one; ``n_chars``, where present,
+    follows the text.  Texts without a span, and null ones, stay as they are."""
+    linked = _linked(cut_lineage(_parts(_with_parts(docs.select("text")).where("_digest is not null"))), scope)
+    marked = _with_spans(_with_parts(docs), linked)
+    text = F.col("text")
+    begin = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+
+    def step(acc: Column, s: Column) -> Column:
+        gap = F.substring(text, acc["at"].cast("int") + 1, (s["start"] - acc["at"]).cast("int"))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
+                        F.when(s["start"] >= acc["at"], F.concat(acc["out"], gap, F.lit(mark))).otherwise(acc["out"]).alias("out"))
+
+    done = F.aggregate("_spans", begin, step, lambda acc: F.concat(
+        acc["out"], F.substring(text, acc["at"].cast("int") + 1, F.length(text))))
+    new = F.when(F.size("_spans") > 0, done).otherwise(text)
+    out = marked.withColumn("text", new)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.size("_spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)
 
 
 def render(spans: Column) -> Column:

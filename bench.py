@@ -24,7 +24,7 @@ HEADLINE = [
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     from screenlake.plans.catalog import queries
     from screenlake.session import get_spark

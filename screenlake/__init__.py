@@ -6,7 +6,6 @@ sources    readers and writers (parquet, CSV, multi-file, ledger append)
 functions  Column factories: hashing, vector packing, Tanimoto, rules, safe maths
 operators  DataFrame -> DataFrame operators (metrics, sampling, similarity, clustering, ...)
 plans      fixture views, the query catalogue and its DuckDB oracle SQL
-streaming  incremental (file-stream) variants of batch operators
 """
 
 __version__ = "0.1.0"

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.joins import join_null_safe
 from .prefix import running_sums
 
 
@@ -27,7 +28,7 @@ def kth_smallest(df: DataFrame, keys: list[str], value: str, k: DataFrame) -> Da
     """Per group the k-th smallest ``value`` (1-based); ``k`` has columns keys + ['k']."""
     hist = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
     cum = running_sums(hist, keys, value, ["_c"])
-    hit = cum.join(k, keys).filter((F.col("cum__c") >= F.col("k")) & (F.col("cum__c") - F.col("_c") < F.col("k")))
+    hit = join_null_safe(cum, k, keys).filter((F.col("cum__c") >= F.col("k")) & (F.col("cum__c") - F.col("_c") < F.col("k")))
     return hit.select(*keys, F.col(value).alias("kth"))
 
 
@@ -37,7 +38,7 @@ def conformal_threshold(calib: DataFrame, keys: list[str], confidence: float = 0
     n = scored.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_cal"))
     k = n.withColumn("k", F.ceil((F.col("n_cal") + 1) * F.lit(confidence) - F.lit(1e-9)).cast("bigint"))
     kth = kth_smallest(scored, keys, "score", k.select(*keys, "k"))
-    return k.join(kth, keys, "left").select(
+    return join_null_safe(k, kth, keys, "left").select(
         *keys, "n_cal", "k",
         F.when(F.col("k") > F.col("n_cal"), F.lit(float("inf"))).otherwise(F.col("kth")).alias("qhat"))
 
@@ -45,7 +46,7 @@ def conformal_threshold(calib: DataFrame, keys: list[str], confidence: float = 0
 def prediction_sets(pred: DataFrame, thresholds: DataFrame, keys: list[str]) -> DataFrame:
     """Attach ``pred_set`` (array of class ids, ascending) per row.  ``thresholds`` has one
     row per model (tiny), joined by key."""
-    j = pred.join(F.broadcast(thresholds.select(*keys, "qhat")), keys)
+    j = join_null_safe(pred, thresholds.select(*keys, "qhat"), keys)
     p = F.col("y_proba")
     in0 = (p <= F.col("qhat"))            # 1 - p0 = p
     in1 = ((1 - p) <= F.col("qhat"))

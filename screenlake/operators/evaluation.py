@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.joins import join_null_safe
 from ..session import cut_lineage
 
 from . import metrics as M
@@ -33,10 +34,12 @@ def evaluate(pred: DataFrame, keys: list[str], clusters: DataFrame | None = None
     ranked = M.ranked_metrics(pred, keys)
     hits = R.hits_at_k(pred, keys, (200, 500))
     plate = R.plate_ppv(pred, keys, 128)
-    out = base.join(ranked, keys).join(hits, keys).join(plate, keys)
+    out = base
+    for part in (ranked, hits, plate):
+        out = join_null_safe(out, part, keys)
     if clusters is not None:
         div = R.diverse_plate_ppv(pred.join(clusters, "row_id"), keys, cluster_col)
-        out = out.join(div, keys, "left")
+        out = join_null_safe(out, div, keys, "left")
     else:
         out = out.withColumn("diverse_plate_ppv", F.lit(None).cast("double"))
     out = out.withColumn("total_hits", F.col("tp"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.joins import join_null_safe
 from ..functions.maths import safe_div
 from ..session import cut_lineage
 from .prefix import running_sums
@@ -80,7 +81,7 @@ def ranked_metrics(pred: DataFrame, keys: list[str], score: str = PROBA,
         hist = cut_lineage(hist)
     cum = running_sums(hist, keys, "_s", ["_p", "_n"], buckets=buckets)
     totals = hist.groupBy(*keys).agg(F.sum("_p").alias("_tot_pos"), F.sum("_n").alias("_tot_neg"))
-    j = cum.join(totals, keys)
+    j = join_null_safe(cum, totals, keys)
     p, n = F.col("_p").cast("double"), F.col("_n").cast("double")
     neg_below = F.col("cum__n") - F.col("_n")
     tp_ge = F.col("_tot_pos") - (F.col("cum__p") - F.col("_p"))

@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.joins import join_null_safe
+
 
 def running_sums(df: DataFrame, keys: list[str], order_col: str, value_cols: list[str],
                  buckets: int = 64, prefix: str = "cum_") -> DataFrame:
@@ -31,7 +33,7 @@ def running_sums(df: DataFrame, keys: list[str], order_col: str, value_cols: lis
         F.percentile_approx(order_col, probs, 10000).alias("_bounds"))
     # bounds has one row per group: sized by the number of groups, not rows.
     # bucket = number of bounds below the value (equal values share a bucket)
-    with_bucket = (df.join(bounds, keys)
+    with_bucket = (join_null_safe(df, bounds, keys)
                    .withColumn("_bucket", F.size(F.filter("_bounds", lambda b: b < F.col(order_col))))
                    .drop("_bounds"))
     totals = with_bucket.groupBy(*keys, "_bucket").agg(
@@ -42,7 +44,7 @@ def running_sums(df: DataFrame, keys: list[str], order_col: str, value_cols: lis
                               for v in value_cols])
     wl = Window.partitionBy(*keys, "_bucket").orderBy(order_col) \
                .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = with_bucket.join(offsets, keys + ["_bucket"])
+    out = join_null_safe(with_bucket, offsets, keys + ["_bucket"])
     for v in value_cols:
         out = out.withColumn(f"{prefix}{v}", F.col(f"_off_{v}") + F.sum(v).over(wl))
     return out.drop("_bucket", *[f"_off_{v}" for v in value_cols])

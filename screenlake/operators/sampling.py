@@ -14,12 +14,11 @@ A group holding a third of all rows is thus spread over 2^bucket_bits tasks.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import seeded_order
+from ..functions.joins import join_null_safe
 
 
 def seeded_rank(df: DataFrame, group_cols: list[str], key: str, seed: int | str = 42,
@@ -31,7 +30,7 @@ def seeded_rank(df: DataFrame, group_cols: list[str], key: str, seed: int | str
     w = Window.partitionBy(*group_cols).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*group_cols, "_b", F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"))
     wl = Window.partitionBy(*group_cols, "_b").orderBy("_h", key)
-    ranked = d.join(offsets, group_cols + ["_b"]).withColumn(
+    ranked = join_null_safe(d, offsets, group_cols + ["_b"]).withColumn(
         rank_col, F.col("_off") + F.row_number().over(wl))
     return ranked.drop("_h", "_b", "_off")
 
@@ -88,10 +87,6 @@ def calibration_split(df: DataFrame, key: str, size: float = 0.3, seed: int = 42
                              .otherwise("proper")).drop("_rank", "_all")
 
 
-def ceil_fraction(n: int, size: float) -> int:
-    return math.ceil(n * size - 1e-9)
-
-
 def shuffled(df: DataFrame, key: str, seed: int | str = 42) -> DataFrame:
     """Seeded random row order inside each output partition (what a 'shuffle before writing'
     needs); a global sort would add a range-partitioning pass for no benefit."""

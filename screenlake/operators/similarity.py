@@ -9,18 +9,16 @@ Similarity join (exact, no all-pairs):
   no distinct() is needed; each candidate is verified exactly on packed 64-bit words.
   Hot bits are spread by AQE's skew-join splitting.
 
-Leader picking (sequential by definition: a row is a leader unless an earlier leader is
-within the threshold) runs as rounds over the undecided rows:
-  take the next block of undecided rows by row_id (bounded size), resolve it in one task,
-  prune every undecided row near a new leader with the similarity join, checkpoint.
-The result equals the sequential scan exactly.
+Leader picking (a row is a leader unless an earlier leader is within the threshold) is the
+sequential scan's result, found in parallel (greedy by priority: Blelloch, Fineman, Shun 2012):
+  take a constant fraction of the undecided rows, the first in id order; join the block with
+  itself; settle it by rounds over its conflict edges; prune the rest against the new leaders;
+  checkpoint.  Rounds grow with the logarithm of the rows; no task holds a block.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import intersection_count, pack_bits, tanimoto_from_counts
@@ -30,8 +28,16 @@ from .prefix import running_sums
 EPS = 1e-9
 
 
+def check_threshold(threshold: float) -> None:
+    """At threshold 0 pairs that share no bit count too, which no prefix join can find."""
+    if not threshold > 0:
+        raise ValueError(f"the similarity threshold must be above 0, got {threshold}")
+
+
 def prepare(df: DataFrame, id_col: str, bits_col: str) -> DataFrame:
-    """(id, set-bit positions, packed words, popcount) from a 0/1 (or count) vector."""
+    """(id, set-bit positions, packed words, popcount) from a 0/1 (or count) vector.
+    Rows without a vector (NULL: a failed row) have no similarity and are left out."""
+    df = df.filter(F.col(bits_col).isNotNull())
     setbits = F.filter(F.transform(bits_col, lambda x, i: F.when(x > 0, i)), lambda b: b.isNotNull())
     return df.select(F.col(id_col).alias("id"),
                      setbits.alias("setbits"),
@@ -62,6 +68,7 @@ def with_prefix(prepared: DataFrame, ranks: DataFrame, threshold: float) -> Data
         table[r["bit"]] = r["rank"]
     rank_of = F.array(*[F.lit(x) for x in table]) if table else F.array().cast("array<int>")
     sorted_ranks = F.array_sort(F.transform("setbits", lambda b: F.get(rank_of, b)))
+    check_threshold(threshold)
     plen = F.col("pop") - F.ceil(F.col("pop") * F.lit(threshold) - F.lit(EPS)) + 1
     return prepared.withColumn("prefix", F.slice(sorted_ranks, 1, F.greatest(plen.cast("int"), F.lit(0))))
 
@@ -120,60 +127,55 @@ def tanimoto_pairs(df: DataFrame, id_col: str, bits_col: str, threshold: float)
 
 # ---- leader picking -------------------------------------------------------------------
 
-def _resolve_block(similarity: float):
-    """Sequential leader decision inside one bounded block (rows in row_id order)."""
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("id")
-        words = np.array([np.asarray(p, dtype=np.int64) for p in pdf["packed"]]).view(np.uint64)
-        pops = pdf["pop"].to_numpy()
-        leaders: list[int] = []
-        flags = np.zeros(len(pdf), dtype=bool)
-        for i in range(len(pdf)):
-            if leaders:
-                lw = words[leaders]
-                inter = np.bitwise_count(lw & words[i]).sum(axis=1)
-                union = pops[leaders] + pops[i] - inter
-                sims = np.where(union > 0, inter / np.maximum(union, 1), 0.0)
-                if (sims >= similarity - EPS).any():
-                    continue
-            leaders.append(i)
-            flags[i] = True
-        return pd.DataFrame({"id": pdf["id"].to_numpy(), "is_leader": flags})
-    return fn
+def id_rank(df: DataFrame, id_col: str) -> DataFrame:
+    """Adds ``rank``, the 0-based place of each row in the order of ``id_col`` (any orderable
+    type): range partitions, their counts (one row per partition) and a local row number."""
+    placed = cut_lineage(df.repartitionByRange(id_col).withColumn("_p", F.spark_partition_id()))
+    counts = placed.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    local = F.row_number().over(Window.partitionBy("_p").orderBy(id_col))
+    return placed.join(offsets, "_p").withColumn("rank", F.col("_off") + local - 1).drop("_p", "_off")
+
+
+def _dominated(edges: DataFrame) -> DataFrame:
+    """Of a conflict graph (id_l < id_r) the nodes that are no leaders, by rounds: a node
+    without an earlier neighbour leads, its neighbours don't and leave the graph."""
+    out = edges.select("id_r").limit(0)
+    while not edges.isEmpty():
+        later = edges.select(F.col("id_r").alias("id_l")).distinct()
+        lead = edges.select("id_l").distinct().join(later, "id_l", "left_anti")
+        gone = cut_lineage(edges.join(lead, "id_l", "left_semi").select("id_r").distinct())
+        out = out.unionByName(gone)
+        edges = cut_lineage(edges.join(lead, "id_l", "left_anti").join(gone, "id_r", "left_anti")
+                            .join(gone.select(F.col("id_r").alias("id_l")), "id_l", "left_anti"))
+    return out
 
 
 def leader_pick(df: DataFrame, id_col: str, bits_col: str, max_distance: float = 0.65,
-                block_size: int = 256, max_block: int = 8192) -> DataFrame:
+                fraction: float = 0.5) -> DataFrame:
     """Leaders in pick order with ``cluster_id`` (0-based).  A row joins an earlier leader
-    when Tanimoto similarity >= 1 - max_distance."""
+    when Tanimoto similarity >= 1 - max_distance; rows with a NULL vector take no part."""
     sim = 1.0 - max_distance
-    spark = df.sparkSession
-    prep = prepare(df, id_col, bits_col)
-    ranks = cut_lineage(bit_ranks(prep))
-    undecided = cut_lineage(with_prefix(prep, ranks, sim))
+    check_threshold(sim)
+    ranked = id_rank(prepare(df, id_col, bits_col), "id").withColumnsRenamed({"id": "row_id", "rank": "id"})
+    undecided = cut_lineage(with_prefix(ranked, cut_lineage(bit_ranks(ranked)), sim))
     words = n_words(undecided)
-    found: list[DataFrame] = []
-    b = block_size
-    while not undecided.isEmpty():
-        block = undecided.orderBy("id").limit(b)
-        resolved = block.select("id", "packed", "pop").groupBy(F.lit(0).alias("_g")).applyInPandas(
-            _resolve_block(sim), "id long, is_leader boolean")
-        resolved = cut_lineage(resolved)
-        new_leaders = resolved.filter("is_leader").select("id")
-        found.append(new_leaders)
-        leaders_pref = undecided.join(new_leaders, "id", "left_semi")
-        near = similarity_join(leaders_pref, undecided, sim, words=words).select(F.col("id_r").alias("id"))
-        decided = resolved.select("id").unionByName(near)
-        undecided = cut_lineage(undecided.join(decided, "id", "left_anti"))
-        b = min(b * 2, max_block)
-    if not found:
-        return spark.createDataFrame([], "row_id long, cluster_id long")
-    leaders = found[0]
-    for f in found[1:]:
-        leaders = leaders.unionByName(f)
-    ordered = running_sums(leaders.withColumn("_k", F.lit(0)).withColumn("_one", F.lit(1)),
+    found = undecided.select("row_id", "id").limit(0)
+    while True:
+        cut = undecided.agg(F.percentile_approx("id", fraction, 1000)).first()[0]
+        if cut is None:
+            break
+        block, rest = undecided.filter(F.col("id") <= cut), undecided.filter(F.col("id") > cut)
+        edges = cut_lineage(similarity_join(block, block, sim, self_join=True, words=words).select("id_l", "id_r"))
+        losers = _dominated(edges).select(F.col("id_r").alias("id"))
+        leaders = cut_lineage(block.join(losers, "id", "left_anti"))
+        found = found.unionByName(leaders.select("row_id", "id"))
+        near = similarity_join(leaders, rest, sim, words=words).select(F.col("id_r").alias("id"))
+        undecided = cut_lineage(rest.join(near, "id", "left_anti"))
+    ordered = running_sums(found.withColumn("_k", F.lit(0)).withColumn("_one", F.lit(1)),
                            ["_k"], "id", ["_one"], buckets=16)
-    return ordered.select(F.col("id").alias("row_id"), (F.col("cum__one") - 1).cast("long").alias("cluster_id"))
+    return ordered.select("row_id", (F.col("cum__one") - 1).cast("long").alias("cluster_id"))
 
 
 def assign_to_leaders(df: DataFrame, id_col: str, bits_col: str, leaders: DataFrame,

@@ -180,13 +180,12 @@ def q_metrics_by_model_feature(spark, sf):
     FROM (SELECT * FROM (SELECT DISTINCT model_type FROM ledger WHERE model_type <> '') m0
           CROSS JOIN (SELECT DISTINCT column_name FROM ledger WHERE column_name <> '') c0) g
     LEFT JOIN (SELECT model_type, column_name, round(avg(test_f1score), 6) AS mean_f1 FROM ledger
-               WHERE model_type <> '' AND NOT (model_type = 'svc' AND column_name = 'MACCS')
+               WHERE model_type <> ''
                GROUP BY ALL) a USING (model_type, column_name)""", "ledger"))
 def q_metric_grid(spark, sf):
     led = _ledger(spark, sf).filter(F.col("model_type") != "")
-    # one (model, column) cell has no runs: it must appear with 0
-    runs = led.filter(~((F.col("model_type") == "svc") & (F.col("column_name") == "MACCS")))
-    means = runs.groupBy("model_type", "column_name").agg(F.round(F.avg("test_f1score"), 6).alias("mean_f1"))
+    # a (model, column) cell without runs appears with 0
+    means = led.groupBy("model_type", "column_name").agg(F.round(F.avg("test_f1score"), 6).alias("mean_f1"))
     cells = L.grid({"model_type": led.select("model_type"), "column_name": led.select("column_name")})
     return cells.join(means, ["model_type", "column_name"], "left").select(
         "model_type", "column_name", F.coalesce("mean_f1", F.lit(0.0)).alias("mean_f1"))

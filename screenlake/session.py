@@ -37,13 +37,15 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Checkpoint folder named by the cluster; a private one only when none is configured."""
+    """Checkpoint folder named by the cluster; a private one only in local mode without any."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="screenlake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -59,13 +61,3 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
-
-
-def spread_if_narrow(df: DataFrame) -> DataFrame:
-    """When a scan yields fewer partitions than the cluster has cores (a small file with few
-    row groups), spread rows round-robin before heavy per-row work.  Large inputs arrive
-    already split by spark.sql.files.maxPartitionBytes and are left untouched."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df

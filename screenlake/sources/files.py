@@ -12,7 +12,7 @@ from ..functions.vectors import parse_text_vector
 
 def _check_nrows(nrows) -> None:
     if nrows is not None and (not isinstance(nrows, int) or isinstance(nrows, bool) or nrows < 0):
-        raise ValueError("nrows must be a non-negative integer or None")
+        raise ValueError("nrows: expected None or a whole number from 0 up")
 
 
 def read_parquet_file(spark: SparkSession, path: str, columns: list[str] | None = None,

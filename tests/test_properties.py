@@ -63,7 +63,7 @@ def test_tanimoto_pairs_equal_brute_force(spark):
     assert got == want
 
 
-@pytest.mark.parametrize("max_distance", [0.65, 0.5])
+@pytest.mark.parametrize("max_distance", [0.65, 0.5, 0.2])
 def test_leaders_equal_sequential_scan(spark, max_distance):
     ids, bits = _bits(spark)
     sim = _sim_matrix(bits)
@@ -72,7 +72,7 @@ def test_leaders_equal_sequential_scan(spark, max_distance):
     for i in range(len(ids)):
         if not any(sim[i, j] >= s - 1e-9 for j in leaders):
             leaders.append(i)
-    got = SIM.leader_pick(fx.vectors(spark, SF), "row_id", "bits", max_distance, block_size=64)
+    got = SIM.leader_pick(fx.vectors(spark, SF), "row_id", "bits", max_distance)
     got_ids = [r.row_id for r in got.orderBy("cluster_id").collect()]
     assert got_ids == [int(ids[i]) for i in leaders]
     # every row is within the threshold of its assigned leader; leaders are not near each other
@@ -101,3 +101,30 @@ def test_conformal_set_size_grows_with_confidence(spark):
         sizes.append({r.model_id: r.mean_set_size for r in cov.collect()})
     for m in sizes[0]:
         assert sizes[0][m] <= sizes[1][m] <= sizes[2][m]
+
+
+def test_leaders_with_text_ids_and_null_vectors(spark):
+    rows = [(f"id{i:03d}", [1, 1, 0, 0] if i % 3 else [0, 0, 1, 1]) for i in range(40)] + [("a", None), (None, None)]
+    df = spark.createDataFrame(rows, "k string, bits array<int>").repartition(5)
+    got = [(r.row_id, r.cluster_id) for r in SIM.leader_pick(df, "k", "bits", 0.5).orderBy("cluster_id").collect()]
+    assert got == [("id000", 0), ("id001", 1)]
+    assert SIM.assign_to_leaders(df, "k", "bits", SIM.leader_pick(df, "k", "bits", 0.5), 0.5).count() == 40
+
+
+def test_threshold_zero_is_refused(spark):
+    df = spark.createDataFrame([(1, [1, 0])], "k long, bits array<int>")
+    with pytest.raises(ValueError):
+        SIM.leader_pick(df, "k", "bits", 1.0)
+    with pytest.raises(ValueError):
+        SIM.tanimoto_pairs(df, "k", "bits", 0.0)
+
+
+def test_null_groups_and_labels_keep_their_rows(spark):
+    rows = [(i, None if i % 10 == 0 else i % 2) for i in range(100)]
+    folds = S.stratified_folds(spark.createDataFrame(rows, "k long, y int"), "y", "k", 5)
+    assert folds.count() == 100 and folds.filter("y is null").count() == 10
+    preds = [(m, f, i, i % 2, int(i % 3 == 0), (i * 7 % 10) / 10) for m in (1, None) for f in ("a", None) for i in range(20)]
+    df = spark.createDataFrame(preds, "model_id int, test_file string, row_id long, y_true int, y_pred int, y_proba double")
+    from screenlake.operators.evaluation import evaluate
+    keys = ["model_id", "test_file"]
+    assert M.auc_roc(df, keys).count() == 4 and evaluate(df, keys).count() == 4

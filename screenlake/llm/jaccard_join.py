@@ -3,11 +3,14 @@
 A document is its set of word shingles; Jaccard distance d = 1 - |A n B| / |A u B| is a metric, and two sets link when
 d <= e.  The join goes down through regions around pivots and loses no link:
 
-1. Root regions.  Pivots are single shingles, rarest first.  A set has the same distance to every pivot it holds, so the order of
-   the pivots decides which is its nearest; a set within e of it may lack some of its shingles, at most n - ceil((1 - e) n).
-   The set is therefore replicated to its first n - ceil((1 - e) n) + 1 pivots, its window: linked sets meet at one
-   at least.  Sets that meet are tied by an edge from each to the smallest one at the pivot, and the components of these
-   edges are regions that no link leaves.  Only digests travel in this step; a task sends one digest a pivot.
+1. Root regions.  Sizes fall into bands, so that linked sets lie in one band or in neighbouring ones, and differ in at most t
+   shingles, t given by the band and e.  A band deals all shingles into m > t parts; the parts are pivots, a set's trace in
+   a part is its place there, and sets with one trace form a cell.  Linked sets have one trace in at least m - t parts, so each set is replicated to
+   its cells in all parts (of its own band, and of the next one where a partner can be that large) and linked sets meet at least once.
+   Empty traces are left out where a set has at most m - t - 1 of them, which still leaves another cell to meet in.  Sets that meet
+   are tied to the smallest one in the cell; the components of these ties are regions that no link leaves.  Cells are first exchanged as
+   48-bit hashes alone; sets travel (as digests) only to cells that hold two of them, by a bitmap of fixed size.  A
+   task ties the sets of a cell among themselves and sends one of them.
 2. Inside a region, sets are pivots in turn.  Those within e of the pivot link to it.  A link from one of them to a set
    outside leads to the ring e < d <= 2e around the pivot (triangle inequality), and from a ring set at
    distance r only to those at r - e or more.  These windows are compared, then the pivot and its ball leave and the rest of the region
@@ -15,7 +18,6 @@ d <= e.  The join goes down through regions around pivots and loses no link:
 3. A region above ``LIMIT`` shingles is split over tasks: rounds of ``PIVOTS`` pivots a region are compared with all
    its sets.  Sets that have come into the region's largest component need no pivot of their own; every other set becomes one.
 
-Order of pivots: counts of shingles over all documents, added up in ``COUNTERS`` counters (fixed size, broadcast); any order is exact.
 Identical sets are one class from the start.  Links found are those to pivots and one per ring set, which is all
 that components need; no group is expanded into pairs.
 
@@ -38,10 +40,9 @@ from screenlake.llm.components import components
 from screenlake.llm.tables import text_or_empty
 from screenlake.session import cut_lineage
 
-COUNTERS, SLICES = 1 << 18, 64
 LIMIT, PIVOTS = 4_000_000, 32
-MEMBER_BITS = 1 << 23
-PENDING = 1_000_000  # pivots of sets a task gathers before it sends them
+MEMBER_BITS, CELL_BITS = 1 << 23, 1 << 25
+PENDING = 2_000_000  # cells of sets a task gathers before it sends them
 _PIECE = 1 << 20  # bytes of text hashed at a time, or one document
 _BYTE = np.random.default_rng(9).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _BYTE[65:91] = _BYTE[97:123]  # A-Z count as a-z
@@ -129,107 +130,140 @@ def set_key(tokens: np.ndarray) -> bytes:
     return a.astype(">u8").tobytes() + b.astype(">u8").tobytes()
 
 
-def _need(n, near: Fraction):
-    """Shingles that a set of n shares at least with a linked one: ceil(near * n)."""
-    return -(-near.numerator * n // near.denominator)
+# ---- root regions ----------------------------------------------------------------------------------------------------
 
+class Bands:
+    """Bands of set sizes, and the parts of each."""
+
+    def __init__(self, near: Fraction):
+        self.near, self.low, self.high, self.parts, self.spare = near, [1], [], [], []
+        self._grow(1)
+
+    def _grow(self, n: int) -> None:
+        near = self.near
+        while not self.high or self.high[-1] < n:
+            high = int(self.low[-1] / near)
+            apart = int((1 - near) / (1 + near) * 2 * high)  # shingles in which linked sets of the band differ at most
+            mean = high * near / (apart + 1)
+            spare = int((apart + 1) * min(0.05, 3 * np.exp(-float(mean))))
+            self.high.append(high)
+            self.parts.append(apart + 1 + spare)
+            self.spare.append(spare)
+            self.low.append(high + 1)
+
+    def of(self, n: int) -> list[int]:
+        """The band of a size, and the next one if a linked set may lie there."""
+        self._grow(int(n / self.near) + 1)
+        own = int(np.searchsorted(self.high, n))
+        return [own, own + 1] if int(n / self.near) >= self.low[own + 1] else [own]
+
+    def cells(self, tokens: np.ndarray) -> np.ndarray:
+        """48-bit hashes of the cells of a set: band, part and trace."""
+        out = []
+        for band in self.of(len(tokens)):
+            m = self.parts[band]
+            mixed = _mixed(tokens + np.uint64(band * 2 + 1), _C2)
+            part = (mixed % np.uint64(m)).astype(np.int64)
+            trace = np.zeros(m, np.uint64)
+            np.add.at(trace, part, _mixed(mixed))
+            cell = _mixed(trace + np.uint64(_M) * np.arange(1, m + 1, dtype=np.uint64) + np.uint64(band << 40)) & np.uint64((1 << 48) - 1)
+            empty = np.bincount(part, minlength=m) == 0
+            if empty.sum() <= self.spare[band]:
+                cell = cell[~empty]
+            out.append(cell)
+        return np.concatenate(out)
+
+
+_ROOT_SQL = "bucket int, tie boolean, a binary, b binary"
+_ROOT = pa.schema([("bucket", pa.int32()), ("tie", pa.bool_()), ("a", pa.binary()), ("b", pa.binary())])
+_LINK = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+_LINK_SQL = "a binary, b binary"
 
-# ---- order of pivots -------------------------------------------------------------------------------------------------
 
-def shingle_counts(docs: DataFrame, words: int) -> np.ndarray:
-    """Counts of shingles over all documents in COUNTERS counters."""
-    step = COUNTERS // SLICES
+def _batch(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [()] * len(schema), schema)], schema=schema)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make, counts = Shingler(words), np.zeros(COUNTERS, np.int64)
-        for batch in batches:
-            for s in make.sets(batch.column(0)):
-                np.add.at(counts, (s & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
-        narrow = np.minimum(counts, (1 << 32) - 1).astype("<u4").reshape(SLICES, step)
-        yield pa.RecordBatch.from_pydict({"slice": pa.array(range(SLICES), pa.int32()),
-                                          "counts": pa.array([x.tobytes() for x in narrow], pa.binary())})
-
-    def add(rows: pa.Table) -> pa.Table:
-        total = np.zeros(step, np.int64)
-        for b in rows.column("counts").to_pylist():
-            total += np.frombuffer(b, "<u4")
-        return pa.table({"slice": rows.column("slice").slice(0, 1), "counts": pa.array([total.astype("<i8").tobytes()], pa.binary())})
-
-    shape = "slice int, counts binary"
-    parts = docs.select("body").mapInArrow(count, shape).groupBy("slice").applyInArrow(add, shape).collect()
-    out = np.zeros(COUNTERS, np.int64)
-    for r in parts:  # SLICES rows
-        out[r["slice"] * step:(r["slice"] + 1) * step] = np.frombuffer(r["counts"], "<i8")
-    return out
 
+def _pack48(h: np.ndarray) -> bytes:
+    return h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
 
-# ---- root regions ----------------------------------------------------------------------------------------------------
 
-_ROOT_SQL = "kind int, bucket int, a binary, b binary, doc_id long, n long"
-_ROOT = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("a", pa.binary()), ("b", pa.binary()),
-                   ("doc_id", pa.int64()), ("n", pa.int64())])
-DOC, MEET, TIE = 0, 1, 2
+def _unpack48(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
 
 
-def _stars(token: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of (token, key) entries: the order by token and key, where each token starts, and the start of each entry's token."""
-    order = np.lexsort((key, token))
-    t = token[order]
-    start = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]])) if len(t) else np.zeros(0, np.int64)
-    return order, start, np.repeat(start, np.diff(np.append(start, len(t))))
+def _starts(values: np.ndarray) -> np.ndarray:
+    """Where the runs of equal values start."""
+    return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
 
 
-def _root(words: int, near: Fraction, counts, buckets: int):
+def _spot(cell: np.ndarray) -> np.ndarray:
+    return (cell & np.uint64(CELL_BITS - 1)).astype(np.int64)
+
+
+def _by_bucket(cell: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(bucket, places of its cells)"""
+    to = (_mixed(cell) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(to, kind="stable")
+    edge = np.append(_starts(to[order]), len(order))
+    for i, j in zip(edge, edge[1:]):
+        yield int(to[order[i]]), order[i:j]
+
+
+def _cells(words: int, near: Fraction, buckets: int, wanted=None):
+    """Arrow batches of (body) -> without ``wanted`` the cells of a task with a flag for those it has twice; with it (a bitmap) the
+    cells it lets through with one set each, and the ties of a cell's other sets."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make, rank = Shingler(words), counts.value
-        token, owner, keys, index = [], [], [], {}
+        make, bands, keys, index, cells, owner = Shingler(words), Bands(near), [], set(), [], []
+        bits = wanted.value if wanted is not None else None
         pending = 0
 
         def send() -> pa.RecordBatch:
-            """Entries of this task: at each pivot its smallest set goes out, the others are tied to it here."""
-            t, o = np.concatenate(token), np.concatenate(owner)
-            own = np.frombuffer(b"".join(keys), "V16")
+            cell, own = np.concatenate(cells), np.concatenate(owner)
             halves = np.frombuffer(b"".join(keys), ">u8").reshape(-1, 2)
+            by_value = np.lexsort((halves[:, 1], halves[:, 0]))
             place = np.empty(len(keys), np.int64)
-            place[np.lexsort((halves[:, 1], halves[:, 0]))] = np.arange(len(keys))
-            order, start, head = _stars(t, place[o])
-            t, o = t[order], o[order]
-            tied = np.unique((o * len(keys) + o[head])[o != o[head]])
-            t, o = t[start], o[start]
-            to = (_mixed(t) % np.uint64(buckets)).astype(np.int64)
-            by = np.argsort(to, kind="stable")
-            t, o, to = t[by], o[by], to[by]
-            edge = np.append(np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1]])), len(to))
-            rows = [(MEET, int(to[i]), t[i:j].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes(), own[o[i:j]].tobytes(), None, None)
-                    for i, j in zip(edge, edge[1:])]
+            place[by_value] = np.arange(len(keys))
+            order = np.lexsort((place[own], cell))
+            cell, own = cell[order], own[order]
+            start = _starts(cell)
+            head = np.repeat(start, np.diff(np.append(start, len(cell))))
+            if bits is None:
+                twice = np.diff(np.append(start, len(cell))) > 1
+                return _batch(_ROOT, [(to, None, _pack48(cell[start][at]), np.packbits(twice[at]).tobytes())
+                                      for to, at in _by_bucket(cell[start], buckets)])
+            name = np.frombuffer(b"".join(keys), "V16")
+            tied = np.unique((own * len(keys) + own[head])[own != own[head]])
+            first, of = cell[start], own[start]
+            rows = [(to, False, _pack48(first[at]), name[of[at]].tobytes()) for to, at in _by_bucket(first, buckets)]
             if len(tied):
-                rows.append((TIE, None, own[tied // len(keys)].tobytes(), own[tied % len(keys)].tobytes(), None, None))
-            return _batch(rows)
+                rows.append((int(tied[0] % buckets), True, name[tied // len(keys)].tobytes(), name[tied % len(keys)].tobytes()))
+            return _batch(_ROOT, rows)
 
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1024):
-                part = batch.slice(lo, 1024)
-                rows = []
-                for doc_id, digest, s in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), make.sets(part.column(1))):
-                    if not len(s):
-                        rows.append((DOC, None, None, digest, doc_id, 0))
-                        continue
-                    key = set_key(s)
-                    rows.append((DOC, None, key, digest, doc_id, len(s)))
-                    if key in index:
-                        continue
-                    index[key] = len(keys)
-                    window = len(s) - _need(len(s), near) + 1
-                    seen = rank[(s & np.uint64(COUNTERS - 1)).astype(np.int64)]
-                    mine = s[np.lexsort((s, seen))[:window]]
-                    token.append(mine)
+            for s in make.sets(batch.column(0)):
+                if not len(s):
+                    continue
+                key = set_key(s)
+                if key in index:
+                    continue
+                index.add(key)
+                mine = bands.cells(s)
+                if bits is not None:
+                    at = _spot(mine)
+                    mine = mine[bits[at >> 6] >> (at & 63) & 1 == 1]
+                if len(mine):
+                    cells.append(mine)
                     owner.append(np.full(len(mine), len(keys)))
                     keys.append(key)
                     pending += len(mine)
-                yield _batch(rows)
                 if pending > PENDING:
                     yield send()
-                    token, owner, keys, pending = [], [], [], 0
+                    keys, cells, owner, pending = [], [], [], 0
                     index.clear()
         if keys:
             yield send()
@@ -237,33 +271,59 @@ def _root(words: int, near: Fraction, counts, buckets: int):
     return run
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [()] * len(_ROOT), _ROOT)], schema=_ROOT)
+def _held_twice(rows: pa.Table) -> pa.Table:
+    """Of a bucket's cells those with two sets, as words of the bitmap."""
+    cell = [_unpack48(a) for a in rows.column("a").to_pylist()]
+    twice = [np.unpackbits(np.frombuffer(b, np.uint8), count=len(c)).astype(bool) for b, c in zip(rows.column("b").to_pylist(), cell)]
+    cell, twice = np.concatenate(cell), np.concatenate(twice)
+    values = np.sort(cell)
+    start = _starts(values)
+    several = values[start[np.diff(np.append(start, len(values))) > 1]]
+    spot = np.unique(_spot(np.concatenate([several, cell[twice]])))
+    start = _starts(spot >> 6)
+    bit = np.left_shift(np.int64(1), spot & 63)
+    return pa.table({"word": pa.array(spot[start] >> 6, pa.int64()),
+                     "bit": pa.array(np.bitwise_or.reduceat(bit, start) if len(start) else bit, pa.int64())})
+
+
+def _bitmap(words: DataFrame, bits: int) -> np.ndarray:
+    """(word, bit) rows, at most bits / 64 distinct words, as one array."""
+    rows = words.groupBy("word").agg(F.bit_or("bit").alias("bit")).toPandas()
+    out = np.zeros(bits // 64, np.int64)
+    out[rows["word"].to_numpy(np.int64)] = rows["bit"].to_numpy(np.int64)
+    return out
 
 
 def _meet(rows: pa.Table) -> pa.Table:
-    """Ties the sets that meet at a pivot to the smallest of them."""
-    raw = b"".join(rows.column("a").to_pylist())
-    token = np.zeros((len(raw) // 6, 8), np.uint8)
-    token[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
-    token = token.view("<u8").ravel()
-    key = np.frombuffer(b"".join(rows.column("b").to_pylist()), np.uint8).reshape(-1, 16)
+    """Ties the sets that meet in a cell to the smallest of them; ties found by tasks pass."""
+    tie = np.array(rows.column("tie").to_pylist(), bool)
+    a, b = rows.column("a").to_pylist(), rows.column("b").to_pylist()
+    both = lambda xs: np.frombuffer(b"".join(xs), np.uint8).reshape(-1, 16)
+    ready = np.concatenate([both([x for x, t in zip(a, tie) if t]), both([x for x, t in zip(b, tie) if t])], axis=1)
+    cell = _unpack48(b"".join(x for x, t in zip(a, tie) if not t))
+    key = both([x for x, t in zip(b, tie) if not t])
     high, low = key[:, :8].copy().view(">u8").ravel(), key[:, 8:].copy().view(">u8").ravel()
-    order = np.lexsort((low, high, token))
-    t = token[order]
-    start = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
-    head = np.repeat(start, np.diff(np.append(start, len(t))))
-    a, b = key[order], key[order][head]
-    pairs = np.unique(np.concatenate([a, b], axis=1)[(a != b).any(axis=1)], axis=0)
+    order = np.lexsort((low, high, cell))
+    start = _starts(cell[order])
+    head = np.repeat(start, np.diff(np.append(start, len(order))))
+    x, y = key[order], key[order][head]
+    pairs = np.unique(np.concatenate([np.concatenate([x, y], axis=1)[(x != y).any(axis=1)], ready]), axis=0)
     return pa.table({"a": pa.array([p[:16].tobytes() for p in pairs], pa.binary()),
                      "b": pa.array([p[16:].tobytes() for p in pairs], pa.binary())})
 
 
-def _untie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for a, b in zip(*(c.to_pylist() for c in batch.columns)):
-            yield pa.RecordBatch.from_pydict({"a": [a[i:i + 16] for i in range(0, len(a), 16)],
-                                              "b": [b[i:i + 16] for i in range(0, len(b), 16)]})
+def _sizes(words: int):
+    """Arrow batches of (doc_id, body, text_key) -> (doc_id, n_shingles, set_key, text_key)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make = Shingler(words)
+        for batch in batches:
+            sets = [(len(s), set_key(s) if len(s) else None) for s in make.sets(batch.column(1))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([n for n, _ in sets], pa.int64()), pa.array([k for _, k in sets], pa.binary()), batch.column(2)],
+                ["doc_id", "n_shingles", "set_key", "text_key"])
+
+    return run
 
 
 # ---- inside a region -------------------------------------------------------------------------------------------------
@@ -328,9 +388,6 @@ def join_region(sets: list[np.ndarray], near: Fraction) -> list[tuple[int, int]]
     return links
 
 
-_LINK_SQL = "a binary, b binary"
-
-
 def _regions(near: Fraction):
     """Arrow batches of (region, key, tokens) sorted by region -> links."""
 
@@ -400,12 +457,8 @@ def _large_regions(sets: DataFrame, near: Fraction) -> DataFrame:
 def _members(nodes: DataFrame) -> np.ndarray:
     """Bitmap of set keys (MEMBER_BITS bits, fixed size)."""
     spot = F.conv(F.hex(F.substring("node", 14, 3)), 16, 10).cast("long").bitwiseAND(F.lit(MEMBER_BITS - 1))
-    words = (nodes.select(spot.alias("spot"))
-             .select(F.shiftright("spot", 6).alias("word"), F.expr("shiftleft(1L, cast(spot & 63 as int))").alias("bit"))
-             .groupBy("word").agg(F.bit_or("bit").alias("bit")).toPandas())
-    out = np.zeros(MEMBER_BITS // 64, np.int64)
-    out[words["word"].to_numpy(np.int64)] = words["bit"].to_numpy(np.int64)
-    return out
+    return _bitmap(nodes.select(spot.alias("spot")).select(
+        F.shiftright("spot", 6).alias("word"), F.expr("shiftleft(1L, cast(spot & 63 as int))").alias("bit")), MEMBER_BITS)
 
 
 def _has(bits: np.ndarray, key: bytes) -> bool:
@@ -444,15 +497,14 @@ def jaccard_join(docs: DataFrame, words: int = 3, near: Fraction = Fraction(9, 1
     spark = docs.sparkSession
     body = text_or_empty(F.col("text")).cast("binary").alias("body")
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), body)
-    counts = spark.sparkContext.broadcast(shingle_counts(read, words))
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = read.withColumn("text_key", text_key(F.col("body")))
-    root = cut_lineage(keyed.mapInArrow(_root(words, near, counts, buckets), _ROOT_SQL))
-    members = root.where(f"kind = {DOC}").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("a").alias("set_key"), F.col("b").alias("text_key"))
-    meet = root.where(f"kind = {MEET}").select("bucket", "a", "b").groupBy("bucket").applyInArrow(_meet, _LINK_SQL)
-    ties = root.where(f"kind = {TIE}").select("a", "b").mapInArrow(_untie, _LINK_SQL)
-    region = components(meet.unionByName(ties))
+    members = cut_lineage(read.withColumn("text_key", text_key(F.col("body"))).mapInArrow(
+        _sizes(words), "doc_id long, n_shingles long, set_key binary, text_key binary"))
+    body = read.select("body")
+    held = body.mapInArrow(_cells(words, near, buckets), _ROOT_SQL).groupBy("bucket").applyInArrow(_held_twice, "word long, bit long")
+    wanted = spark.sparkContext.broadcast(_bitmap(held, CELL_BITS))
+    region = components(body.mapInArrow(_cells(words, near, buckets, wanted), _ROOT_SQL)
+                        .groupBy("bucket").applyInArrow(_meet, _LINK_SQL))
     bits = spark.sparkContext.broadcast(_members(region))
     sets = read.select("body").mapInArrow(_sets_of(words, bits), "key binary, n long, tokens binary").dropDuplicates(["key"])
     sets = cut_lineage(sets.join(region.select(F.col("node").alias("key"), F.col("label").alias("region")), "key")

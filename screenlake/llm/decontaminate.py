@@ -47,7 +47,7 @@ class _Codes:
     """64-bit codes of words, with what kind of slot they may be; forgets all when it holds too many."""
 
     def __init__(self, most: int = 300_000):
-        self.known: dict[str, tuple[int, int]] = {}
+        self.known: dict[str, int] = {}  # the code, its lowest three bits the kind
         self.most = most
 
     def of(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -57,12 +57,11 @@ class _Codes:
         for t in set(tokens).difference(known):
             low = t.lower()
             raw = low.encode()
-            code = (zlib.crc32(raw) << 32 | zlib.crc32(raw, 0x5BD1E995)) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF
+            code = (zlib.crc32(raw) << 32 | zlib.crc32(raw, 0x5BD1E995)) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFF8
             kind = (4 if t in _ENDS else NUMBER if t[0].isdigit() else UNIT if low in UNITS else NAME if t[0].isupper() else 0)
-            known[t] = (code, kind)
-        pairs = list(map(known.__getitem__, tokens))
-        return (np.fromiter((p[0] for p in pairs), np.uint64, len(pairs)),
-                np.fromiter((p[1] for p in pairs), np.uint8, len(pairs)))
+            known[t] = code | kind
+        both = np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens))
+        return both & ~np.uint64(7), (both & np.uint64(7)).astype(np.uint8)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:

@@ -122,9 +122,10 @@ def _with_parts(docs: DataFrame) -> DataFrame:
 def _with_spans(parted: DataFrame, linked: DataFrame) -> DataFrame:
     """Adds ``_spans``: strong spans with the linked weak ones; texts without any company skip the join."""
     alone = parted.where("_digest is null").withColumn("_spans", F.col("_base"))
-    rest = parted.where("_digest is not null").join(linked, F.col("_digest") == F.col("digest"), "left")
-    rest = rest.withColumn("_spans", F.when(F.col("linked").isNull(), F.col("_base"))
-                           .otherwise(F.sort_array(F.concat("_base", "linked")))).drop("digest", "linked")
+    linked = linked.select(F.col("digest").alias("_of"), F.col("linked").alias("_linked"))
+    rest = parted.where("_digest is not null").join(linked, F.col("_digest") == F.col("_of"), "left")
+    rest = rest.withColumn("_spans", F.when(F.col("_linked").isNull(), F.col("_base"))
+                           .otherwise(F.sort_array(F.concat("_base", "_linked")))).drop("_of", "_linked")
     return alone.unionByName(rest)
 
 

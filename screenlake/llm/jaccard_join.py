@@ -144,8 +144,11 @@ class Bands:
         while not self.high or self.high[-1] < n:
             high = int(self.low[-1] / near)
             apart = int((1 - near) / (1 + near) * 2 * high)  # shingles in which linked sets of the band differ at most
-            mean = high * near / (apart + 1)
-            spare = int((apart + 1) * min(0.05, 3 * np.exp(-float(mean))))
+            # parts that the band's smallest sets leave empty are about Poisson; few sets have more than ``spare``
+            spare = 0
+            for _ in range(8):
+                empty = (apart + 1 + spare) * float(np.exp(-float(high * near * near / (apart + 1 + spare))))
+                spare = max(spare, int(np.ceil(empty + 4 * empty ** 0.5)) if empty > 1e-3 else 0)
             self.high.append(high)
             self.parts.append(apart + 1 + spare)
             self.spare.append(spare)

@@ -5,11 +5,13 @@ placeholders, whose values are the slots.  Windows of ``width`` words are hashed
 (literal).  Document windows are equi-joined with the benchmark's by hash.  A document holds an item when it has at least
 ``least`` of its distinct literal windows, or at least ``least`` of its template windows and its slots are consistent: every
 item value stands for one document value and the other way round, so re-parameterised copies count and chance
-agreements of a template don't.
+agreements of a template don't.  It also holds an item, whatever the item's length, when it has a passage of it: ``RUN`` words or
+more inside matching windows that follow each other in both texts, with at most ``GAP`` other words in between; replaced
+words leave the windows at one offset, inserted or left out ones move it a little.
 
 Before the join, document windows pass a bitmap of the benchmark's hashes (``BITS`` bits, a fixed size, broadcast); it only
 drops windows that can't join.  The join itself is left to the planner, whatever the benchmark's size.  Equal texts
-have one digest and are judged once; a window counts once a text.
+have one digest and are judged once; a window counts once a text for the shares, passages see all its places.
 
 An item with fewer than ``width`` words has one window holding them all; one without words matches nothing.
 
@@ -21,17 +23,20 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, LongType, StringType, StructField, StructType
 
 from screenlake.llm.tables import text_or_empty
 
 WIDTH, LEAST, BITS = 8, 0.5, 1 << 23
+RUN, GAP = 13, 8  # words of a passage that match, words between its parts that don't
+PIECE = 4096  # document places looked at together
 NUMBER, NAME, UNIT = 1, 2, 3
 # units of measure taken as placeholders (fixed value)
 UNITS = frozenset("""mm cm m km inch inches feet foot yard yards mile miles mg g kg gram grams kilogram kilograms ton tons ounce
@@ -101,20 +106,32 @@ class Canon:
         one = np.uint64(1)
         return _rolled(self.template, width) & ~one, _rolled(self.literal, width) | one
 
-    def slots(self, i: int, width: int) -> list[str]:
-        return [f"{self.kind[k]}{self.tokens[self.at[k]].lower()}" for k in range(i, min(i + width, len(self)))
-                if self.kind[k]]
+    def slots(self, i: int, width: int) -> str:
+        """Slots of a window: place in it, kind and value of each."""
+        return " ".join(f"{k - i}:{self.kind[k]}{self.tokens[self.at[k]].lower()}" for k in range(i, min(i + width, len(self)))
+                        if self.kind[k])
 
 
+PLACES = StructType([StructField("at", LongType()), StructField("slots", StringType())])
 ITEM = StructType([StructField("item_id", LongType()), StructField("item", StringType()), StructField("hash", LongType()),
-                   StructField("windows", LongType()), StructField("literal", LongType()),
-                   StructField("width", LongType()), StructField("slots", ArrayType(StringType()))])
-HIT = "digest string, hash long, slots array<string>, at long"
+                   StructField("windows", LongType()), StructField("literal", LongType()), StructField("width", LongType()),
+                   StructField("words", LongType()), StructField("places", ArrayType(PLACES))])
+HIT = "digest string, hash long, found array<struct<at:bigint,slots:string>>"
+_PLACES = pa.list_(pa.struct([("at", pa.int64()), ("slots", pa.string())]))
+
+
+def _by_hash(hashes: np.ndarray) -> Iterator[tuple[int, list[int]]]:
+    """Each hash with its places, in order."""
+    order = np.argsort(hashes, kind="stable")
+    own, start = np.unique(hashes[order], return_index=True)
+    for h, places in zip(own.view("int64").tolist(), np.split(order, start[1:]) if len(own) else ()):
+        yield h, places.tolist()
 
 
 def benchmark_windows(items: DataFrame, width: int = WIDTH) -> DataFrame:
     """Distinct windows of each item: ``item_id, item`` (a key of id and text), ``hash, windows, literal``
-    (how many distinct ones of that kind the item has, and whether literal), ``width, slots``."""
+    (how many distinct ones of that kind the item has, and whether literal), ``width, words`` (of the item), ``places`` (first words
+    and slots)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = _Codes()
@@ -126,9 +143,9 @@ def benchmark_windows(items: DataFrame, width: int = WIDTH) -> DataFrame:
                 if not w:
                     continue
                 for literal, hashes in enumerate(c.windows(w)):
-                    own, first = np.unique(hashes, return_index=True)
-                    rows += [(item_id, key, int(h), len(own), literal, w, [] if literal else c.slots(int(i), w))
-                             for h, i in zip(own.view("int64"), first)]
+                    own = list(_by_hash(hashes))
+                    rows += [(item_id, key, h, len(own), literal, w, len(c),
+                              [{"at": i, "slots": "" if literal else c.slots(i, w)} for i in places]) for h, places in own]
             yield pa.RecordBatch.from_pylist([dict(zip(ITEM.names, r)) for r in rows], schema=_arrow(ITEM))
 
     key = F.concat_ws(":", F.col("item_id").cast("string"), F.md5(text_or_empty(F.col("text"))))
@@ -138,9 +155,8 @@ def benchmark_windows(items: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def _arrow(schema: StructType) -> pa.Schema:
-    kinds = {LongType: pa.int64(), StringType: pa.string(), BinaryType: pa.binary()}
-    return pa.schema([(f.name, pa.list_(pa.string()) if isinstance(f.dataType, ArrayType) else kinds[type(f.dataType)])
-                      for f in schema.fields])
+    kinds = {LongType: pa.int64(), StringType: pa.string(), DoubleType: pa.float64(), BooleanType: pa.bool_(), ArrayType: _PLACES}
+    return pa.schema([(f.name, kinds[type(f.dataType)]) for f in schema.fields])
 
 
 def bitmap(hashes: DataFrame, bits: int = BITS) -> np.ndarray:
@@ -155,7 +171,7 @@ def bitmap(hashes: DataFrame, bits: int = BITS) -> np.ndarray:
 
 
 def document_windows(docs: DataFrame, seen: np.ndarray, widths: list[int]) -> DataFrame:
-    """``digest, hash, slots, at``: the first window of each hash that the bitmap lets through, per distinct text of a task."""
+    """``digest, hash, found``: all places of each window that the bitmap lets through, a row for each hash of a text."""
     mask = np.uint64(len(seen) - 1)
     shared = docs.sparkSession.sparkContext.broadcast(seen)
 
@@ -169,14 +185,15 @@ def document_windows(docs: DataFrame, seen: np.ndarray, widths: list[int]) -> Da
                     for w in widths:
                         if len(c) < w:
                             continue
-                        for hashes in c.windows(w):
+                        for literal, hashes in enumerate(c.windows(w)):
                             hit = np.flatnonzero(bits[hashes & mask])
                             if len(hit):
-                                own, first = np.unique(hashes[hit], return_index=True)
-                                rows += [{"digest": digest, "hash": int(h), "slots": c.slots(int(hit[i]), w), "at": int(hit[i])}
-                                         for h, i in zip(own.view("int64"), first)]
+                                at = hit.tolist()
+                                rows += [{"digest": digest, "hash": h,
+                                          "found": [{"at": at[i], "slots": "" if literal else c.slots(at[i], w)} for i in places]}
+                                         for h, places in _by_hash(hashes[hit])]
                 yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(
-                    [("digest", pa.string()), ("hash", pa.int64()), ("slots", pa.list_(pa.string())), ("at", pa.int64())]))
+                    [("digest", pa.string()), ("hash", pa.int64()), ("found", _PLACES)]))
 
     return docs.mapInArrow(run, HIT)
 
@@ -185,6 +202,92 @@ def text_digest():
     return F.md5(text_or_empty(F.col("text")))
 
 
+class Match:
+    """Windows of one document and one item that follow each other at one offset, or several such after each other."""
+
+    def __init__(self, places: list[int], offset: int, width: int):
+        self.places, self.offset, self.width = set(places), offset, width
+        self.first, self.end = places[0], places[-1] + width
+        self.at, self.at_end = self.first + offset, self.end + offset
+
+    def words(self) -> set[int]:
+        return {p + k for p in self.places for k in range(self.width)}
+
+    def joined(self, then: Match) -> Match | None:
+        """With the windows of another offset that come right after; None where they don't."""
+        if (then.offset == self.offset or then.end <= self.end or then.at_end <= self.at_end
+                or not -self.width <= then.first - self.end <= GAP or not -self.width <= then.at - self.at_end <= GAP):
+            return None
+        both = Match([then.first], then.offset, self.width)
+        both.places, both.end, both.at_end = self.places | then.places, then.end, then.at_end
+        return both
+
+
+def _offsets(windows: list[tuple[list, list]], lo: int, hi: int) -> dict[int, list[int]]:
+    """Item places by document place minus item place, for document places from ``lo`` up to ``hi``."""
+    out = defaultdict(list)
+    for places, found in windows:
+        for f in found:
+            if lo <= f["at"] < hi:
+                for p in places:
+                    out[f["at"] - p["at"]].append(p["at"])
+    return out
+
+
+def _has_passage(windows: list[tuple[list, list]], width: int, words: int, enough) -> bool:
+    """Whether windows (item places, document places) hold a match that is ``enough``."""
+    last = max((f["at"] for _, found in windows for f in found), default=-1)
+    step = max(PIECE, words)
+    for lo in range(0, last + 1, step):  # pieces lap over by two items, so that no passage is cut
+        matches = []
+        for offset, places in _offsets(windows, lo, lo + step + 2 * words).items():
+            places.sort()
+            cut = [0, *(i for i in range(1, len(places)) if places[i] - places[i - 1] > width + GAP), len(places)]
+            matches += [Match(places[i:j], offset, width) for i, j in zip(cut, cut[1:])]
+        if any(map(enough, matches)):
+            return True
+        matches.sort(key=lambda m: (m.at, m.first))
+        for i, m in enumerate(matches):
+            for then in matches[i + 1:]:
+                if then.at - m.at_end > GAP:
+                    break
+                if (both := m.joined(then)) is not None:
+                    m = both
+                    if enough(m):
+                        return True
+    return False
+
+
+def _one_to_one(pairs: set[tuple[str, str]]) -> bool:
+    return len({i for i, _ in pairs}) == len(pairs) == len({d for _, d in pairs})
+
+
+def _pairs(item: str, doc: str) -> Iterator[tuple[str, str]]:
+    """Item and document values of a window's slots, without their places."""
+    for i, d in zip(item.split(), doc.split()):
+        yield i.partition(":")[2], d.partition(":")[2]
+
+
+LEAK = StructType([StructField("digest", StringType()), StructField("item_id", LongType()), StructField("literal_share", DoubleType()),
+                   StructField("template_share", DoubleType()), StructField("consistent", BooleanType()),
+                   StructField("first_word", LongType())])
+
+
+def _judge(windows: list[dict], least: float) -> dict | None:
+    """Shares of the windows an item and a document have in common, or None where the document doesn't hold the item."""
+    by_kind = [[(w["places"], w["found"]) for w in windows if w["literal"] == kind] for kind in (0, 1)]
+    n, width, words = windows[0]["windows"], windows[0]["width"], windows[0]["words"]
+    template, literal = (len(k) / max((w["windows"] for w in windows if w["literal"] == kind), default=n)
+                         for kind, k in enumerate(by_kind))
+    # shares take the first place of a window
+    consistent = _one_to_one({x for p, f in by_kind[0] for x in _pairs(p[0]["slots"], f[0]["slots"])})
+    if not (literal >= least or template >= least and consistent
+            or _has_passage(by_kind[1], width, words, lambda m: len(m.words()) >= RUN)):
+        return None
+    return {"literal_share": literal, "template_share": template, "consistent": consistent,
+            "first_word": min(f["at"] for w in windows for f in w["found"])}
+
+
 def leaks(docs: DataFrame, items: DataFrame, width: int = WIDTH, least: float = LEAST) -> DataFrame:
     """``digest, item_id, literal_share, template_share, consistent, first_word``: which distinct texts hold which items."""
     bench = benchmark_windows(items, width)
@@ -192,21 +295,22 @@ def leaks(docs: DataFrame, items: DataFrame, width: int = WIDTH, least: float =
     widths = sorted(r[0] for r in facts.select("width").distinct().collect())  # at most ``width`` values
     texts = docs.select(text_digest().alias("digest"), text_or_empty(F.col("text")).alias("text")).where("text != ''")
     hits = document_windows(texts, bitmap(facts), widths)
-    once = hits.groupBy("digest", "hash").agg(F.min_by(F.struct("slots", "at"), F.struct("at", "slots")).alias("h"))
-    both = once.join(bench.withColumnRenamed("slots", "item_slots"), "hash")
-    filled = F.arrays_zip(F.col("item_slots").alias("i"), F.col("h.slots").alias("d"))
-    per = both.groupBy("digest", "item_id", "item").agg(
-        (F.sum(F.when(F.col("literal") == 1, 1).otherwise(0)) / F.max(F.when(F.col("literal") == 1, F.col("windows")))
-         ).alias("literal_share"),
-        (F.sum(F.when(F.col("literal") == 0, 1).otherwise(0)) / F.max(F.when(F.col("literal") == 0, F.col("windows")))
-         ).alias("template_share"),
-        F.array_distinct(F.flatten(F.collect_list(F.when(F.col("literal") == 0, filled)))).alias("pairs"),
-        F.min("h.at").alias("first_word"))
-    one_to_one = ((F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"]))) == F.size("pairs"))
-                  & (F.size(F.array_distinct(F.transform("pairs", lambda p: p["d"]))) == F.size("pairs")))
-    shares = [F.coalesce(c, F.lit(0.0)).alias(c) for c in ("literal_share", "template_share")]
-    judged = per.withColumn("consistent", one_to_one).select("digest", "item_id", *shares, "consistent", "first_word")
-    return judged.where((F.col("literal_share") >= least) | ((F.col("template_share") >= least) & F.col("consistent")))
+    once = hits.groupBy("digest", "hash").agg(F.first("found").alias("found"))  # equal texts have equal places
+    per = once.join(bench, "hash").groupBy("digest", "item_id", "item").agg(
+        F.collect_list(F.struct("literal", "windows", "width", "words", "places", "found")).alias("both"))
+    # a single window is a share at most of items with one or two
+    some = per.where((F.size("both") > 1) | (F.col("both")[0]["windows"] * least <= 1)).select("digest", "item_id", "both")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for at in range(0, batch.num_rows, 256):
+                for digest, item_id, both in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns)):
+                    if (said := _judge(both, least)) is not None:
+                        rows.append({"digest": digest, "item_id": item_id} | said)
+            yield pa.RecordBatch.from_pylist(rows, schema=_arrow(LEAK))
+
+    return some.mapInArrow(run, LEAK)
 
 
 def contaminated(docs: DataFrame, items: DataFrame, width: int = WIDTH, least: float = LEAST) -> DataFrame:

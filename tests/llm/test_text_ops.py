@@ -236,6 +236,27 @@ def test_planted_items_are_found_and_no_more(spark):
                if g & {tuple(words(r["text"])[k:k + 8]) for k in range(len(words(r["text"])) - 7)}}
     assert planted and planted <= got <= touched
 
+
+def _long_item(n):
+    rnd = random.Random(n)
+    return ["".join(rnd.choice("abcdefghijklmnoprstuvwy") for _ in range(7)) for _ in range(n)]
+
+
+def test_passages_of_long_items(spark):
+    short, long = _long_item(59), _long_item(500)
+    filler = ["filler%s" % c for c in "abcdefghijklmnopqrstuvwxyz"]
+    edited = lambda words, every: [("changed" if i % every == every - 1 else w) for i, w in enumerate(words)]
+    added = [x for i, w in enumerate(short) for x in ((w, "added") if i % 12 == 11 else (w,))]
+    left = [w for i, w in enumerate(short) if i % 13 != 12]
+    texts = {1: filler + short[10:42] + filler, 2: filler + long[100:350] + filler, 3: edited(short, 13), 4: filler + edited(long[200:280], 13),
+             5: added, 6: left, 7: long[20:33], 8: filler + long[20:32] + filler, 9: short[:8] + filler + short[30:38],
+             10: short[:8] + ["x"] * 9 + short[17:25], 11: short[40:48] + ["x"] + short[20:28], 12: filler + long[1:9] + filler * 400 + short[5:20]}
+    items = spark.createDataFrame([(1, " ".join(short)), (2, " ".join(long))], "item_id long, text string")
+    docs = docs_of(spark, [(d, " ".join(t)) for d, t in texts.items()])
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, items).collect()}
+    assert got == {(1, 1), (2, 2), (3, 1), (4, 2), (5, 1), (6, 1), (7, 2), (12, 1)}
+    assert sorted(r["doc_id"] for r in decontaminate.clean(docs, items).collect()) == [8, 9, 10, 11]
+
 # ---- suffix runs -----------------------------------------------------------------------------------------------------
 
 

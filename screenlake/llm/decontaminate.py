@@ -4,10 +4,12 @@ A text becomes words, lower-cased; numbers, names (capitalised inside a sentence
 placeholders, whose values are the slots.  Windows of ``width`` words are hashed twice, with placeholders (template) and without
 (literal).  Document windows are equi-joined with the benchmark's by hash.  A document holds an item when it has at least
 ``least`` of its distinct literal windows, or at least ``least`` of its template windows and its slots are consistent: every
-item value stands for one document value and the other way round, so re-parameterised copies count and chance
-agreements of a template don't.  It also holds an item, whatever the item's length, when it has a passage of it: ``RUN`` words or
-more inside matching windows that follow each other in both texts, with at most ``GAP`` other words in between; replaced
-words leave the windows at one offset, inserted or left out ones move it a little.
+item value stands for one document value, and for names and units the other way round too (two numbers may happen to become
+one), so re-parameterised copies count and chance agreements of a template don't.  It also holds an item, whatever the item's
+length, when it has a passage of it: ``RUN`` words or more inside matching windows that follow each other in both texts, with at
+most ``GAP`` other words in between; replaced words leave the windows at one offset, inserted or left out ones move it a little.
+Of a passage of template windows only words outside its slots count, or its share of the item's windows; its slots are consistent
+in themselves, whatever values the document has elsewhere.
 
 Before the join, document windows pass a bitmap of the benchmark's hashes (``BITS`` bits, a fixed size, broadcast); it only
 drops windows that can't join.  The join itself is left to the planner, whatever the benchmark's size.  Equal texts
@@ -205,35 +207,66 @@ def text_digest():
 class Match:
     """Windows of one document and one item that follow each other at one offset, or several such after each other."""
 
-    def __init__(self, places: list[int], offset: int, width: int):
+    def __init__(self, places: list[int], offset: int, width: int, slots: dict[int, tuple[str, str]] | None = None):
         self.places, self.offset, self.width = set(places), offset, width
+        self.slots = slots or {}  # item and document value by item place
         self.first, self.end = places[0], places[-1] + width
         self.at, self.at_end = self.first + offset, self.end + offset
 
-    def words(self) -> set[int]:
-        return {p + k for p in self.places for k in range(self.width)}
+    def words(self) -> int:
+        """How many words of the item are in the windows, without slots."""
+        return len({p + k for p in self.places for k in range(self.width)} - self.slots.keys())
 
     def joined(self, then: Match) -> Match | None:
         """With the windows of another offset that come right after; None where they don't."""
         if (then.offset == self.offset or then.end <= self.end or then.at_end <= self.at_end
                 or not -self.width <= then.first - self.end <= GAP or not -self.width <= then.at - self.at_end <= GAP):
             return None
-        both = Match([then.first], then.offset, self.width)
+        if self.slots and then.slots and not _consistent({*self.slots.values(), *then.slots.values()}):
+            return None
+        both = Match([then.first], then.offset, self.width, self.slots | then.slots)
         both.places, both.end, both.at_end = self.places | then.places, then.end, then.at_end
         return both
 
 
-def _offsets(windows: list[tuple[list, list]], lo: int, hi: int) -> dict[int, list[int]]:
-    """Item places by document place minus item place, for document places from ``lo`` up to ``hi``."""
+def _offsets(windows: list[tuple[list, list]], lo: int, hi: int) -> dict[int, list[tuple[int, str, str]]]:
+    """Item places and slots by document place minus item place, for document places from ``lo`` up to ``hi``."""
     out = defaultdict(list)
     for places, found in windows:
         for f in found:
             if lo <= f["at"] < hi:
                 for p in places:
-                    out[f["at"] - p["at"]].append(p["at"])
+                    out[f["at"] - p["at"]].append((p["at"], p["slots"], f["slots"]))
     return out
 
 
+def _consistent_parts(run: list[tuple[int, str, str]], offset: int, width: int) -> Iterator[Match]:
+    """The longest parts of windows at one offset whose slots are consistent."""
+    if not any(slots for _, slots, _ in run):
+        yield Match([p for p, *_ in run], offset, width)
+        return
+    left = 0
+    seen: dict[tuple[str, str], tuple[str, int]] = {}  # the other value, and the last window that had it
+    pairs = [{p + int(i.partition(":")[0]): x for i, x in zip(item.split(), _pairs(item, doc))} for p, item, doc in run]
+
+    def part(i: int, j: int) -> Match:
+        return Match([p for p, *_ in run[i:j]], offset, width, {k: v for own in pairs[i:j] for k, v in own.items()})
+
+    for n, own in enumerate(pairs):
+        start = left
+        for i, d in own.values():
+            for key, other in ((("item", i), d), (("doc", d), i))[:1 if d.startswith(str(NUMBER)) else 2]:
+                if key in seen and seen[key][0] != other:
+                    start = max(start, seen[key][1] + 1)
+                seen[key] = (other, n)
+        if start > left:
+            if n > left:
+                yield part(left, n)
+            left = start
+    if left < len(run):
+        yield part(left, len(run))
+
+
 def _has_passage(windows: list[tuple[list, list]], width: int, words: int, enough) -> bool:
     """Whether windows (item places, document places) hold a match that is ``enough``."""
     last = max((f["at"] for _, found in windows for f in found), default=-1)
@@ -242,8 +275,9 @@ def _has_passage(windows: list[tuple[list, list]], width: int, words: int, enoug
         matches = []
         for offset, places in _offsets(windows, lo, lo + step + 2 * words).items():
             places.sort()
-            cut = [0, *(i for i in range(1, len(places)) if places[i] - places[i - 1] > width + GAP), len(places)]
-            matches += [Match(places[i:j], offset, width) for i, j in zip(cut, cut[1:])]
+            cut = [0, *(i for i in range(1, len(places)) if places[i][0] - places[i - 1][0] > width + GAP), len(places)]
+            for i, j in zip(cut, cut[1:]):
+                matches += _consistent_parts(places[i:j], offset, width)
         if any(map(enough, matches)):
             return True
         matches.sort(key=lambda m: (m.at, m.first))
@@ -258,8 +292,10 @@ def _has_passage(windows: list[tuple[list, list]], width: int, words: int, enoug
     return False
 
 
-def _one_to_one(pairs: set[tuple[str, str]]) -> bool:
-    return len({i for i, _ in pairs}) == len(pairs) == len({d for _, d in pairs})
+def _consistent(pairs: set[tuple[str, str]]) -> bool:
+    """Whether each item value has one document value, and names and units the other way round."""
+    named = [d for _, d in pairs if not d.startswith(str(NUMBER))]
+    return len({i for i, _ in pairs}) == len(pairs) and len(set(named)) == len(named)
 
 
 def _pairs(item: str, doc: str) -> Iterator[tuple[str, str]]:
@@ -280,10 +316,16 @@ def _judge(windows: list[dict], least: float) -> dict | None:
     template, literal = (len(k) / max((w["windows"] for w in windows if w["literal"] == kind), default=n)
                          for kind, k in enumerate(by_kind))
     # shares take the first place of a window
-    consistent = _one_to_one({x for p, f in by_kind[0] for x in _pairs(p[0]["slots"], f[0]["slots"])})
-    if not (literal >= least or template >= least and consistent
-            or _has_passage(by_kind[1], width, words, lambda m: len(m.words()) >= RUN)):
-        return None
+    consistent = _consistent({x for p, f in by_kind[0] for x in _pairs(p[0]["slots"], f[0]["slots"])})
+    if not (literal >= least or template >= least and consistent or _has_passage(by_kind[1], width, words, lambda m: m.words() >= RUN)):
+        hash_of = {p["at"]: k for k, (places, _) in enumerate(by_kind[0]) for p in places}
+
+        def enough(m: Match) -> bool:
+            return m.words() >= RUN or len({hash_of[p] for p in m.places}) / n >= least
+
+        if not _has_passage(by_kind[0], width, words, enough):
+            return None
+        consistent = True
     return {"literal_share": literal, "template_share": template, "consistent": consistent,
             "first_word": min(f["at"] for w in windows for f in w["found"])}
 

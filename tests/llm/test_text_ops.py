@@ -257,6 +257,33 @@ def test_passages_of_long_items(spark):
     assert got == {(1, 1), (2, 2), (3, 1), (4, 2), (5, 1), (6, 1), (7, 2), (12, 1)}
     assert sorted(r["doc_id"] for r in decontaminate.clean(docs, items).collect()) == [8, 9, 10, 11]
 
+
+def test_slots_are_judged_by_passage(spark):
+    copy = ITEM.replace("40", "65").replace("Alice", "Carol").replace("12", "7.5").replace("Bob", "Dave")
+    stray = "leaves the old station at 99 mph and"
+    one_value = ITEM.replace("40", "4").replace("after 3", "after 4")  # two numbers became one
+    two_names = ITEM.replace("Alice meets Bob", "Carol meets Carol").replace("40", "65")
+    swap = "Then it says that Alice leaves 5 miles of the old wall to our friend and walks on by the river with Bob to Alice at home"
+    texts = {1: f"It {stray} stops. {copy}", 2: one_value, 3: f"{copy}. It {stray} stops", 4: two_names, 5: f"It {stray} stops",
+             6: swap.replace("to Alice", "to Carol").replace("Bob", "Dave"), 7: f"{two_names}. {copy}",
+             8: "leaves the old garden " + " ".join("1 2 3 4 5 6 7 8 9 10 11 12 13 14 15".split() * 30)}
+    items = spark.createDataFrame([(1, ITEM), (2, " ".join(str(n) for n in range(20, 36)) + " are the numbers of our streets and lanes")],
+                                  "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs_of(spark, list(texts.items())), items).collect()}
+    assert {(1, 1), (2, 1), (3, 1), (7, 1)} <= got and not {4, 5, 6} & {d for d, _ in got}
+
+
+def test_parts_with_consistent_slots_are_the_longest():
+    rnd = random.Random(9)
+    for _ in range(300):
+        run = [(p, *(" ".join(f"0:{k}{v}" for k, v in x) for x in zip(*[((k, rnd.choice("ab")), (k, rnd.choice("cd"))) for k in rnd.choices("12", k=1)])))
+               for p in range(rnd.randint(1, 12))]
+        fits = lambda i, j: decontaminate._consistent({x for _, a, b in run[i:j] for x in decontaminate._pairs(a, b)})
+        spans = [(i, j) for i in range(len(run)) for j in range(i + 1, len(run) + 1) if fits(i, j)]
+        want = {(i, j) for i, j in spans if not any((a, b) != (i, j) and a <= i and j <= b for a, b in spans)}
+        got = {(m.first, m.end) for m in decontaminate._consistent_parts(run, 0, 1)}
+        assert got == want
+
 # ---- suffix runs -----------------------------------------------------------------------------------------------------
 
 

@@ -75,6 +75,16 @@ def test_tokens_are_those_of_the_tokenizer():
     assert tok.encode(texts) == want
 
 
+def test_strings_of_added_tokens_are_their_ids():
+    from tokenizers import Tokenizer
+    plain, tok = Tokenizer.from_file(queries.tokenizer_path()), packing.TextTokenizer(queries.tokenizer_path())
+    added = [t.content for t in plain.get_added_tokens_decoder().values()]
+    texts = ["a <|endoftext|> b"] + [x for a in added for x in (a, f"a {a} b", f"x{a}{a}y\n", a[:-1], f"{a}日", f"  {a}  ", a.upper())]
+    want = [np.array(plain.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
+    assert added and tok.encode(texts) == want
+    assert np.frombuffer(tok.encode(texts[:1])[0], "<u4").tolist() == [64, 220, 50256, 275]
+
+
 def test_pieces_hold_every_id_once(spark, tmp_path):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(queries.tokenizer_path())

@@ -3,7 +3,8 @@
 Strong patterns report on their own: assignments, access keys and long hexadecimal strings.  Weak ones
 (a login or key identifier, a token-like string, a service endpoint) are reported only where a complementary part
 lies within ``scope`` code points: an identifier needs a secret, a secret an identifier or an endpoint,
-an endpoint a secret.  Strong spans serve as parts as well; a weak part that overlaps a strong span is that span.
+an endpoint a secret.  Strong spans serve as parts as well; a weak part that lies wholly in a strong span is that span.
+Parts that overlap are not linked, but for a secret in the user part (between :// and @) or in the query of an endpoint.
 
 Matching parts are joined on (text digest, position cell); every part within a scope of a weak one lies in a
 cell the weak one is listed under.  A cell holds few spans, since spans of a kind don't overlap, so the join stays linear in the text.
@@ -39,6 +40,8 @@ ROLE = {"assign": "key", "access": "id", "hex": "key", "id": "id", "key": "key",
 NEEDS = {"id": ("key",), "key": ("id", "endpoint"), "endpoint": ("key",)}
 SCOPE = 200
 _SPAN = "array<struct<start:bigint,rank:int,kind:string,end:bigint>>"
+# scheme, user part with its @, host and path, query of an endpoint
+_URL = r"^([^/]*:)(//(?:[^/?#]*@)?)([^?#]*)(\?[^#]*)?"
 
 
 def _spans(text: Column, low: Column, kind: str, pattern: str, group: int, least: int, hints: tuple) -> Column:
@@ -85,6 +88,26 @@ def _role(kind: Column) -> Column:
     return out
 
 
+def _placed(text: Column, parts: Column) -> Column:
+    """Parts with where secrets may stand in an endpoint: up to ``user`` (from ``begin`` on) and from ``query`` up to ``close``."""
+
+    def place(p: Column) -> Column:
+        url = F.substring(text, (p["start"] + 1).cast("int"), (p["end"] - p["start"]).cast("int"))
+        size = [F.when(p["kind"] == "endpoint", F.length(F.regexp_extract(url, _URL, g))).cast("long") for g in (1, 2, 3, 4)]
+        begin, query = p["start"] + size[0], p["start"] + size[0] + size[1] + size[2]
+        return F.struct(p["start"].alias("start"), p["rank"].alias("rank"), p["kind"].alias("kind"), p["end"].alias("end"),
+                        begin.alias("begin"), (begin + size[1] - 1).alias("user"), query.alias("query"), (query + size[3]).alias("close"))
+
+    return F.transform(parts, place)
+
+
+def _inside(key: str, point: str) -> Column:
+    """Whether the span with column prefix ``key`` stands in the user part or query of the endpoint with prefix ``point``."""
+    start, end = F.col(f"{key}start"), F.col(f"{key}end")
+    return F.coalesce((start >= F.col(f"{point}begin")) & (end <= F.col(f"{point}user"))
+                      | (start > F.col(f"{point}query")) & (end <= F.col(f"{point}close")), F.lit(False))
+
+
 def _linked(parts: DataFrame, scope: int) -> DataFrame:
     """``digest, linked``: per text its weak spans with a complementary part in scope."""
     one = parts.where("digest is not null").dropDuplicates(["digest"])
@@ -92,15 +115,15 @@ def _linked(parts: DataFrame, scope: int) -> DataFrame:
         "digest", "p.*", _role(F.col("p.kind")).alias("role"))
     weak = (spans.where(F.col("kind").isin([k for k, *_ in WEAK]))
             .withColumn("cell", F.explode(_cells(F.col("start") - scope, F.col("end") + scope, scope))))
-    other = (spans.select("digest", F.col("role").alias("o_role"), F.col("start").alias("o_start"),
-                          F.col("end").alias("o_end"))
+    other = (spans.select("digest", *[F.col(c).alias(f"o_{c}") for c in ("role", "start", "end", "begin", "user", "query", "close")])
              .withColumn("cell", F.explode(_cells(F.col("o_start"), F.col("o_end"), scope))))
     fits = F.lit(False)
     for role, needs in NEEDS.items():
         fits = fits | ((F.col("role") == role) & F.col("o_role").isin(list(needs)))
     apart = (F.col("o_start") >= F.col("end")) | (F.col("o_end") <= F.col("start"))
     near = (F.col("o_start") - F.col("end") <= scope) & (F.col("start") - F.col("o_end") <= scope)
-    pairs = weak.join(other, ["digest", "cell"]).where(fits & apart & near)
+    held = (F.col("role") == "key") & _inside("", "o_") | (F.col("o_role") == "key") & _inside("o_", "")
+    pairs = weak.join(other, ["digest", "cell"]).where(fits & (apart | held) & near)
     found = pairs.select("digest", "start", "rank", "kind", "end").distinct()
     return found.groupBy("digest").agg(
         F.sort_array(F.collect_list(F.struct("start", "rank", "kind", "end"))).cast(_SPAN).alias("linked"))
@@ -110,11 +133,11 @@ def _with_parts(docs: DataFrame) -> DataFrame:
     """Adds ``_base``, the strong spans, and for texts where a weak span has company ``_parts`` and ``_digest``."""
     text = text_or_empty(F.col("text"))
     low = F.lower(text)
-    weak = F.filter("_weak", lambda w: ~F.exists("_base", lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
+    weak = F.filter("_weak", lambda w: ~F.exists("_base", lambda b: (b["start"] <= w["start"]) & (w["end"] <= b["end"])))
     several = (F.size("_weak") > 0) & (F.size("_weak") + F.size("_base") > 1)
     return (docs.withColumns({"_base": F.sort_array(_all(text, low, STRONG)), "_weak": _all(text, low, WEAK)})
             .withColumn("_weak", weak)
-            .withColumns({"_parts": F.when(several, F.concat("_base", "_weak")),
+            .withColumns({"_parts": F.when(several, _placed(text, F.concat("_base", "_weak"))),
                           "_digest": F.when(several, F.sha2(text, 256))})
             .drop("_weak"))
 

@@ -23,6 +23,9 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 SEED = 42
+MODELS = ("rf", "lr", "svc", "nb", "dt", "gb", "ada", "bag", "mlp")
+# the reference's defaults: trees and rounds of its library's models, draws and folds of its search, folds of its cross-validation
+TREES, BAGS, ROUNDS, ADA_ROUNDS, HIDDEN, MLP_ITER, DRAWS, SEARCH_FOLDS, CV_FOLDS = 100, 10, 100, 50, 100, 200, 32, 5, 2
 
 
 def features(df: DataFrame, vec_col: str = "v", label_col: str = "y", key: str = "row_id") -> DataFrame:
@@ -33,7 +36,7 @@ def estimator(name: str, n_features: int = 64, **params):
     """Reference model names -> MLlib estimators (several names share one MLlib model)."""
     name = name.lower()
     if name == "rf":
-        return RandomForestClassifier(numTrees=params.get("numTrees", 10), seed=SEED)
+        return RandomForestClassifier(numTrees=params.get("numTrees", TREES), seed=SEED)
     if name in ("lr", "sgd"):
         return LogisticRegression(maxIter=params.get("maxIter", 50), regParam=params.get("regParam", 0.0),
                                   elasticNetParam=params.get("elasticNetParam", 0.0))
@@ -42,13 +45,13 @@ def estimator(name: str, n_features: int = 64, **params):
     if name == "dt":
         return DecisionTreeClassifier(maxDepth=params.get("maxDepth", 5), seed=SEED)
     if name in ("gb", "lgbm", "catboost"):
-        return GBTClassifier(maxIter=params.get("maxIter", 5), seed=SEED)
+        return GBTClassifier(maxIter=params.get("maxIter", ROUNDS), seed=SEED)
     if name == "bag":
-        return RandomForestClassifier(numTrees=params.get("numTrees", 10), featureSubsetStrategy="all",
+        return RandomForestClassifier(numTrees=params.get("numTrees", BAGS), featureSubsetStrategy="all",
                                       subsamplingRate=1.0, bootstrap=True, seed=SEED)
     if name in ("mlp", "tf_ff"):
-        return MultilayerPerceptronClassifier(layers=[n_features, 16, 2], maxIter=params.get("maxIter", 50),
-                                              seed=SEED)
+        return MultilayerPerceptronClassifier(layers=[n_features, params.get("hidden", HIDDEN), 2],
+                                              maxIter=params.get("maxIter", MLP_ITER), seed=SEED)
     raise ValueError(f"unknown model {name}")
 
 
@@ -62,7 +65,7 @@ def fit(name: str, train: DataFrame, n_features: int = 64, **params):
     if name.lower() == "svc":
         return fit_svc(train)
     if name.lower() == "ada":
-        return fit_ada(train, rounds=params.get("rounds", 5))
+        return fit_ada(train, rounds=params.get("rounds", ADA_ROUNDS))
     return estimator(name, n_features, **params).fit(train)
 
 
@@ -112,7 +115,7 @@ class AdaModel:
                   .withColumn("y_pred", (F.col("y_proba") > 0.5).cast("int"))
 
 
-def fit_ada(train: DataFrame, rounds: int = 5) -> AdaModel:
+def fit_ada(train: DataFrame, rounds: int = ADA_ROUNDS) -> AdaModel:
     df = train.withColumn("w", F.lit(1.0))
     stumps, alphas = [], []
     for _ in range(rounds):
@@ -128,7 +131,7 @@ def fit_ada(train: DataFrame, rounds: int = 5) -> AdaModel:
     return AdaModel(stumps, alphas)
 
 
-def cross_validate(train_with_fold: DataFrame, est, grid=None, k: int = 2, parallelism: int = 2):
+def cross_validate(train_with_fold: DataFrame, est, grid=None, k: int = CV_FOLDS, parallelism: int = 2):
     """K-fold CV on a precomputed stratified ``fold`` column 0..k-1 (per-fold models kept)."""
     grid = grid or ParamGridBuilder().build()
     cv = CrossValidator(estimator=est, estimatorParamMaps=grid, numFolds=k,
@@ -137,7 +140,7 @@ def cross_validate(train_with_fold: DataFrame, est, grid=None, k: int = 2, paral
     return cv.fit(train_with_fold)
 
 
-def random_search_grid(lr: LogisticRegression, n_iter: int = 32, seed: int = SEED):
+def random_search_grid(lr: LogisticRegression, n_iter: int = DRAWS, seed: int = SEED):
     """Seeded random draws: regParam log-uniform in [1e-4, 1], elasticNetParam in {0, 0.5, 1}."""
     rnd = random.Random(seed)
     maps = []

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import models as MD
@@ -16,10 +19,10 @@ from .metric_queries import rounded
 SEED = 42
 
 
-def _split(spark, sf):
-    """Stratified 2-fold split of the vectors: fold 1 trains, fold 0 tests."""
+def _split(spark, sf, folds: int = MD.CV_FOLDS):
+    """Stratified split of the vectors; of 2 folds, fold 1 trains and fold 0 tests."""
     v = fx.vectors(spark, sf)
-    folded = S.stratified_folds(v.select("row_id", "v", "y"), "y", "row_id", 2, SEED)
+    folded = S.stratified_folds(v.select("row_id", "v", "y"), "y", "row_id", folds, SEED)
     feats = MD.features(folded.select("row_id", "v", "y")).join(folded.select("row_id", "fold"), "row_id")
     return feats
 
@@ -35,8 +38,8 @@ def _train_eval(name: str, **params):
     return q
 
 
-for _name in ("rf", "lr", "svc", "nb", "dt", "gbt", "ada", "bag", "mlp"):
-    register(f"train_{_name}")(_train_eval("gb" if _name == "gbt" else _name))
+for _name in MD.MODELS:
+    register("train_gbt" if _name == "gb" else f"train_{_name}")(_train_eval(_name))
 
 
 @register("score_model")
@@ -49,26 +52,22 @@ def q_score_model(spark, sf):
 @register("cv_models")
 def q_cv_models(spark, sf):
     feats = _split(spark, sf)
-    cv = MD.cross_validate(feats, MD.estimator("lr"))
-    # one row per fold model: its AUC on the held-out fold
-    rows = []
-    for fold, models in enumerate(cv.subModels):
-        held = feats.filter(F.col("fold") == fold)
-        pred = MD.predict(models[0], held).withColumn("model_id", F.lit(f"lr_fold{fold}")) \
-                 .withColumn("test_file", F.lit(f"fold{fold}"))
-        rows.append(rounded(evaluate(pred, ["model_id", "test_file"], materialize=True)))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    # one row per model and fold: its metrics on the held-out fold
+    preds = []
+    for name in MD.MODELS:
+        for fold in range(MD.CV_FOLDS):
+            model = MD.fit(name, feats.filter(F.col("fold") != fold))
+            preds.append(MD.predict(model, feats.filter(F.col("fold") == fold)).withColumn("model_id", F.lit(f"{name}_fold{fold}"))
+                         .withColumn("test_file", F.lit(f"fold{fold}")))
+    return rounded(evaluate(reduce(DataFrame.unionByName, preds), ["model_id", "test_file"], materialize=True))
 
 
 @register("tune_lr")
 def q_tune_lr(spark, sf):
-    feats = _split(spark, sf)
+    feats = _split(spark, sf, MD.SEARCH_FOLDS)
     lr = MD.estimator("lr")
-    grid = MD.random_search_grid(lr, n_iter=8)
-    cv = MD.cross_validate(feats, lr, grid)
+    grid = MD.random_search_grid(lr)
+    cv = MD.cross_validate(feats, lr, grid, MD.SEARCH_FOLDS)
     rows = [(float(m[lr.regParam]), float(m[lr.elasticNetParam]), float(a))
             for m, a in zip(grid, cv.avgMetrics)]
     return spark.createDataFrame(rows, "reg_param double, elastic_net double, cv_auc double")

@@ -1,2 +1,2 @@
-"""Training-data operators: URL rules, HTML extraction, secrets, packing, toxicity, fingerprints,
-suffix deduplication, chat formatting, Jaccard join and benchmark decontamination."""
+"""Training-data operators: URL rules, HTML extraction, secrets, packing, toxicity, fingerprints, suffix deduplication, chat
+formatting, Jaccard join, benchmark decontamination, token counts, conversation repair and whitening."""

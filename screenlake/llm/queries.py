@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenlake.llm import chat_format, decontaminate, fingerprints, html_text, jaccard_join, packing, secrets, suffix_dedup, toxicity, url_filter
+from screenlake.llm import (chat_format, conversation_repair, decontaminate, fingerprints, html_text, jaccard_join, packing, secrets,
+                            suffix_dedup, token_counts, toxicity, url_filter, whitening)
 from screenlake.llm.tables import table
 
 URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -51,10 +52,10 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.render(F.col("spans")).alias("spans"))
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,6 +110,24 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+TOKEN_LIMIT = 4096
+
+
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversation_repair.repair(conversation_repair.damage(rows), rows)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return white.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
 OP8_SQL = r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -142,5 +161,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_suffix_dedup": op7_suffix_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_decontamination": op10_decontamination,
+    "op11_token_counts": op11_token_counts,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_whitening": op13_whitening,
 }
 ORACLE: dict[str, str] = {"op1_url_filter": OP1_SQL, "op8_chat_format": OP8_SQL}

@@ -50,24 +50,23 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 _ENDS = frozenset(".!?\n")
 
 
-class _Codes:
-    """64-bit codes of words, with what kind of slot they may be; forgets all when it holds too many."""
+class _Codes(dict):
+    """64-bit codes of words, their lowest three bits the kind of slot they may be; forgets all when it holds too many."""
 
-    def __init__(self, most: int = 300_000):
-        self.known: dict[str, int] = {}  # the code, its lowest three bits the kind
-        self.most = most
+    most = 300_000
+
+    def __missing__(self, t: str) -> int:
+        low = t.lower()
+        raw = low.encode()
+        code = (zlib.crc32(raw) << 32 | zlib.crc32(raw, 0x5BD1E995)) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFF8
+        kind = (4 if t in _ENDS else NUMBER if t[0].isdigit() else UNIT if low in UNITS else NAME if t[0].isupper() else 0)
+        self[t] = code | kind
+        return code | kind
 
     def of(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.known) > self.most:
-            self.known.clear()
-        known = self.known
-        for t in set(tokens).difference(known):
-            low = t.lower()
-            raw = low.encode()
-            code = (zlib.crc32(raw) << 32 | zlib.crc32(raw, 0x5BD1E995)) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFF8
-            kind = (4 if t in _ENDS else NUMBER if t[0].isdigit() else UNIT if low in UNITS else NAME if t[0].isupper() else 0)
-            known[t] = code | kind
-        both = np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens))
+        if len(self) > self.most:
+            self.clear()
+        both = np.fromiter(map(self.__getitem__, tokens), np.uint64, len(tokens))
         return both & ~np.uint64(7), (both & np.uint64(7)).astype(np.uint8)
 
 
@@ -77,12 +76,20 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 def _rolled(codes: np.ndarray, width: int) -> np.ndarray:
-    """Hash of each window of ``width`` codes."""
+    """Hash of each window of ``width`` codes: the polynomial of its codes in ``MIX``, from windows of doubled length."""
     n = len(codes) - width + 1
-    h = np.zeros(n, np.uint64)
-    for k in range(width):
-        h = h * MIX + codes[k:k + n]
-    return _mixed(h * MIX + np.uint64(width))
+    done, h = 0, None                       # h: of the first ``done`` codes of each window
+    power, size, step = codes, 1, np.full(1, MIX)   # power: of ``size`` codes from each place on; step = MIX ** size
+    left = width
+    while True:
+        if left & 1:
+            h = power[done:done + n] if h is None else h * step + power[done:done + n]
+            done += size
+        left >>= 1
+        if not left:
+            return _mixed(h * MIX + np.uint64(width))
+        power = power[:-size] * step + power[size:]
+        size, step = 2 * size, step * step
 
 
 class Canon:
@@ -105,8 +112,9 @@ class Canon:
 
     def windows(self, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Template and literal hashes; an odd hash is a literal one, so that the two never meet."""
-        one = np.uint64(1)
-        return _rolled(self.template, width) & ~one, _rolled(self.literal, width) | one
+        one, literal = np.uint64(1), _rolled(self.literal, width)
+        template = _rolled(self.template, width) if self.kind.any() else literal
+        return template & ~one, literal | one
 
     def slots(self, i: int, width: int) -> str:
         """Slots of a window: place in it, kind and value of each."""

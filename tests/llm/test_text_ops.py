@@ -240,13 +240,36 @@ def test_planted_items_are_found_and_no_more(spark):
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
     planted = {(r["doc_id"], i) for r in docs for i, t in items if t in r["text"]}
-    words = lambda t: re.findall(r"\w+", t.lower())
-    grams = {i: {tuple(words(t)[k:k + 8]) for k in range(len(words(t)) - 7)} for i, t in items}
-    touched = {(r["doc_id"], i) for r in docs for i, g in grams.items()
-               if g & {tuple(words(r["text"])[k:k + 8]) for k in range(len(words(r["text"])) - 7)}}
+
+    def grams(text):
+        words = re.findall(r"\w+", text.lower())
+        return set(zip(*(words[k:] for k in range(8))))
+
+    of_items = {i: grams(t) for i, t in items}
+    touched = {(r["doc_id"], i) for r in docs for own in [grams(r["text"])] for i, g in of_items.items() if g & own}
     assert planted and planted <= got <= touched
 
 
+def test_rolled_windows_are_polynomials():
+    rnd = random.Random(4)
+    codes = [rnd.getrandbits(64) for _ in range(40)]
+    mix, mask = int(decontaminate.MIX), (1 << 64) - 1
+    for width in range(1, 14):
+        got = decontaminate._rolled(np.array(codes, np.uint64), width)
+        want = np.array([len(codes)] * 0, np.uint64)
+        for k in range(len(codes) - width + 1):
+            h = 0
+            for c in codes[k:k + width]:
+                h = h * mix + c
+            want = np.append(want, np.uint64((h * mix + width) & mask))
+        # narrower windows join from parts, whose order of powers is their own: equal windows must get equal hashes
+        assert len(got) == len(want)
+        if width & (width - 1) == 0:
+            assert (got == decontaminate._mixed(want)).all()
+        again = decontaminate._rolled(np.array(codes[5:] + codes[:width + 5], np.uint64), width)
+        assert (got[5:] == again[:len(got) - 5]).all() and len(set(got.tolist())) == len(got)
+
+
 def _long_item(n):
     rnd = random.Random(n)
     return ["".join(rnd.choice("abcdefghijklmnoprstuvwy") for _ in range(7)) for _ in range(n)]

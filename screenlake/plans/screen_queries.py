@@ -10,7 +10,6 @@ from ..operators import fingerprint as FP
 from ..functions import rules as RL
 from ..operators import screen as SC
 from ..operators import similarity as SIM
-from ..session import cut_lineage
 from . import fixtures as fx
 from .catalog import register
 from .fixture_sql import with_views
@@ -95,10 +94,7 @@ def q_best_per_cluster(spark, sf):
     FROM best b JOIN (SELECT cluster_id, count(*) AS n_members FROM assigned GROUP BY cluster_id) c
          USING (cluster_id)"""))
 def q_screen_cluster_best(spark, sf):
-    scored = cut_lineage(_clustered_scores(spark, sf))  # read twice below
-    best = SC.best_per_cluster(scored, "cluster_id", "average_yprob", "row_id")
-    sizes = scored.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n_members"))
-    return best.join(sizes, "cluster_id")
+    return SC.best_per_cluster(_clustered_scores(spark, sf), "cluster_id", "average_yprob", "row_id", "n_members")
 
 
 @register("screen_rank", with_views(

@@ -7,13 +7,15 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.hashing import md5_bits
+from ..operators import knn as KNN
 from ..operators import models as MD
 from ..operators import sampling as S
 from ..operators.evaluation import evaluate
 from ..session import scratch_path
 from . import fixtures as fx
 from .catalog import register
-from .fixture_sql import with_views
+from .fixture_sql import md5_bits_sql, with_views
 from .metric_queries import rounded
 
 SEED = 42
@@ -49,6 +51,22 @@ def q_score_model(spark, sf):
     return MD.predict(model, feats)
 
 
+NEIGHBOURS = 5   # the reference's library default
+
+
+@register("knn_vote", with_views(f"""
+    SELECT row_id, avg(CAST(y AS DOUBLE)) AS y_proba, CAST(avg(CAST(y AS DOUBLE)) > 0.5 AS INTEGER) AS y_pred, round(min(d), 6) AS nearest
+    FROM (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY d, near_id) AS k
+          FROM (SELECT q.row_id, t.row_id AS near_id, t.y, list_distance(CAST(q.v AS DOUBLE[]), CAST(t.v AS DOUBLE[])) AS d
+                FROM vectors q, vectors t
+                WHERE {md5_bits_sql('q.row_id')} % 2 = 0 AND {md5_bits_sql('t.row_id')} % 2 = 1))
+    WHERE k <= {NEIGHBOURS} GROUP BY row_id""", "vectors"))
+def q_knn_vote(spark, sf):
+    v = fx.vectors(spark, sf).withColumn("side", F.pmod(md5_bits("row_id"), F.lit(2)))
+    out = KNN.knn_vote(v.filter("side = 0"), v.filter("side = 1"), "row_id", "row_id", "v", "y", NEIGHBOURS)
+    return out.withColumn("nearest", F.round("nearest", 6))
+
+
 @register("cv_models")
 def q_cv_models(spark, sf):
     feats = _split(spark, sf)

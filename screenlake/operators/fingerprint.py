@@ -1,9 +1,8 @@
 """Hashed fixed-width vectors from a string column (the Spark job shape of fingerprinting).
 
-string column -> token stream (array expression, JVM-side) -> explode -> hashed bit
-position -> ``groupBy(id, bit).count()``.  Every token of a row is produced inside the
-task that holds the row, so the map-side partial aggregate already collapses a row to
-at most ``n_bits`` entries before the shuffle.
+Every vector is made in the task that reads its text: batches of texts become arrays of unit codes (characters or
+words), windows over them are numbered, each distinct token of a batch is hashed once, and one ``bincount`` gives the
+counts of all rows.  No text and no token is ever shuffled; a batch is bounded by ``CELLS`` counters and units.
 
 Modes mirror the reference's parameterisations:
   ngram(radius r)     substrings of 1..r+1 characters          (circular, radius 2/3)
@@ -16,12 +15,18 @@ Count vs binary output is ``binary=``.
 
 from __future__ import annotations
 
+import hashlib
+import re
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import md5_bits
+CELLS = 1 << 22      # counters, and characters, of the texts looked at together
+DIRECT = 1 << 24     # window numbers up to which a table, not a sort, tells the distinct ones
+WORD = re.compile("[^ \t\n\x0b\f\r]+")
 
 # The character-class map of the class n-gram mode (letters -> vowel 'v'
 # or consonant 'c', digits -> 'd'; everything else unchanged).
@@ -39,139 +44,225 @@ PRESENCE_KEYS = [
 ]
 
 
-def _ngrams_of(chars: Column, width: int) -> Column:
-    n = F.size(chars)
-    starts = F.when(n >= width, F.sequence(F.lit(1), n - width + 1)).otherwise(
-        F.array().cast("array<int>"))
-    tag = F.lit(f"{width}:")
-    # one-argument lambda: transform() passes the index as a second argument otherwise
-    return F.transform(starts, lambda i: F.concat(tag, *[F.get(chars, i - 1 + k) for k in range(width)]))
-
-
-def char_ngrams(chars: Column, radius: int) -> Column:
-    """All substrings of 1..radius+1 characters, tagged with their width ('2:ab')."""
-    return F.flatten(F.array(*[_ngrams_of(chars, w) for w in range(1, radius + 2)]))
-
-
 def class_map(text: Column) -> Column:
     return F.translate(F.lower(text), CLASS_FROM, CLASS_TO)
 
 
-def word_tokens(text: Column) -> Column:
-    return F.filter(F.split(text, r"\s+"), lambda t: t != "")
+def valid_text(text: Column) -> Column:
+    """A row is fingerprintable when its text is present and not blank."""
+    return text.isNotNull() & (F.length(F.trim(text)) > 0)
+
 
+# ---- tokens of a batch -----------------------------------------------------------------
+
+def _numbered(codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct codes (below ``size``), rising, and the place of each code among them."""
+    if size > DIRECT:
+        return np.unique(codes, return_inverse=True)
+    there = np.zeros(size, bool)
+    there[codes] = True
+    own = np.flatnonzero(there)
+    place = np.zeros(size, "int64")
+    place[own] = np.arange(len(own))
+    return own, place[codes]
+
+
+def _bit_of(tokens: Iterator[str], n_bits: int) -> np.ndarray:
+    """First 32 bits of each token's MD5, modulo the width."""
+    digests = b"".join(hashlib.md5(t.encode()).digest()[:4] for t in tokens)
+    return np.frombuffer(digests, ">u4").astype("int64") % n_bits
+
+
+def _char_tokens(texts: list[str], most: int, n_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(row, bit) of every substring of 1..most characters, tagged with its width ('2:ab')."""
+    units = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4").astype("int64")
+    length = np.array([len(t) for t in texts], "int64")
+    row = np.repeat(np.arange(len(texts)), length)
+    if not len(units):
+        return
+    last = np.repeat(np.cumsum(length), length)      # first place after the own text
+    letters, code = _numbered(units, 0x110000)
+    letters = [chr(c) for c in letters]
+    names, number = letters, code
+    for width in range(1, most + 1):
+        if width > 1:
+            starts = np.flatnonzero(np.arange(len(number)) + width <= last[:len(number)])
+            own, dense = _numbered(number[starts] * len(letters) + code[starts + width - 1], len(names) * len(letters))
+            names = [names[k // len(letters)] + letters[k % len(letters)] for k in own.tolist()]
+            number = np.zeros(len(number), "int64")
+            number[starts] = dense
+        else:
+            starts = np.arange(len(units))
+        if len(starts):
+            yield row[starts], _bit_of((f"{width}:{n}" for n in names), n_bits)[number[starts]]
+
+
+def _word_codes(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Words in rising order, and of each word of the texts its code, its row and the first place after its text."""
+    words = [WORD.findall(t) for t in texts]
+    names = sorted(set().union(*words))
+    place = {w: i for i, w in enumerate(names)}
+    length = np.array([len(w) for w in words], "int64")
+    code = np.fromiter((place[w] for ws in words for w in ws), "int64", int(length.sum()))
+    return names, code, np.repeat(np.arange(len(texts)), length), np.repeat(np.cumsum(length), length)
+
+
+def _path_tokens(texts: list[str], size: int, n_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(row, bit) of the shingles of exactly ``size`` words."""
+    names, code, row, last = _word_codes(texts)
+    at = np.flatnonzero(np.arange(len(code)) + size <= last)
+    if len(at):
+        own, dense = np.unique(np.stack([code[at + k] for k in range(size)], axis=1), axis=0, return_inverse=True)
+        yield row[at], _bit_of((" ".join(names[i] for i in w) for w in own.tolist()), n_bits)[dense.ravel()]
+
+
+def _pair_tokens(texts: list[str], far: int, n_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(row, bit) of the unordered word pairs at distance 1..far, as 'a|b|d'."""
+    names, code, row, last = _word_codes(texts)
+    for d in range(1, far + 1):
+        at = np.flatnonzero(np.arange(len(code)) + d < last)
+        if len(at):
+            a, b = code[at], code[at + d]
+            own, dense = np.unique(np.minimum(a, b) * len(names) + np.maximum(a, b), return_inverse=True)
+            yield row[at], _bit_of((f"{names[k // len(names)]}|{names[k % len(names)]}|{d}" for k in own.tolist()), n_bits)[dense]
+
+
+def _key_marks(texts: list[str], n_bits: int) -> np.ndarray:
+    """1 at the number of each key that occurs in the text."""
+    marks = np.zeros((len(texts), n_bits), "int64")
+    for i, key in enumerate(PRESENCE_KEYS):
+        marks[:, i] = [key in t for t in texts]
+    return marks
+
+
+MODES = ("ngram", "class_ngram", "path4", "token_pairs", "key_presence")
+
+
+def check_mode(mode: str, n_bits: int) -> None:
+    if mode not in MODES:
+        raise ValueError(f"unknown fingerprint mode {mode}")
+    if mode == "key_presence" and n_bits < len(PRESENCE_KEYS):
+        raise ValueError(f"{len(PRESENCE_KEYS)} keys need as many bits")
+
+
+def _counts(mode: str, texts: list[str], radius: int, n_bits: int) -> np.ndarray:
+    """Token counts of each text by bit (rows x n_bits)."""
+    if mode == "key_presence":
+        return _key_marks(texts, n_bits)
+    if mode in ("ngram", "class_ngram"):
+        found = _char_tokens(texts, radius + 1, n_bits)
+    elif mode == "path4":
+        found = _path_tokens(texts, 4, n_bits)
+    else:
+        found = _pair_tokens(texts, 3, n_bits)
+    total = np.zeros(len(texts) * n_bits, "int64")
+    for row, bit in found:
+        total += np.bincount(row * n_bits + bit, minlength=len(total))
+    return total.reshape(len(texts), n_bits)
 
-def word_shingles(toks: Column, size: int = 4) -> Column:
-    n = F.size(toks)
-    starts = F.when(n >= size, F.sequence(F.lit(0), n - size)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.array_join(F.slice(toks, i + 1, size), " "))
 
+def _pieces(texts: list[str], n_bits: int) -> Iterator[tuple[int, int]]:
+    """Ranges of texts with at most ``CELLS`` counters and characters, or one text."""
+    lo = size = 0
+    for i, t in enumerate(texts):
+        if i > lo and ((i + 1 - lo) * n_bits > CELLS or size + len(t) > CELLS):
+            yield lo, i
+            lo, size = i, 0
+        size += len(t)
+    if lo < len(texts):
+        yield lo, len(texts)
 
-def _pairs_at(toks: Column, d: int) -> Column:
-    n = F.size(toks)
-    starts = F.when(n > d, F.sequence(F.lit(1), n - d)).otherwise(F.array().cast("array<int>"))
-    a, b = (lambda i: F.get(toks, i - 1)), (lambda i: F.get(toks, i - 1 + d))
-    return F.transform(starts, lambda i: F.concat_ws("|", F.least(a(i), b(i)), F.greatest(a(i), b(i)),
-                                                     F.lit(str(d))))
 
+# ---- vectors ---------------------------------------------------------------------------
 
-def word_pairs(toks: Column, max_distance: int = 3) -> Column:
-    """Unordered word pairs at distance 1..max_distance, as 'a|b|d' (linear in text length)."""
-    return F.flatten(F.array(*[_pairs_at(toks, d) for d in range(1, max_distance + 1)]))
+def _source(mode: str) -> str:
+    return "mapped" if mode == "class_ngram" else "text"
 
 
-def token_units(mode: str, text: Column) -> Column:
-    """The unit array a mode slides over: characters (split once, O(n)) or word tokens.
-    It is materialised as a column before the token builder runs: inside a lambda an
-    expression would be re-evaluated per element (O(n^2) on long texts)."""
-    if mode == "ngram":
-        return F.split(text, "")
-    if mode == "class_ngram":
-        return F.split(class_map(text), "")
-    if mode in ("path4", "token_pairs"):
-        return word_tokens(text)
-    raise ValueError(f"unknown fingerprint mode {mode}")
+def _bit_lists(df: DataFrame, id_col: str, text_col: str, kinds: dict[str, tuple[str, int, bool]], n_bits: int) -> DataFrame:
+    """``id, kind, bits, counts`` of every valid text and kind, in one pass over the texts and without an exchange."""
+    text = F.col(text_col)
+    valid = df.filter(valid_text(text))
+    for mode, *_ in kinds.values():
+        check_mode(mode, n_bits)
+    mapped = class_map(text) if any(m == "class_ngram" for m, *_ in kinds.values()) else F.lit("")
+    src = valid.select(F.col(id_col).alias("id"), text.alias("text"), mapped.alias("mapped"))
+    id_kind = src.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = {"text": batch.column(1).to_pylist(), "mapped": batch.column(2).to_pylist()}
+            for lo, hi in _pieces(columns["text"], n_bits):
+                for kind, (mode, radius, binary) in kinds.items():
+                    count = _counts(mode, columns[_source(mode)][lo:hi], radius, n_bits)
+                    row, bit = np.nonzero(count)
+                    value = np.ones(len(row), "int64") if binary else count[row, bit]
+                    ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=hi - lo))]).astype("int32")
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).slice(lo, hi - lo), pa.array([kind] * (hi - lo)),
+                         pa.ListArray.from_arrays(ends, pa.array(bit.astype("int32"))), pa.ListArray.from_arrays(ends, pa.array(value))],
+                        ["id", "kind", "bits", "counts"])
+
+    return src.mapInArrow(run, f"id {id_kind}, kind string, bits array<int>, counts array<bigint>")
+
+
+def _long(lists: DataFrame, id_col: str, *more: str) -> DataFrame:
+    pairs = lists.select("id", *more, F.explode(F.arrays_zip("bits", "counts")).alias("b"))
+    return pairs.select(F.col("id").alias(id_col), *more, F.col("b.bits").alias("bit"), F.col("b.counts").alias("value"))
 
 
-def tokens_for(mode: str, units: Column, radius: int = 2) -> Column:
-    if mode in ("ngram", "class_ngram"):
-        return char_ngrams(units, radius)
-    if mode == "path4":
-        return word_shingles(units, 4)
-    if mode == "token_pairs":
-        return word_pairs(units, 3)
-    raise ValueError(f"unknown fingerprint mode {mode}")
+def sparse_fingerprint(df: DataFrame, id_col: str, text_col: str, mode: str = "ngram",
+                       radius: int = 2, n_bits: int = 2048, binary: bool = False) -> DataFrame:
+    """Long form (id, bit, value): value = token count (or 1 when ``binary``).
+    Invalid rows produce no entries; see ``with_vectors``."""
+    return _long(_bit_lists(df, id_col, text_col, {mode: (mode, radius, binary)}, n_bits), id_col)
 
 
-def valid_text(text: Column) -> Column:
-    """A row is fingerprintable when its text is present and not blank."""
-    return text.isNotNull() & (F.length(F.trim(text)) > 0)
+def with_vectors(df: DataFrame, text_col: str, mode: str = "ngram", radius: int = 2, n_bits: int = 2048,
+                 binary: bool = False, name: str = "fp", flag: str = "is_valid") -> DataFrame:
+    """The source columns with a vector (array<int> of width n_bits) and a validity flag beside them, map-only.
+    Invalid rows get a NULL vector and ``false``; valid rows without tokens get all zeros."""
+    check_mode(mode, n_bits)
+    text = F.col(text_col)
+    ok = F.coalesce(valid_text(text), F.lit(False))
+    src = df.withColumn(flag, ok).withColumn("_units", F.when(ok, class_map(text) if mode == "class_ngram" else text))
+    columns = df.columns
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(batch.num_columns - 1).to_pylist()
+            for lo, hi in _pieces([t or "" for t in texts], n_bits):
+                there = np.array([t is not None for t in texts[lo:hi]])
+                count = _counts(mode, [t for t in texts[lo:hi] if t is not None], radius, n_bits)
+                flat = pa.array((np.minimum(count, 1) if binary else count).astype("int32").ravel())
+                ends = np.concatenate([[0], np.cumsum(there) * n_bits]).astype("int32")
+                vectors = pa.ListArray.from_arrays(ends, flat, mask=pa.array(~there))
+                part = batch.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], vectors],
+                                                 [*columns, flag, name])
 
-def _by_id(df: DataFrame, id_col: str) -> DataFrame:
-    """Hash-partition the raw rows by id once.  Both later aggregations group by
-    (id, token) and (id, bit), which a partitioning on id already satisfies, so the
-    token stream is never shuffled: moving the text costs far less than moving the
-    (id, token, count) tuples it expands into.  Ids are unique, so there is no hot key."""
-    parts = max(df.sparkSession.sparkContext.defaultParallelism,
-                int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return df.repartition(parts, id_col)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1]) + f", `{name}` array<int>"
+    return src.mapInArrow(run, schema).select(*[F.col(f"`{c}`") for c in columns], name, flag)
 
 
-def sparse_fingerprint(df: DataFrame, id_col: str, text_col: str, mode: str = "ngram",
-                       radius: int = 2, n_bits: int = 2048, binary: bool = False) -> DataFrame:
-    """Long form (id, bit, value): value = token count (or 1 when ``binary``).
-    Invalid rows produce no entries; see ``with_validity``."""
-    text = F.col(text_col)
-    src = _by_id(df.select(id_col, text_col).filter(valid_text(text)), id_col)
-    if mode == "key_presence":
-        keys = F.array(*[F.lit(k) for k in PRESENCE_KEYS])
-        hits = F.filter(F.transform(F.sequence(F.lit(0), F.lit(len(PRESENCE_KEYS) - 1)),
-                                    lambda i: F.when(F.instr(text, F.get(keys, i)) > 0, i)),
-                        lambda b: b.isNotNull())
-        out = src.select(id_col, F.explode(hits).alias("bit"))
-        return out.withColumn("value", F.lit(1).cast("bigint"))
-    units = src.select(id_col, token_units(mode, text).alias("_units"))
-    toks = units.select(id_col, F.explode(tokens_for(mode, F.col("_units"), radius)).alias("tok"))
-    # count each distinct token of a row first (map-side partial aggregate), so the hash
-    # runs once per distinct token per row rather than once per occurrence
-    tok_counts = toks.groupBy(id_col, "tok").agg(F.count(F.lit(1)).alias("_n"))
-    bits = tok_counts.select(id_col, F.pmod(md5_bits(F.col("tok")), F.lit(n_bits)).cast("int").alias("bit"), "_n")
-    agg = bits.groupBy(id_col, "bit").agg(F.sum("_n").alias("value"))
-    return agg.withColumn("value", F.lit(1).cast("bigint")) if binary else agg
-
-
-def _scatter_udf(n_bits: int):
-    """Arrow-batched helper: (bits, values) lists -> dense int array of width n_bits."""
-    @F.pandas_udf("array<int>")
-    def scatter(bits: pd.Series, values: pd.Series) -> pd.Series:
-        out = []
-        for b, v in zip(bits, values):
-            dense = np.zeros(n_bits, dtype=np.int32)
-            dense[np.asarray(b, dtype=np.int64)] = np.asarray(v, dtype=np.int64)
-            out.append(dense)
-        return pd.Series(out)
-    return scatter
+def dense_vectors(df: DataFrame, id_col: str, text_col: str, mode: str = "ngram", radius: int = 2,
+                  n_bits: int = 2048, binary: bool = False) -> DataFrame:
+    """(id, fp array<int> of width n_bits) of the valid rows, map-only."""
+    return with_vectors(df.select(id_col, text_col), text_col, mode, radius, n_bits, binary).filter("is_valid").select(id_col, "fp")
 
 
 def dense_fingerprint(sparse: DataFrame, id_col: str, n_bits: int = 2048) -> DataFrame:
     """Sparse (id, bit, value) -> (id, fp array<int> of width n_bits).  One group per row id,
-    bounded by n_bits entries; the scatter into a dense array is a numpy helper."""
-    per = sparse.groupBy(id_col).agg(F.collect_list("bit").alias("_b"), F.collect_list("value").alias("_v"))
-    return per.select(id_col, _scatter_udf(n_bits)("_b", "_v").alias("fp"))
-
+    bounded by n_bits entries; a batch of groups is scattered at once."""
+    @F.arrow_udf("array<int>")
+    def scatter(bits: pa.Array, values: pa.Array) -> pa.Array:
+        row = np.repeat(np.arange(len(bits)), bits.value_lengths().to_numpy())
+        dense = np.zeros(len(bits) * n_bits, "int32")
+        dense[row * n_bits + bits.flatten().to_numpy()] = values.flatten().to_numpy()
+        return pa.ListArray.from_arrays(np.arange(len(bits) + 1, dtype="int32") * n_bits, pa.array(dense))
 
-def with_validity(df: DataFrame, id_col: str, text_col: str, dense: DataFrame,
-                  n_bits: int = 2048) -> DataFrame:
-    """Attach vectors beside the source columns (left join on the id).  Invalid rows get a
-    NULL vector and ``is_valid = false``; valid rows with no tokens get all zeros."""
-    ok = valid_text(F.col(text_col))
-    zeros = F.array_repeat(F.lit(0), n_bits)
-    joined = df.join(dense, id_col, "left")
-    return joined.select(
-        *[F.col(c) for c in df.columns],
-        F.when(ok, F.coalesce(F.col("fp"), zeros)).alias("fp"),
-        F.coalesce(ok, F.lit(False)).alias("is_valid"))
+    per = sparse.groupBy(id_col).agg(F.collect_list("bit").alias("_b"), F.collect_list("value").alias("_v"))
+    return per.select(id_col, scatter("_b", "_v").alias("fp"))
 
 
 # Fingerprint kinds by name -> (mode, radius, binary).
@@ -188,18 +279,10 @@ KINDS = {
 
 def fingerprints(df: DataFrame, id_col: str, text_col: str, kinds: list[str],
                  n_bits: int = 2048) -> DataFrame:
-    """Several kinds in one long table (id, kind, bit, value); unknown kind names are
+    """Several kinds in one long table (id, kind, bit, value), in one pass over the texts; unknown kind names are
     ignored, as are repeated ones."""
-    chosen = [k for k in dict.fromkeys(kinds) if k in KINDS]
-    parts = []
-    for k in chosen:
-        mode, radius, binary = KINDS[k]
-        sp = sparse_fingerprint(df, id_col, text_col, mode, radius, n_bits, binary)
-        parts.append(sp.select(id_col, F.lit(k).alias("kind"), "bit", "value"))
-    if not parts:
+    chosen = {k: KINDS[k] for k in kinds if k in KINDS}
+    if not chosen:
         return df.select(id_col, F.lit(None).cast("string").alias("kind"), F.lit(None).cast("int").alias("bit"),
                          F.lit(None).cast("bigint").alias("value")).limit(0)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return _long(_bit_lists(df, id_col, text_col, chosen, n_bits), id_col, "kind")

@@ -53,10 +53,10 @@ def q_join_flags(spark, sf):
     FROM sparse_fp WHERE tok_id IN (SELECT 'd' || doc_id FROM flags WHERE pass_all_filters)
     GROUP BY tok_id""", "tokens", "props", extra=_SPARSE_FP_SQL + [FLAGS_SQL]))
 def q_semi_join_nominees(spark, sf):
-    sparse = FP.sparse_fingerprint(fx.tokens(spark, sf), "tok_id", "text", "ngram", 2, N_BITS)
     nominees = _flags(spark, sf).filter("pass_all_filters").select(
         F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("tok_id"))
-    kept = sparse.join(nominees, "tok_id", "left_semi")
+    # only nominees' texts are fingerprinted
+    kept = FP.sparse_fingerprint(fx.tokens(spark, sf).join(nominees, "tok_id", "left_semi"), "tok_id", "text", "ngram", 2, N_BITS)
     return kept.groupBy("tok_id").agg(F.count(F.lit(1)).alias("n_set"), F.sum("value").alias("total"))
 
 

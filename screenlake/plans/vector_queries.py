@@ -195,8 +195,7 @@ _SPARSE_FP_SQL = _units_sql(_CHARS, 2) + [("toks", _ngram_tokens_sql(2)), ("spar
            CAST(sum(CAST(bit + 1 AS BIGINT) * value) AS BIGINT) AS checksum
     FROM sparse_fp GROUP BY tok_id""", "tokens", extra=_SPARSE_FP_SQL))
 def q_fp_dense(spark, sf):
-    dense = FP.dense_fingerprint(
-        FP.sparse_fingerprint(fx.tokens(spark, sf), "tok_id", "text", "ngram", 2, N_BITS), "tok_id", N_BITS)
+    dense = FP.dense_vectors(fx.tokens(spark, sf), "tok_id", "text", "ngram", 2, N_BITS)
     return dense.select("tok_id", F.size("fp").alias("width"),
                         F.size(F.filter("fp", lambda x: x > 0)).cast("bigint").alias("n_set"),
                         _weighted_checksum("fp").cast("bigint").alias("checksum"))
@@ -205,8 +204,7 @@ def q_fp_dense(spark, sf):
 def _docs_with_fp(spark, sf):
     docs = read_table(spark, sf, "documents", ["doc_id", "text", "lang", "source"]).withColumn(
         "tok_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")))
-    sparse = FP.sparse_fingerprint(docs, "tok_id", "text", "ngram", 2, N_BITS)
-    return FP.with_validity(docs, "tok_id", "text", FP.dense_fingerprint(sparse, "tok_id", N_BITS), N_BITS)
+    return FP.with_vectors(docs, "text", "ngram", 2, N_BITS)
 
 
 _DOC_FP_SQL = [("doc_fp", """

@@ -38,7 +38,11 @@ def test_similarity_join_is_an_equi_join(spark):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
-def test_fingerprint_partial_aggregate_before_shuffle(spark):
-    df = FP.sparse_fingerprint(fx.tokens(spark, SF), "tok_id", "text", "ngram", 2)
-    text = explain(df)
-    assert "partial_count" in text
+def test_vectors_from_strings_shuffle_nothing(spark):
+    """(Before, tokens were counted in part and then shuffled by row.)"""
+    src = fx.tokens(spark, SF)
+    for mode in ("ngram", "class_ngram", "key_presence", "path4", "token_pairs"):
+        assert "Exchange" not in plan(FP.sparse_fingerprint(src, "tok_id", "text", mode, 2))
+    every = FP.fingerprints(src, "tok_id", "text", list(FP.KINDS))
+    assert "Exchange" not in plan(every) and plan(every).count("MapInArrow") == 1
+    assert "Exchange" not in plan(FP.with_vectors(src, "text"))

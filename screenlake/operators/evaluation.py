@@ -18,29 +18,32 @@ METRIC_COLUMNS = ["accuracy", "precision", "recall", "f1", "auc_roc", "average_p
 
 def evaluate(pred: DataFrame, keys: list[str], clusters: DataFrame | None = None,
              cluster_col: str = "cluster_id", materialize: bool = False) -> DataFrame:
-    """One row per group; ``clusters`` (row_id, cluster_id) enables DiversePlatePPV, else NULL.
+    """One row per group.  ``clusters`` (row_id, cluster_id), or a column of that name in ``pred``, gives DiversePlatePPV, else NULL.
 
-    Each part is a grouped aggregate over the same keys, so the joins below are between
-    tables with one row per group (sized by the number of models x test files).
+    Counts and curves come from one state (a row per group and score), the top rows from two bounded rankings; the joins
+    below are between tables with one row per group (sized by the number of models x test files).
     """
-    cols = list(dict.fromkeys(keys + ["row_id", "y_true", "y_pred", "y_proba"]))
+    if clusters is not None:
+        pred = pred.drop(cluster_col).join(clusters.select("row_id", cluster_col), "row_id", "left")
+    clustered = cluster_col in pred.columns
+    cols = list(dict.fromkeys([*keys, "row_id", "y_true", "y_pred", "y_proba", *([cluster_col] if clustered else [])]))
+    pred = pred.select(*cols)
     if materialize:
-        # four metric families read the predictions: a *derived* prediction table (a model
-        # transform, a fused ensemble) is computed once into the shared checkpoint folder;
-        # a stored table is simply re-scanned (five narrow columns), never rewritten
-        pred = cut_lineage(pred.select(*cols))
-    counts = M.confusion_counts(pred, keys)
-    base = M.agreement_metrics(M.basic_metrics(counts))
-    ranked = M.ranked_metrics(pred, keys)
-    hits = R.hits_at_k(pred, keys, (200, 500))
-    plate = R.plate_ppv(pred, keys, 128)
-    out = base
-    for part in (ranked, hits, plate):
+        # a *derived* prediction table (a model transform, a fused ensemble) is computed once into the shared
+        # checkpoint folder; a stored table is simply re-scanned (narrow columns), never rewritten
+        pred = cut_lineage(pred)
+    out = M.agreement_metrics(M.basic_metrics(M.state_metrics(M.evaluation_state(pred, keys), keys)))
+    for part in (R.hits_at_k(pred, keys, (200, 500)), R.plate_ppv(pred, keys, 128)):
         out = join_null_safe(out, part, keys)
-    if clusters is not None:
-        div = R.diverse_plate_ppv(pred.join(clusters, "row_id"), keys, cluster_col)
-        out = join_null_safe(out, div, keys, "left")
+    if clustered:
+        out = join_null_safe(out, R.diverse_plate_ppv(pred.filter(F.col(cluster_col).isNotNull()), keys, cluster_col), keys, "left")
     else:
         out = out.withColumn("diverse_plate_ppv", F.lit(None).cast("double"))
     out = out.withColumn("total_hits", F.col("tp"))
     return out.select(*keys, *METRIC_COLUMNS)
+
+
+def fold_means(per_fold: DataFrame, keys: list[str], prefix: str = "cv_") -> DataFrame:
+    """Unweighted mean of every metric over the folds of each group; a metric that is NULL on a fold is left out of its mean."""
+    return per_fold.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_folds"),
+                                       *[F.avg(F.col(m).cast("double")).alias(f"{prefix}{m}") for m in METRIC_COLUMNS])

@@ -7,12 +7,12 @@ aggregate per group; many groups are evaluated in one job.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.joins import join_null_safe
 from ..functions.maths import safe_div
-from ..session import cut_lineage
 from .prefix import running_sums
 
 TRUE, PRED, PROBA = "y_true", "y_pred", "y_proba"
@@ -59,45 +59,51 @@ def agreement_metrics(counts: DataFrame) -> DataFrame:
                          balanced.alias("balanced_accuracy"))
 
 
-def _score_histogram(pred: DataFrame, keys: list[str], score: str) -> DataFrame:
-    """Collapse to one row per (group, distinct score): positives and negatives there."""
-    return pred.groupBy(*keys, F.col(score).alias("_s")).agg(
-        F.count_if(F.col(TRUE) == 1).alias("_p"),
-        F.count_if(F.col(TRUE) == 0).alias("_n"))
+COUNTERS = ("pos", "neg", "pos_pred", "neg_pred", "rows")
+
+
+def evaluation_state(pred: DataFrame, keys: list[str], score: str = PROBA) -> DataFrame:
+    """One row per (group, distinct score) with what every count and curve needs: positives and negatives, those of them
+    predicted 1, all rows.  States of parts of a table add up (``merged_state``)."""
+    t, p = F.col(TRUE), F.col(PRED)
+    return pred.groupBy(*keys, F.col(score).alias("score")).agg(
+        F.count_if(t == 1).alias("pos"), F.count_if(t == 0).alias("neg"),
+        F.count_if((t == 1) & (p == 1)).alias("pos_pred"), F.count_if((t == 0) & (p == 1)).alias("neg_pred"),
+        F.count(F.lit(1)).alias("rows"))
+
+
+def merged_state(states: list[DataFrame], keys: list[str]) -> DataFrame:
+    """The state of several states' rows together, grouped by ``keys`` (some of theirs)."""
+    columns = [*keys, "score", *COUNTERS]
+    every = reduce(DataFrame.unionByName, [s.select(*columns) for s in states])
+    return every.groupBy(*keys, "score").agg(*[F.sum(c).alias(c) for c in COUNTERS])
 
 
-def ranked_metrics(pred: DataFrame, keys: list[str], score: str = PROBA,
-                   buckets: int = 64, materialize: bool = True) -> DataFrame:
-    """AUC-ROC (tie-averaged) and AUC-PR as average precision (step sum), per group.
+def state_metrics(state: DataFrame, keys: list[str], buckets: int | None = None) -> DataFrame:
+    """tp, fp, tn, fn, n, AUC-ROC (tie-averaged) and AUC-PR as average precision (step sum) of every group of a state.
 
-    AUC = sum_s p(s) * (neg below s + n(s)/2) / (P * N)
-    AP  = sum_s p(s)/P * TP(>= s) / (TP(>= s) + FP(>= s))
-    Both are NULL for a group with a single class.
+    AUC = sum_s pos(s) * (neg below s + neg(s)/2) / (P * N)
+    AP  = sum_s pos(s)/P * TP(>= s) / (TP(>= s) + FP(>= s))
+    AUC is NULL for a group with a single class, AP for one without positives.
     """
-    hist = _score_histogram(pred, keys, score)
-    if materialize:
-        # the histogram feeds four branches (bounds, bucket totals, windows, class totals):
-        # write it once to the shared checkpoint folder instead of recomputing it per branch
-        hist = cut_lineage(hist)
-    cum = running_sums(hist, keys, "_s", ["_p", "_n"], buckets=buckets)
-    totals = hist.groupBy(*keys).agg(F.sum("_p").alias("_tot_pos"), F.sum("_n").alias("_tot_neg"))
-    j = join_null_safe(cum, totals, keys)
-    p, n = F.col("_p").cast("double"), F.col("_n").cast("double")
-    neg_below = F.col("cum__n") - F.col("_n")
-    tp_ge = F.col("_tot_pos") - (F.col("cum__p") - F.col("_p"))
-    fp_ge = F.col("_tot_neg") - (F.col("cum__n") - F.col("_n"))
-    terms = j.select(
-        *keys, "_tot_pos", "_tot_neg",
-        (p * (neg_below + n / 2.0)).alias("_auc_term"),
-        F.when(F.col("_p") > 0, p * tp_ge / (tp_ge + fp_ge)).otherwise(0.0).alias("_ap_term"))
-    agg = terms.groupBy(*keys).agg(
-        F.first("_tot_pos").alias("_tot_pos"), F.first("_tot_neg").alias("_tot_neg"),
-        F.sum("_auc_term").alias("_auc"), F.sum("_ap_term").alias("_ap"))
-    P, N = F.col("_tot_pos").cast("double"), F.col("_tot_neg").cast("double")
+    cum = running_sums(state, keys, "score", ["pos", "neg"], buckets=buckets, totals="all_")
+    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
+    tp_ge = F.col("all_pos") - (F.col("cum_pos") - F.col("pos"))
+    fp_ge = F.col("all_neg") - (F.col("cum_neg") - F.col("neg"))
+    terms = cum.select("*", (pos * (F.col("cum_neg") - F.col("neg") + neg / 2.0)).alias("_auc"),
+                       F.when(F.col("pos") > 0, pos * tp_ge / (tp_ge + fp_ge)).otherwise(0.0).alias("_ap"))
+    agg = terms.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in (*COUNTERS, "_auc", "_ap")])
+    P, N = F.col("pos").cast("double"), F.col("neg").cast("double")
     return agg.select(
-        *keys,
-        F.when((F.col("_tot_pos") > 0) & (F.col("_tot_neg") > 0), F.col("_auc") / (P * N)).alias("auc_roc"),
-        F.when(F.col("_tot_pos") > 0, F.col("_ap") / P).alias("average_precision"))
+        *keys, F.col("pos_pred").alias("tp"), F.col("neg_pred").alias("fp"),
+        (F.col("neg") - F.col("neg_pred")).alias("tn"), (F.col("pos") - F.col("pos_pred")).alias("fn"), F.col("rows").alias("n"),
+        F.when((F.col("pos") > 0) & (F.col("neg") > 0), F.col("_auc") / (P * N)).alias("auc_roc"),
+        F.when(F.col("pos") > 0, F.col("_ap") / P).alias("average_precision"))
+
+
+def ranked_metrics(pred: DataFrame, keys: list[str], score: str = PROBA, buckets: int | None = None) -> DataFrame:
+    """AUC-ROC and average precision per group."""
+    return state_metrics(evaluation_state(pred, keys, score), keys, buckets).select(*keys, "auc_roc", "average_precision")
 
 
 def auc_roc(pred: DataFrame, keys: list[str], score: str = PROBA) -> DataFrame:

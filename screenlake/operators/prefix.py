@@ -1,17 +1,14 @@
 """Running sums per group without funnelling a whole group through one task.
 
-A plain ``sum(..) over (partition by g order by x)`` sends every row of group ``g``
-to one task; a prediction table may hold a third of its rows in one (model, test
-file) group.  Instead:
-
-1. per group, approximate quantiles of ``x`` cut the group into ``buckets`` ranges
-   (equal values always land in the same bucket);
-2. per (group, bucket) totals form a small table (groups x buckets rows); its
-   exclusive running sum over buckets is the bucket offset;
-3. inside each (group, bucket) a window adds the local running sum.
-
-Steps 1-2 are aggregates with map-side partial combine; step 3 spreads a hot group
-over ``buckets`` tasks.
+A plain ``sum(..) over (partition by g order by x)`` sends every row of group ``g`` to one task; a prediction table may
+hold a third of its rows in one (model, test file) group.  Instead:
+
+1. rows are range-partitioned by (group, x), so a hot group lies over as many partitions as its share of the rows asks for;
+2. totals per (group, partition) form a small table, at most groups + partitions rows; its exclusive running sum is where
+   each partition starts, its sum what the group has in all;
+3. inside a (group, partition) a window adds the local running sum.
+
+The placed rows are checkpointed: their partition numbers have to stay what the totals were taken for.
 """
 
 from __future__ import annotations
@@ -20,31 +17,23 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.joins import join_null_safe
+from ..session import cut_lineage
 
 
 def running_sums(df: DataFrame, keys: list[str], order_col: str, value_cols: list[str],
-                 buckets: int = 64, prefix: str = "cum_") -> DataFrame:
-    """Add ``cum_<v>`` = sum of v over rows of the same keys with order_col <= current.
-
-    ``order_col`` must be unique within ``keys`` (aggregate ties first).
-    """
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = df.groupBy(*keys).agg(
-        F.percentile_approx(order_col, probs, 10000).alias("_bounds"))
-    # bounds has one row per group: sized by the number of groups, not rows.
-    # bucket = number of bounds below the value (equal values share a bucket)
-    with_bucket = (join_null_safe(df, bounds, keys)
-                   .withColumn("_bucket", F.size(F.filter("_bounds", lambda b: b < F.col(order_col))))
-                   .drop("_bounds"))
-    totals = with_bucket.groupBy(*keys, "_bucket").agg(
-        *[F.sum(v).alias(f"_tot_{v}") for v in value_cols])
-    wb = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, "_bucket",
-                            *[F.coalesce(F.sum(f"_tot_{v}").over(wb), F.lit(0)).alias(f"_off_{v}")
-                              for v in value_cols])
-    wl = Window.partitionBy(*keys, "_bucket").orderBy(order_col) \
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = join_null_safe(with_bucket, offsets, keys + ["_bucket"])
+                 buckets: int | None = None, prefix: str = "cum_", totals: str | None = None) -> DataFrame:
+    """Add ``cum_<v>`` = sum of v over rows of the same keys with order_col <= current, and with ``totals`` as prefix the
+    group's sums.  ``order_col`` must be unique within ``keys`` (aggregate ties first).  ``buckets`` ranges, by default as many
+    as the session has shuffle partitions."""
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = cut_lineage(df.repartitionByRange(n, *keys, order_col).withColumn("_bucket", F.spark_partition_id()))
+    sums = placed.groupBy(*keys, "_bucket").agg(*[F.sum(v).alias(f"_tot_{v}") for v in value_cols])
+    group = Window.partitionBy(*keys)
+    before = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(*keys, "_bucket", *[F.coalesce(F.sum(f"_tot_{v}").over(before), F.lit(0)).alias(f"_off_{v}") for v in value_cols],
+                          *([F.sum(f"_tot_{v}").over(group).alias(f"{totals}{v}") for v in value_cols] if totals else []))
+    local = Window.partitionBy(*keys, "_bucket").orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = join_null_safe(placed, offsets, keys + ["_bucket"])
     for v in value_cols:
-        out = out.withColumn(f"{prefix}{v}", F.col(f"_off_{v}") + F.sum(v).over(wl))
+        out = out.withColumn(f"{prefix}{v}", F.col(f"_off_{v}") + F.sum(v).over(local))
     return out.drop("_bucket", *[f"_off_{v}" for v in value_cols])

@@ -1,10 +1,9 @@
 """Early-enrichment metrics: Hits/Precision at k, PlatePPV, diverse PlatePPV.
 
-All use ``row_number() over (partition by group order by score desc, row_id)``
-filtered to ``<= k``; Spark plans this as a WindowGroupLimit that keeps only the
-top k per group inside every map task before the shuffle, so a hot group ships
-at most k rows per task.  ``row_id`` breaks ties (the reference leaves ties to
-an unstable sort).
+All use ``row_number() over (partition by group order by score desc, row_id)`` filtered to ``<= k``, in two levels: first
+within (group, hash bucket of the row), then within the group.  Spark plans either as a WindowGroupLimit, which keeps the
+top k inside every map task before the shuffle; the middle level spreads what a hot group's many tasks keep over ``SPREAD``
+reducers, of which each passes on k rows.  ``row_id`` breaks ties (the reference leaves ties to an unstable sort).
 """
 
 from __future__ import annotations
@@ -12,13 +11,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.joins import join_null_safe
 from ..functions.maths import safe_div
 
 
+SPREAD = 32
+
+
 def top_k_rows(pred: DataFrame, keys: list[str], k: int, rank_by: str = "y_proba",
-               tiebreak: str = "row_id", rank_col: str = "_rank") -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(F.col(rank_by).desc(), F.col(tiebreak).asc())
-    return pred.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
+               tiebreak: str = "row_id", rank_col: str = "_rank", spread: int = SPREAD) -> DataFrame:
+    order = [F.col(rank_by).desc(), F.col(tiebreak).asc()]
+    bucket = F.pmod(F.xxhash64(tiebreak), F.lit(spread))
+    part = pred.withColumn("_part", bucket).withColumn(
+        rank_col, F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*order))).filter(F.col(rank_col) <= k)
+    return part.drop("_part", rank_col).withColumn(
+        rank_col, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col(rank_col) <= k)
 
 
 def hits_at_k(pred: DataFrame, keys: list[str], ks: tuple[int, ...] = (200, 500),
@@ -57,5 +64,5 @@ def diverse_plate_ppv(pred: DataFrame, keys: list[str], cluster_col: str = "clus
     per = top.groupBy(*keys, cluster_col).agg(F.avg(F.col("y_true").cast("double")).alias("_ppv"))
     groups = pred.select(*keys).distinct()
     mean = per.groupBy(*keys).agg(F.avg("_ppv").alias("_m"))
-    return groups.join(mean, keys, "left").select(
+    return join_null_safe(groups, mean, keys, "left").select(
         *keys, F.coalesce(F.col("_m"), F.lit(0.0)).alias("diverse_plate_ppv"))

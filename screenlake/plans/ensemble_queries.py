@@ -8,12 +8,13 @@ from ..operators import conformal as C
 from ..operators import ensemble as EN
 from ..operators import ranking as R
 from ..operators import sampling as S
+from ..operators import similarity as SIM
 from ..operators.evaluation import evaluate
 from . import fixtures as fx
 from .catalog import register
 from .fixture_sql import md5_bits_sql, with_views
-from .metric_queries import (AGREE_SQL, BASIC_SQL, PO_PE_SQL, counts_sql, plate_sql, ranked_sql,
-                             rounded, topk_sql)
+from .metric_queries import eval_select, rounded
+from .similarity_queries import LEADER_SIM, MAX_DISTANCE, leaders_sql
 
 MODELS = fx.MODELS
 CONFIDENCE = 0.95
@@ -81,22 +82,24 @@ def q_ensemble_vote(spark, sf):
     return votes.join(n, "row_id")
 
 
-FUSION_METRICS_SQL = with_views(f"""
-    SELECT b.test_file, b.accuracy, b.precision, b.recall, b.f1, r.auc_roc, r.average_precision,
-           g.mcc, g.cohen_kappa, g.balanced_accuracy, p.plate_ppv,
-           h.hits_at_200, h.precision_at_200, h.hits_at_500, h.precision_at_500, b.tp AS total_hits
-    FROM (SELECT test_file, tp, {BASIC_SQL} FROM ({counts_sql('fused', 'test_file')})) b
-    JOIN (SELECT test_file, {AGREE_SQL}
-          FROM (SELECT *, {PO_PE_SQL} FROM ({counts_sql('fused', 'test_file')}))) g USING (test_file)
-    JOIN {ranked_sql('fused', 'test_file')} r USING (test_file)
-    JOIN {topk_sql('fused', keys='test_file')} h USING (test_file)
-    JOIN {plate_sql('fused', keys='test_file')} p USING (test_file)""", "multi_scored", extra=[FUSED_SQL])
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+FUSED_CLUSTERED_SQL = [*leaders_sql(LEADER_SIM), FUSED_SQL,
+                       ("fused_clustered", "SELECT f.*, a.cluster_id FROM fused f LEFT JOIN assigned a USING (row_id)")]
+
+
+def _clusters(spark, sf):
+    v = fx.vectors(spark, sf)
+    leaders = SIM.leader_pick(v, "row_id", "bits", MAX_DISTANCE)
+    return SIM.assign_to_leaders(v, "row_id", "bits", leaders, MAX_DISTANCE).select("row_id", "cluster_id")
 
 
-@register("fusion_metrics", FUSION_METRICS_SQL)
+@register("fusion_metrics", _recursive(with_views(eval_select("fused_clustered", "test_file"), "multi_scored", extra=FUSED_CLUSTERED_SQL)))
 def q_fusion_metrics(spark, sf):
     fused = EN.fused_predictions(fx.multi_scored(spark, sf), ["row_id", "test_file"])
-    return rounded(evaluate(fused, ["test_file"], materialize=True).drop("diverse_plate_ppv"))
+    return rounded(evaluate(fused, ["test_file"], _clusters(spark, sf), materialize=True))
 
 
 @register("conformal_threshold", with_views(
@@ -136,7 +139,6 @@ def q_conformal_union_set(spark, sf):
 
 
 def _diverse_sql() -> str:
-    from .similarity_queries import LEADER_SIM, leaders_sql
     sql = with_views("""
     SELECT g.model_id, g.test_file, round(coalesce(avg(c.ppv), 0.0), 6) AS diverse_plate_ppv
     FROM (SELECT DISTINCT model_id, test_file FROM multi_scored) g
@@ -148,15 +150,11 @@ def _diverse_sql() -> str:
                WHERE rk <= 15 GROUP BY model_id, test_file, cluster_id) c
          USING (model_id, test_file)
     GROUP BY g.model_id, g.test_file""", "multi_scored", extra=leaders_sql(LEADER_SIM))
-    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+    return _recursive(sql)
 
 
 @register("diverse_plate_ppv", _diverse_sql())
 def q_diverse_plate_ppv(spark, sf):
-    from ..operators import similarity as SIM
-    from .similarity_queries import MAX_DISTANCE
-    v = fx.vectors(spark, sf)
-    clusters = SIM.assign_to_leaders(v, "row_id", "bits", SIM.leader_pick(v, "row_id", "bits", MAX_DISTANCE),
-                                     MAX_DISTANCE).select("row_id", "cluster_id")
+    clusters = _clusters(spark, sf)
     pred = fx.multi_scored(spark, sf).join(clusters, "row_id")
     return rounded(R.diverse_plate_ppv(pred, ["model_id", "test_file"], "cluster_id", 15))

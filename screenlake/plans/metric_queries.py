@@ -9,6 +9,7 @@ from ..functions.hashing import md5_bits
 from ..functions.maths import round6
 from ..operators import metrics as M
 from ..operators import ranking as R
+from ..operators.evaluation import METRIC_COLUMNS, evaluate, fold_means
 from . import fixtures as fx
 from .catalog import register
 from .fixture_sql import md5_bits_sql, with_views
@@ -98,6 +99,34 @@ def plate_sql(src: str, top_n: int = 128, keys: str = "model_id, test_file") ->
             FROM {src}) WHERE rk <= {top_n} GROUP BY {keys})"""
 
 
+def diverse_sql(src: str, keys: str = "model_id, test_file", per_cluster: int = 15) -> str:
+    return f"""(SELECT {keys}, round(coalesce(avg(c.ppv), 0.0), 6) AS diverse_plate_ppv
+      FROM (SELECT DISTINCT {keys} FROM {src}) g
+      LEFT JOIN (SELECT {keys}, cluster_id, avg(y_true) AS ppv
+                 FROM (SELECT *, row_number() OVER (PARTITION BY {keys}, cluster_id ORDER BY y_proba DESC, row_id) AS rk
+                       FROM {src} WHERE y_pred = 1)
+                 WHERE rk <= {per_cluster} GROUP BY {keys}, cluster_id) c USING ({keys})
+      GROUP BY {keys})"""
+
+
+def eval_select(src: str, keys: str = "model_id, test_file") -> str:
+    """All sixteen metrics of a prediction table with clusters."""
+    return f"""
+    SELECT {keys}, b.accuracy, b.precision, b.recall, b.f1, r.auc_roc, r.average_precision,
+           g.mcc, g.cohen_kappa, g.balanced_accuracy, p.plate_ppv, d.diverse_plate_ppv,
+           h.hits_at_200, h.precision_at_200, h.hits_at_500, h.precision_at_500, b.tp AS total_hits
+    FROM (SELECT {keys}, tp, {BASIC_SQL} FROM ({counts_sql(src, keys)})) b
+    JOIN (SELECT {keys}, {AGREE_SQL} FROM (SELECT *, {PO_PE_SQL} FROM ({counts_sql(src, keys)}))) g USING ({keys})
+    JOIN {ranked_sql(src, keys)} r USING ({keys})
+    JOIN {topk_sql(src, keys=keys)} h USING ({keys})
+    JOIN {plate_sql(src, keys=keys)} p USING ({keys})
+    JOIN {diverse_sql(src, keys)} d USING ({keys})"""
+
+
+def unrounded(sql: str) -> str:
+    return sql.replace("round(", "(").replace(", 6)", ")")
+
+
 # ---- queries ----------------------------------------------------------------
 
 @register("threshold_scores", with_views("""
@@ -167,44 +196,42 @@ def q_plate_ppv(spark, sf):
     return rounded(R.plate_ppv(fx.scored(spark, sf), KEYS, 128))
 
 
-# CV metrics: fold = pmod(md5 bits of row_id, 2); metrics per fold, then the unweighted mean.
+def clustered(spark, sf):
+    """``scored`` with a cluster for each row: the supplier, last part of its key."""
+    return fx.scored(spark, sf).withColumn("cluster_id", F.element_at(F.split("row_id", "-"), -1).cast("bigint"))
+
+
+CLUSTERED_SQL = ("clustered", "SELECT *, CAST(split_part(row_id, '-', 4) AS BIGINT) AS cluster_id FROM scored")
+
+
+# CV metrics: fold = pmod(md5 bits of row_id, 2); all metrics per fold, then their unweighted means.
 @register("cv_mean_metrics", with_views(f"""
-    SELECT model_id, test_file, count(*) AS n_folds,
-           round(avg(accuracy), 6) AS cv_accuracy, round(avg(precision), 6) AS cv_precision,
-           round(avg(recall), 6) AS cv_recall, round(avg(f1), 6) AS cv_f1
-    FROM (SELECT model_id, test_file, fold, {BASIC_SQL.replace('round(', '(').replace(', 6)', ')')}
-          FROM ({counts_sql('(SELECT *, ' + md5_bits_sql('row_id') + ' % 2 AS fold FROM scored)',
-                            'model_id, test_file, fold')}))
-    GROUP BY model_id, test_file""", "scored"))
+    SELECT model_id, test_file, count(*) AS n_folds, {', '.join(f'round(avg({m}), 6) AS cv_{m}' for m in METRIC_COLUMNS)}
+    FROM ({unrounded(eval_select('folded', 'model_id, test_file, fold'))})
+    GROUP BY model_id, test_file""", "scored", extra=[
+        CLUSTERED_SQL, ("folded", f"SELECT *, {md5_bits_sql('row_id')} % 2 AS fold FROM clustered")]))
 def q_cv_mean_metrics(spark, sf):
-    s = fx.scored(spark, sf).withColumn("fold", F.pmod(md5_bits("row_id"), F.lit(2)))
-    per_fold = M.basic_metrics(M.confusion_counts(s, KEYS + ["fold"]))
-    return rounded(per_fold.groupBy(*KEYS).agg(
-        F.count(F.lit(1)).alias("n_folds"),
-        F.avg("accuracy").alias("cv_accuracy"), F.avg("precision").alias("cv_precision"),
-        F.avg("recall").alias("cv_recall"), F.avg("f1").alias("cv_f1")))
-
-
-EVAL_SELECT = f"""
-    SELECT b.model_id, b.test_file,
-           b.accuracy, b.precision, b.recall, b.f1, r.auc_roc, r.average_precision,
-           g.mcc, g.cohen_kappa, g.balanced_accuracy, p.plate_ppv,
-           CAST(NULL AS DOUBLE) AS diverse_plate_ppv,
-           h.hits_at_200, h.precision_at_200, h.hits_at_500, h.precision_at_500,
-           b.tp AS total_hits
-    FROM (SELECT model_id, test_file, tp, {BASIC_SQL} FROM ({counts_sql('scored')})) b
-    JOIN (SELECT model_id, test_file, {AGREE_SQL}
-          FROM (SELECT *, {PO_PE_SQL} FROM ({counts_sql('scored')}))) g USING (model_id, test_file)
-    JOIN {ranked_sql('scored')} r USING (model_id, test_file)
-    JOIN {topk_sql('scored')} h USING (model_id, test_file)
-    JOIN {plate_sql('scored')} p USING (model_id, test_file)"""
-EVAL_SQL = with_views(EVAL_SELECT, "scored")
+    s = clustered(spark, sf).withColumn("fold", F.pmod(md5_bits("row_id"), F.lit(2)))
+    return rounded(fold_means(evaluate(s, KEYS + ["fold"]), KEYS))
+
+
+# ranked metrics of whole test files from the states of their folds
+@register("merged_state_metrics", with_views(f"""
+    SELECT model_id, tp, fp, tn, fn, n, auc_roc, average_precision
+    FROM ({counts_sql('scored', 'model_id')}) JOIN {ranked_sql('scored', 'model_id')} USING (model_id)""", "scored"))
+def q_merged_state_metrics(spark, sf):
+    s = fx.scored(spark, sf)
+    files = [M.evaluation_state(s.filter(F.col("test_file") == f), ["model_id", "test_file"]) for f in ("F", "O")]
+    return rounded(M.state_metrics(M.merged_state(files, ["model_id"]), ["model_id"]))
+
+
+EVAL_SELECT = eval_select("clustered")
+EVAL_SQL = with_views(EVAL_SELECT, "scored", extra=[CLUSTERED_SQL])
 
 
 @register("evaluate_all", EVAL_SQL)
 def q_evaluate_all(spark, sf):
-    from ..operators.evaluation import evaluate
-    return rounded(evaluate(fx.scored(spark, sf), KEYS, materialize=True))
+    return rounded(evaluate(clustered(spark, sf), KEYS))
 
 
 @register("ledger_test_rewrite", with_views("""
@@ -214,15 +241,14 @@ def q_evaluate_all(spark, sf):
            2 AS ledger_version
     FROM (SELECT * FROM (SELECT DISTINCT model_id FROM scored) m
           CROSS JOIN (SELECT DISTINCT test_file FROM scored) t) g
-    LEFT JOIN ev e USING (model_id, test_file)""", "scored", extra=[("ev", EVAL_SELECT)]))
+    LEFT JOIN ev e USING (model_id, test_file)""", "scored", extra=[CLUSTERED_SQL, ("ev", EVAL_SELECT)]))
 def q_ledger_test_rewrite(spark, sf):
     # every (model, test file) cell of the experiment grid gets its Test_* metrics; the result
     # is written as a new ledger version in the shared folder and read back
-    from ..operators.evaluation import evaluate
     from ..operators.ledger import grid
     from ..session import scratch_path
     s = fx.scored(spark, sf)
-    ev = evaluate(s, KEYS, materialize=True)
+    ev = evaluate(clustered(spark, sf), KEYS)
     cells = grid({"model_id": s.select("model_id"), "test_file": s.select("test_file")})
     out = rounded(cells.join(ev, KEYS, "left").select(
         *KEYS, F.col("accuracy").alias("test_accuracy"), F.col("f1").alias("test_f1score"),

@@ -3,7 +3,9 @@
 import itertools
 import math
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from screenlake.operators import metrics as M
 from screenlake.operators import ranking as R
@@ -103,3 +105,39 @@ def test_diverse_plate_ppv(spark):
     out = R.diverse_plate_ppv(df.join(clusters, "row_id"), KEYS, "cluster_id", 15).first()
     # cluster 0: PPV 0.5, cluster 1: 1.0, cluster 2 has no predicted positive (skipped)
     assert out.diverse_plate_ppv == pytest.approx(0.75)
+
+
+def test_states_add_up_and_fold_means_skip_undefined(spark):
+    from screenlake.operators.evaluation import METRIC_COLUMNS, evaluate, fold_means
+    rng = np.random.default_rng(5)
+    rows = [("m", str(i), int(rng.integers(0, 2)), float(np.round(rng.random(), 1)), i % 3) for i in range(300)]
+    rows += [("one", str(i), 1, 0.7, i % 2) for i in range(4)] + [(None, "x", 0, 0.2, 0)]
+    df = spark.createDataFrame(rows, "model_id string, row_id string, y_true int, y_proba double, fold int")
+    df = df.withColumn("y_pred", (F.col("y_proba") > 0.5).cast("int")).withColumn("cluster_id", F.col("row_id").try_cast("int") % 7)
+    whole = {r.model_id: r for r in M.state_metrics(M.evaluation_state(df, ["model_id"]), ["model_id"]).collect()}
+    parts = [M.evaluation_state(df.filter(F.col("fold") == f), ["model_id", "fold"]) for f in range(3)]
+    merged = {r.model_id: r for r in M.state_metrics(M.merged_state(parts, ["model_id"]), ["model_id"], buckets=5).collect()}
+    assert whole == merged and set(whole) == {"m", "one", None}
+    assert whole["one"].auc_roc is None and whole["one"].average_precision == 1.0
+    per_fold = evaluate(df, ["model_id", "fold"])
+    means = {r.model_id: r for r in fold_means(per_fold, ["model_id"]).collect()}
+    assert means["m"].n_folds == 3 and means["one"].cv_auc_roc is None
+    own = [r for r in per_fold.collect() if r.model_id == "m"]
+    for m in METRIC_COLUMNS:
+        assert means["m"][f"cv_{m}"] == pytest.approx(sum(r[m] for r in own) / 3)
+    # clusters beside the predictions and in a table of their own give the same
+    apart = evaluate(df.drop("cluster_id"), ["model_id", "fold"], df.select("model_id", "row_id", "cluster_id").filter("model_id = 'm'"))
+    assert {r.fold: r.diverse_plate_ppv for r in apart.collect() if r.model_id == "m"} == {r.fold: r.diverse_plate_ppv for r in own}
+
+
+def test_top_rows_of_a_hot_group_in_two_levels(spark):
+    rng = np.random.default_rng(6)
+    rows = [("hot", f"{i:05d}", float(np.round(rng.random(), 2))) for i in range(5000)] + [("cold", "1", 0.5), (None, "2", 0.5)]
+    df = spark.createDataFrame(rows, "g string, row_id string, y_proba double").repartition(9)
+    top = R.top_k_rows(df, ["g"], 100)
+    want = sorted((r for r in rows if r[0] == "hot"), key=lambda r: (-r[2], r[1]))[:100]
+    got = sorted((r._rank, r.row_id) for r in top.collect() if r.g == "hot")
+    assert got == [(i + 1, r[1]) for i, r in enumerate(want)] and top.count() == 102
+    text = top._jdf.queryExecution().toString()
+    # a limit before either exchange: one by group and part of it, one by group
+    assert text.count("WindowGroupLimit [g#") >= 2 and "_part" in text

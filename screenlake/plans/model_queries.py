@@ -11,8 +11,8 @@ from ..functions.hashing import md5_bits
 from ..operators import knn as KNN
 from ..operators import models as MD
 from ..operators import sampling as S
-from ..operators.evaluation import evaluate
-from ..session import scratch_path
+from ..operators.evaluation import evaluate, fold_means
+from ..session import cut_lineage, scratch_path
 from . import fixtures as fx
 from .catalog import register
 from .fixture_sql import md5_bits_sql, with_views
@@ -69,15 +69,14 @@ def q_knn_vote(spark, sf):
 
 @register("cv_models")
 def q_cv_models(spark, sf):
-    feats = _split(spark, sf)
-    # one row per model and fold: its metrics on the held-out fold
-    preds = []
-    for name in MD.MODELS:
-        for fold in range(MD.CV_FOLDS):
-            model = MD.fit(name, feats.filter(F.col("fold") != fold))
-            preds.append(MD.predict(model, feats.filter(F.col("fold") == fold)).withColumn("model_id", F.lit(f"{name}_fold{fold}"))
-                         .withColumn("test_file", F.lit(f"fold{fold}")))
-    return rounded(evaluate(reduce(DataFrame.unionByName, preds), ["model_id", "test_file"], materialize=True))
+    """A row per model and fold: its metrics on the held-out fold, and beside them the model's means over the folds (``cv_``)."""
+    feats = cut_lineage(_split(spark, sf))   # one fold table shared by all fits
+    preds = [MD.fold_predictions(name, feats, MD.CV_FOLDS).withColumn("name", F.lit(name)) for name in MD.MODELS]
+    per_fold = cut_lineage(evaluate(reduce(DataFrame.unionByName, preds), ["name", "fold"], materialize=True))
+    both = per_fold.join(fold_means(per_fold, ["name"]), "name")
+    fold = F.concat(F.lit("fold"), F.col("fold").cast("string"))
+    return rounded(both.select(F.concat("name", F.lit("_"), fold).alias("model_id"), fold.alias("test_file"),
+                               *[c for c in both.columns if c not in ("name", "fold")]))
 
 
 @register("tune_lr")
@@ -91,10 +90,10 @@ def q_tune_lr(spark, sf):
     return spark.createDataFrame(rows, "reg_param double, elastic_net double, cv_auc double")
 
 
-@register("model_roundtrip")
+@register("model_roundtrip", with_views("SELECT row_id, true AS identical FROM vectors", "vectors"))
 def q_model_roundtrip(spark, sf):
     feats = _split(spark, sf)
-    model = MD.pipeline("lr").fit(feats.filter("fold = 1"))
+    model = MD.fit("lr", feats.filter("fold = 1"))
     loaded = MD.save_and_load(model, scratch_path(spark, "model_lr"))
     a = MD.predict(model, feats).select("row_id", F.col("y_proba").alias("p_fit"))
     b = MD.predict(loaded, feats).select("row_id", F.col("y_proba").alias("p_loaded"))

@@ -12,8 +12,16 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-EVAL_COLUMNS = ["test_f1score", "test_precision", "test_recall", "test_accuracy"]
-CV_COLUMNS = ["cv_f1", "cv_precision", "cv_recall", "cv_accuracy"]
+from .prefix import global_rank
+
+# The reference's configured ranking columns, its plotted means and its radar columns.
+RANKING = ["hits_at_200", "hits_at_500", "precision_at_200", "precision_at_500", "total_hits", "f1score", "precision", "recall",
+           "accuracy", "plate_ppv"]
+EVAL_COLUMNS = [f"test_{m}" for m in RANKING]
+CV_COLUMNS = [f"cv_{m}" for m in RANKING]
+PLOTTED = [f"{part}_{m}" for part in ("cv", "test")
+           for m in ("hits_at_500", "precision_at_200", "hits_at_200", "precision_at_500", "total_hits")]
+RADAR = ["cv_f1score", "cv_precision", "cv_recall", "cv_accuracy", "cv_plate_ppv", "cv_diverse_plate_ppv"]
 TIME_COLUMNS = ["run_date", "run_time"]
 
 
@@ -72,9 +80,11 @@ def parse_params(df: DataFrame, text_col: str) -> DataFrame:
 
 
 def model_keys(df: DataFrame, path_col: str = "model_path") -> DataFrame:
-    """'<model>_<column>_model' -> model key (suffix stripped) and column key (last token)."""
+    """'<model>_<column>_model' -> model key (suffix stripped) and column key: what follows the first token, so that the name of
+    fused columns ('rf_ECFP4_MACCS_model') stays whole."""
     key = F.regexp_replace(F.col(path_col), "_model$", "")
-    return df.withColumn("model_key", key).withColumn("column_key", F.element_at(F.split(key, "_"), -1))
+    return df.withColumn("model_key", key).withColumn(
+        "column_key", F.when(F.instr(key, "_") > 0, F.regexp_replace(key, "^[^_]*_", "")).otherwise(key))
 
 
 def grid(dims: dict[str, DataFrame]) -> DataFrame:
@@ -95,39 +105,62 @@ def dedupe(df: DataFrame, ignore: list[str] = TIME_COLUMNS) -> DataFrame:
     return df.withColumn("_k", F.row_number().over(w)).filter("_k = 1").drop("_k")
 
 
-def sort_columns(df: DataFrame) -> list[str]:
+def sort_columns(df: DataFrame, evaluation: list[str] = EVAL_COLUMNS, crossvalidation: list[str] = CV_COLUMNS) -> list[str]:
     """Evaluation columns if all exist, else CV columns if all exist, else none."""
-    if all(c in df.columns for c in EVAL_COLUMNS):
-        return EVAL_COLUMNS
-    if all(c in df.columns for c in CV_COLUMNS):
-        return CV_COLUMNS
+    for wanted in (evaluation, crossvalidation):
+        if wanted and all(c in df.columns for c in wanted):
+            return wanted
     return []
 
 
 TIEBREAK = ["model_path", "test_file_name", "run_date", "run_time"]
 
 
-def order_exprs(df: DataFrame, tiebreak: list[str] = TIEBREAK):
-    """Metric columns descending (nulls last), then a total order over the identity and
+def order_exprs(df: DataFrame, columns: list[str] | None = None, tiebreak: list[str] = TIEBREAK):
+    """Metric columns descending (nulls last; the configured ones by default), then a total order over the identity and
     run time, so duplicate runs with equal metrics resolve the same way every time."""
-    return [F.col(c).desc_nulls_last() for c in sort_columns(df)] + \
-           [F.col(c).asc_nulls_last() for c in tiebreak if c in df.columns]
+    wanted = sort_columns(df) if columns is None else columns
+    return [F.col(c).desc_nulls_last() for c in wanted] + [F.col(c).asc_nulls_last() for c in tiebreak if c in df.columns]
 
 
-def best_per_model(df: DataFrame, model_col: str = "model_path") -> DataFrame:
-    w = Window.partitionBy(model_col).orderBy(*order_exprs(df))
+def rank_ledger(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """``rank`` (1 is best) of every row, without one task that holds them all."""
+    return global_rank(df, order_exprs(df, columns))
+
+
+def best_per_model(df: DataFrame, model_col: str = "model_path", columns: list[str] | None = None) -> DataFrame:
+    w = Window.partitionBy(model_col).orderBy(*order_exprs(df, columns))
     return df.withColumn("_k", F.row_number().over(w)).filter("_k = 1").drop("_k")
 
 
 def select_top(df: DataFrame, k: int, train_files: list[str] | None = None,
-               test_files: list[str] | None = None) -> DataFrame:
+               test_files: list[str] | None = None, columns: list[str] | None = None) -> DataFrame:
     """Optional file filters -> dedupe -> best row per model -> top k (k > available -> all)."""
     if train_files:
         df = df.filter(F.col("train_file").isin(train_files))
     if test_files:
         df = df.filter(F.col("test_file_name").isin(test_files))
-    best = best_per_model(dedupe(df))
-    return best.orderBy(*order_exprs(best)).limit(k)
+    best = best_per_model(dedupe(df), columns=columns)
+    return best.orderBy(*order_exprs(best, columns)).limit(k)
+
+
+def mean_metrics(df: DataFrame, metrics: list[str] = PLOTTED, by: list[str] = ["model_type", "column_name"]) -> DataFrame:  # noqa: B006
+    """Group means of the listed metrics; a null takes no part."""
+    return df.groupBy(*by).agg(*[F.avg(F.col(m).cast("double")).alias(m) for m in metrics])
+
+
+def metric_grid(df: DataFrame, metrics: list[str] = PLOTTED) -> DataFrame:
+    """``mean_metrics`` for every model type with every column; a cell without runs, or without a value, has 0."""
+    cells = grid({c: df.select(c) for c in ("model_type", "column_name")})
+    return cells.join(mean_metrics(df, metrics), ["model_type", "column_name"], "left").select(
+        "model_type", "column_name", *[F.coalesce(F.col(m), F.lit(0.0)).alias(m) for m in metrics])
+
+
+def radar_profile(top: DataFrame, columns: list[str] = RADAR) -> DataFrame:
+    """Means of the radar columns over the chosen models, named without a ``test_`` prefix; no row unless all exist."""
+    if not all(c in top.columns for c in columns):
+        return top.select(*[F.lit(None).cast("double").alias(c.removeprefix("test_")) for c in columns]).limit(0)
+    return top.agg(*[F.avg(F.col(c).cast("double")).alias(c.removeprefix("test_")) for c in columns])
 
 
 def list_to_text(c, sep: str = ","):

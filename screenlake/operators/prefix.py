@@ -13,7 +13,7 @@ The placed rows are checkpointed: their partition numbers have to stay what the
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.joins import join_null_safe
@@ -37,3 +37,15 @@ def running_sums(df: DataFrame, keys: list[str], order_col: str, value_cols: lis
     for v in value_cols:
         out = out.withColumn(f"{prefix}{v}", F.col(f"_off_{v}") + F.sum(v).over(local))
     return out.drop("_bucket", *[f"_off_{v}" for v in value_cols])
+
+
+def global_rank(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
+    """Add the 1-based place of each row in a total ``order``: range partitions, their counts (one row per partition), a local
+    row number.  The placed rows are checkpointed, as above."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = cut_lineage(df.repartitionByRange(n, *order).withColumn("_bucket", F.spark_partition_id()))
+    counts = placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    local = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
+    return placed.join(offsets, "_bucket").withColumn(name, F.col("_off") + local).drop("_bucket", "_off")

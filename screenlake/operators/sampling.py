@@ -87,6 +87,19 @@ def calibration_split(df: DataFrame, key: str, size: float = 0.3, seed: int = 42
                              .otherwise("proper")).drop("_rank", "_all")
 
 
+def nested_split(df: DataFrame, key: str, test: float = 0.2, calibration: float = 0.3, seed: int = 42) -> DataFrame:
+    """``split``: the first ceil(test * n) rows in seeded order are 'test', the next ceil(calibration * rest) 'calibration', what
+    remains 'proper'."""
+    if not (0 < test < 1 and 0 < calibration < 1):
+        raise ValueError("sizes must be in (0, 1)")
+    n = df.groupBy().agg(F.count(F.lit(1))).scalar()
+    n_test = F.ceil(n * F.lit(test) - F.lit(1e-9))
+    n_cal = F.ceil((n - n_test) * F.lit(calibration) - F.lit(1e-9))
+    ranked = seeded_rank(df.withColumn("_all", F.lit(0)), ["_all"], key, seed)
+    return ranked.withColumn("split", F.when(F.col("_rank") <= n_test, "test").when(F.col("_rank") <= n_test + n_cal, "calibration")
+                             .otherwise("proper")).drop("_rank", "_all")
+
+
 def shuffled(df: DataFrame, key: str, seed: int | str = 42) -> DataFrame:
     """Seeded random row order inside each output partition (what a 'shuffle before writing'
     needs); a global sort would add a range-partitioning pass for no benefit."""

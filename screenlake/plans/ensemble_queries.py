@@ -10,9 +10,10 @@ from ..operators import ranking as R
 from ..operators import sampling as S
 from ..operators import similarity as SIM
 from ..operators.evaluation import evaluate
+from ..session import cut_lineage
 from . import fixtures as fx
 from .catalog import register
-from .fixture_sql import md5_bits_sql, with_views
+from .fixture_sql import VIEWS, md5_bits_sql, with_views
 from .metric_queries import eval_select, rounded
 from .similarity_queries import LEADER_SIM, MAX_DISTANCE, leaders_sql
 
@@ -25,12 +26,27 @@ FUSED_SQL = ("fused", """
            avg(y_proba) AS y_proba, CAST(round_even(avg(y_pred), 0) AS INTEGER) AS y_pred
     FROM multi_scored GROUP BY row_id""")
 
+# Nested split: the first 20 % of the seeded order are test rows; of the rest 30 % calibrate, and the scorers are fitted on what
+# remains, the proper part, alone.
+TEST_SIZE, CALIBRATION_SIZE = 0.2, 0.3
+
+
+def _refitted(name: str) -> tuple[str, str]:
+    """A fixture view of the scorers, fitted on the proper rows only."""
+    sql = VIEWS[name][1].replace("(SELECT avg(y) FROM vectors)", "(SELECT avg(y) FROM vectors JOIN split USING (row_id) WHERE split = 'proper')")
+    sql = sql.replace("FROM ms_ex GROUP BY pos", "FROM ms_ex JOIN split USING (row_id) WHERE split = 'proper' GROUP BY pos")
+    return f"{name}_p", sql.replace("ms_stats", "ms_stats_p").replace("FROM ms_per", "FROM ms_per_p")
+
+
 CALIB_SQL = [
-    ("split", f"""SELECT row_id, CASE WHEN row_number() OVER (ORDER BY {md5_bits_sql("'42|' || row_id")}, row_id)
-                                   <= ceil(count(*) OVER () * 0.3 - 1e-9) THEN 'calibration' ELSE 'proper' END
-                                   AS split FROM vectors"""),
+    ("placed", f"""SELECT row_id, row_number() OVER (ORDER BY {md5_bits_sql("'42|' || row_id")}, row_id) AS k,
+                          ceil(count(*) OVER () * {TEST_SIZE} - 1e-9) AS n_test, count(*) OVER () AS n FROM vectors"""),
+    ("split", f"""SELECT row_id, CASE WHEN k <= n_test THEN 'test'
+                                     WHEN k <= n_test + ceil((n - n_test) * {CALIBRATION_SIZE} - 1e-9) THEN 'calibration'
+                                     ELSE 'proper' END AS split FROM placed"""),
+    _refitted("ms_stats"), _refitted("ms_per"), _refitted("multi_scored"),
     ("cal_scores", """SELECT m.model_id, 1 - CASE WHEN y_true = 1 THEN y_proba ELSE 1 - y_proba END AS score
-                      FROM multi_scored m JOIN split s USING (row_id) WHERE s.split = 'calibration'"""),
+                      FROM multi_scored_p m JOIN split s USING (row_id) WHERE s.split = 'calibration'"""),
     ("qhat", f"""SELECT model_id, n_cal, k,
                         CASE WHEN k > n_cal THEN 'Infinity'::DOUBLE ELSE kth END AS qhat
                  FROM (SELECT model_id, count(*) AS n_cal,
@@ -43,16 +59,19 @@ CALIB_SQL = [
     ("sets", """SELECT m.row_id, m.model_id, m.y_true, s.split,
                        [c FOR c IN [CASE WHEN m.y_proba <= q.qhat THEN 0 END,
                                     CASE WHEN 1 - m.y_proba <= q.qhat THEN 1 END] IF c IS NOT NULL] AS pred_set
-                FROM multi_scored m JOIN qhat q USING (model_id) JOIN split s USING (row_id)"""),
+                FROM multi_scored_p m JOIN qhat q USING (model_id) JOIN split s USING (row_id) WHERE s.split = 'test'"""),
 ]
 
 
 def _calibrated_sets(spark, sf):
-    ms = fx.multi_scored(spark, sf)
-    split = S.calibration_split(fx.vectors(spark, sf).select("row_id"), "row_id", 0.3, SEED)
-    j = ms.join(split, "row_id")
-    q = C.conformal_threshold(j.filter(F.col("split") == "calibration"), ["model_id"], CONFIDENCE)
-    return C.prediction_sets(j, q, ["model_id"]), q
+    """Sets of the test rows, from scorers that saw neither these nor the calibration rows."""
+    v = fx.vectors(spark, sf)
+    split = S.nested_split(v.select("row_id"), "row_id", TEST_SIZE, CALIBRATION_SIZE, SEED)
+    parts = cut_lineage(v.join(split, "row_id"))
+    scored = fx.score_with(parts, fx.fit_class_stats(parts.filter(F.col("split") == "proper")), "split")
+    scored = cut_lineage(scored.filter(F.col("split") != "proper"))   # read by the quantile and by the sets
+    q = C.conformal_threshold(scored.filter(F.col("split") == "calibration"), ["model_id"], CONFIDENCE)
+    return C.prediction_sets(scored.filter(F.col("split") == "test"), q, ["model_id"]), q
 
 
 @register("scores_pivot", with_views(
@@ -103,7 +122,7 @@ def q_fusion_metrics(spark, sf):
 
 
 @register("conformal_threshold", with_views(
-    "SELECT model_id, n_cal, k, round(qhat, 6) AS qhat FROM qhat", "multi_scored", extra=CALIB_SQL))
+    "SELECT model_id, n_cal, k, round(qhat, 6) AS qhat FROM qhat", "vectors", "ms_ex", extra=CALIB_SQL))
 def q_conformal_threshold(spark, sf):
     _, q = _calibrated_sets(spark, sf)
     return rounded(q)
@@ -111,7 +130,7 @@ def q_conformal_threshold(spark, sf):
 
 @register("conformal_sets", with_views(
     "SELECT row_id, model_id, array_to_string(pred_set, ',') AS pred_set, len(pred_set) AS set_size "
-    "FROM sets", "multi_scored", extra=CALIB_SQL))
+    "FROM sets", "vectors", "ms_ex", extra=CALIB_SQL))
 def q_conformal_sets(spark, sf):
     sets, _ = _calibrated_sets(spark, sf)
     return sets.select("row_id", "model_id", F.array_join("pred_set", ",").alias("pred_set"),
@@ -121,16 +140,16 @@ def q_conformal_sets(spark, sf):
 @register("conformal_coverage", with_views("""
     SELECT model_id, round(avg(CAST(list_contains(pred_set, y_true) AS DOUBLE)), 6) AS coverage,
            round(avg(len(pred_set)), 6) AS mean_set_size, round(2.0 - avg(len(pred_set)), 6) AS set_confidence
-    FROM sets WHERE split = 'proper' GROUP BY model_id""", "multi_scored", extra=CALIB_SQL))
+    FROM sets GROUP BY model_id""", "vectors", "ms_ex", extra=CALIB_SQL))
 def q_conformal_coverage(spark, sf):
     sets, _ = _calibrated_sets(spark, sf)
-    return rounded(C.coverage(sets.filter(F.col("split") == "proper"), ["model_id"]))
+    return rounded(C.coverage(sets, ["model_id"]))
 
 
 @register("conformal_union_set", with_views("""
     SELECT DISTINCT row_id, (SELECT array_to_string(list_sort(list_distinct(flatten(list(pred_set)))), ',')
                              FROM sets) AS union_conformal_set
-    FROM sets""", "multi_scored", extra=CALIB_SQL))
+    FROM sets""", "vectors", "ms_ex", extra=CALIB_SQL))
 def q_conformal_union_set(spark, sf):
     sets, _ = _calibrated_sets(spark, sf)
     u = C.union_set(sets).select(F.array_join("union_conformal_set", ",")).scalar()

@@ -99,10 +99,14 @@ def _sum_over(arr_fn, dims: int):
 def multi_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long prediction table (row_id, model_id, test_file, y_true, y_proba, y_pred) for four
     scorers; probabilities rounded to 6 places before thresholding."""
+    v = vectors(spark, sf_dir)
+    return score_with(v, fit_class_stats(v))
+
+
+def score_with(v: DataFrame, st: dict, *more: str) -> DataFrame:
+    """Predictions of the four scorers fitted as ``st``, with columns ``more`` of the vectors."""
     import math
 
-    v = vectors(spark, sf_dir)
-    st = fit_class_stats(v)
     dims = len(st[0]["m"])
     lit_arr = lambda xs: F.array(*[F.lit(float(x)) for x in xs])
     m0, m1 = lit_arr(st[0]["m"]), lit_arr(st[1]["m"])
@@ -125,8 +129,8 @@ def multi_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.lit("dot").alias("model_id"), sig(F.lit(-10.0) * dot).alias("p")),
         F.struct(F.lit("noise").alias("model_id"),
                  md5_unit(F.concat(F.lit("noise|"), F.col("row_id").cast("string"))).alias("p")))
-    long = v.select("row_id", F.col("y").alias("y_true"), F.explode(scores).alias("s"))
-    out = long.select("row_id", "s.model_id", F.lit("embeddings").alias("test_file"), "y_true",
+    long = v.select("row_id", *more, F.col("y").alias("y_true"), F.explode(scores).alias("s"))
+    out = long.select("row_id", *more, "s.model_id", F.lit("embeddings").alias("test_file"), "y_true",
                       F.round("s.p", 6).alias("y_proba"))
     return out.withColumn("y_pred", (F.col("y_proba") > 0.5).cast("int"))
 

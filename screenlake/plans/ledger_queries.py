@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.hashing import md5_bits
 from ..operators import ledger as L
+from ..operators.evaluation import METRIC_COLUMNS, evaluate, fold_means
 from ..session import scratch_path
 from ..sources.tables import read_table
 from . import fixtures as fx
 from .catalog import register
-from .fixture_sql import with_views
+from .fixture_sql import md5_bits_sql, with_views
+from .metric_queries import CLUSTERED_SQL, KEYS, clustered, eval_select, rounded, unrounded
 
 LEDGER_ID = ["model_path", "test_file_name", "run_time"]
 METRICS = ["test_accuracy", "test_precision", "test_recall", "test_f1score", "test_totalhits_text",
@@ -18,9 +21,34 @@ LEDGER_COLS = ["model_type", "column_name", "model_path", "train_file", "test_fi
                "test_accuracy", "test_precision", "test_recall", "test_f1score", "test_totalhits_text",
                "cv_accuracy", "cv_precision", "cv_recall", "cv_f1", "status"]
 _PART = ", ".join(LEDGER_COLS)
-ORDER_SQL = ("test_f1score DESC NULLS LAST, test_precision DESC NULLS LAST, test_recall DESC NULLS LAST, "
-             "test_accuracy DESC NULLS LAST, model_path ASC NULLS LAST, test_file_name ASC NULLS LAST, "
-             "run_date ASC NULLS LAST, run_time ASC NULLS LAST")
+ORDER_SQL = ", ".join([*(f"{c} DESC NULLS LAST" for c in L.EVAL_COLUMNS),
+                       *(f"{c} ASC NULLS LAST" for c in ("model_path", "test_file_name", "run_date", "run_time"))])
+
+# The ledger with all metrics of its (model, test file): those of the file as test_*, the folds' means as cv_*.  The column
+# names of some rows are those of fused columns, and one model never ran on one column.
+_MORE = [m for m in METRIC_COLUMNS if m not in ("accuracy", "precision", "recall", "f1")]
+_FULL = [*(f"test_{m}" for m in _MORE), *(f"cv_{m}" for m in _MORE), "cv_f1score"]
+FULL_SQL = [CLUSTERED_SQL, ("folded", f"SELECT *, {md5_bits_sql('row_id')} % 2 AS fold FROM clustered"), ("full_ledger", f"""
+    SELECT l.*, {', '.join(f'e.{m} AS test_{m}' for m in _MORE)}, {', '.join(f'c.{m} AS cv_{m}' for m in _MORE)}, l.cv_f1 AS cv_f1score
+    FROM ledger l
+    LEFT JOIN ({eval_select('clustered')}) e
+      ON l.model_type = list_extract(['rf', 'lr', 'svc', 'nb', 'dt', 'knn', 'gb'], e.model_id) AND l.test_file_name = 'test_' || e.test_file || '.parquet'
+    LEFT JOIN (SELECT model_id, test_file, {', '.join(f'round(avg({m}), 6) AS {m}' for m in _MORE)}
+               FROM ({unrounded(eval_select('folded', 'model_id, test_file, fold'))}) GROUP BY model_id, test_file) c
+      ON c.model_id = e.model_id AND c.test_file = e.test_file
+    WHERE NOT (l.model_type = 'knn' AND l.column_name = 'MACCS')""")]
+
+
+def _full_ledger(spark, sf):
+    led = fx.ledger(spark, sf)
+    s = clustered(spark, sf).withColumn("fold", F.pmod(md5_bits("row_id"), F.lit(2)))
+    test = rounded(evaluate(clustered(spark, sf), KEYS)).select(*KEYS, *[F.col(m).alias(f"test_{m}") for m in _MORE])
+    cv = rounded(fold_means(evaluate(s, KEYS + ["fold"]), KEYS)).select(*KEYS, *[f"cv_{m}" for m in _MORE])
+    kind = F.element_at(F.array(*[F.lit(x) for x in fx.MODEL_TYPES]), F.col("model_id"))
+    both = test.join(cv, KEYS).select(kind.alias("model_type"), F.concat(F.lit("test_"), "test_file", F.lit(".parquet")).alias("test_file_name"),
+                                      *[f"test_{m}" for m in _MORE], *[f"cv_{m}" for m in _MORE])
+    full = led.join(both, ["model_type", "test_file_name"], "left").withColumn("cv_f1score", F.col("cv_f1"))
+    return full.filter(~((F.col("model_type") == "knn") & (F.col("column_name") == "MACCS"))).select(*led.columns, *_FULL)
 
 
 def _ledger(spark, sf):
@@ -98,11 +126,14 @@ def q_parse_param_map(spark, sf):
 
 @register("derive_model_keys", with_views("""
     SELECT DISTINCT model_path, regexp_replace(model_path, '_model$', '') AS model_key,
-           list_extract(string_split(regexp_replace(model_path, '_model$', ''), '_'), -1) AS column_key
-    FROM ledger WHERE model_path <> ''""", "ledger"))
+           regexp_replace(regexp_replace(model_path, '_model$', ''), '^[^_]*_', '') AS column_key
+    FROM (SELECT model_path FROM ledger
+          UNION ALL SELECT replace(model_path, '_ECFP4_', '_ECFP4_MACCS_') FROM ledger) WHERE model_path <> ''""", "ledger"))
 def q_derive_model_keys(spark, sf):
-    led = _ledger(spark, sf).filter(F.col("model_path") != "").select("model_path").distinct()
-    return L.model_keys(led)
+    # models of single columns, and of both columns fused
+    led = _ledger(spark, sf).select("model_path")
+    fused = led.select(F.replace("model_path", F.lit("_ECFP4_"), F.lit("_ECFP4_MACCS_")).alias("model_path"))
+    return L.model_keys(led.unionByName(fused).filter(F.col("model_path") != "").distinct())
 
 
 @register("experiment_grid", with_views("""
@@ -127,78 +158,62 @@ def q_ledger_dedupe(spark, sf):
 
 @register("rank_ledger", with_views(f"""
     SELECT model_path, test_file_name, run_time, row_number() OVER (ORDER BY {ORDER_SQL})
-           AS rank FROM ledger""", "ledger"))
+           AS rank FROM full_ledger""", "ledger", extra=FULL_SQL))
 def q_rank_ledger(spark, sf):
-    from pyspark.sql import Window
-    led = _ledger(spark, sf)
-    # the ledger has one row per experiment: a global order over it is small
-    w = Window.orderBy(*L.order_exprs(led))
-    return led.select("model_path", "test_file_name", "run_time", F.row_number().over(w).cast("bigint").alias("rank"))
+    return L.rank_ledger(_full_ledger(spark, sf)).select("model_path", "test_file_name", "run_time", F.col("rank").cast("bigint"))
 
 
 @register("best_row_per_model", with_views(f"""
-    SELECT model_path, test_file_name, run_time, test_f1score FROM (
-      SELECT *, row_number() OVER (PARTITION BY model_path ORDER BY {ORDER_SQL}) AS k FROM ledger)
-    WHERE k = 1""", "ledger"))
+    SELECT model_path, test_file_name, run_time, CAST(test_hits_at_200 AS DOUBLE) AS test_hits_at_200, test_f1score FROM (
+      SELECT *, row_number() OVER (PARTITION BY model_path ORDER BY {ORDER_SQL}) AS k FROM full_ledger)
+    WHERE k = 1""", "ledger", extra=FULL_SQL))
 def q_best_row_per_model(spark, sf):
-    return L.best_per_model(_ledger(spark, sf)).select("model_path", "test_file_name", "run_time",
-                                                      "test_f1score")
+    return L.best_per_model(_full_ledger(spark, sf)).select("model_path", "test_file_name", "run_time", F.col("test_hits_at_200").cast("double"),
+                                                           "test_f1score")
 
 
 def _top_sql(k: int, select: str) -> str:
-    return with_views(f"""
-    , dd AS (SELECT * EXCLUDE (kk) FROM (
-               SELECT *, row_number() OVER (PARTITION BY {_PART}
-                                            ORDER BY run_date NULLS LAST, run_time NULLS LAST) AS kk
-               FROM ledger WHERE train_file IN ('train_F.parquet')) WHERE kk = 1),
-    best AS (SELECT * EXCLUDE (kk) FROM (
+    part = ", ".join([*LEDGER_COLS, *_FULL])
+    return with_views(select, "ledger", extra=[*FULL_SQL, ("dd", f"""
+               SELECT * EXCLUDE (kk) FROM (
+               SELECT *, row_number() OVER (PARTITION BY {part} ORDER BY run_date NULLS LAST, run_time NULLS LAST) AS kk
+               FROM full_ledger WHERE train_file IN ('train_F.parquet')) WHERE kk = 1"""), ("best", f"""
+               SELECT * EXCLUDE (kk) FROM (
                SELECT *, row_number() OVER (PARTITION BY model_path ORDER BY {ORDER_SQL}) AS kk FROM dd)
-             WHERE kk = 1),
-    top AS (SELECT * FROM best ORDER BY {ORDER_SQL} LIMIT {k})
-    {select}""", "ledger").replace("\n    , dd AS", ",\n    dd AS", 1)
+               WHERE kk = 1"""), ("top", f"SELECT * FROM best ORDER BY {ORDER_SQL} LIMIT {k}")])
 
 
-@register("select_top_models", _top_sql(3, "SELECT model_path, test_file_name, test_f1score FROM top"))
+@register("select_top_models", _top_sql(3, "SELECT model_path, test_file_name, test_hits_at_200, test_f1score FROM top"))
 def q_select_top_models(spark, sf):
-    return L.select_top(_ledger(spark, sf), 3, train_files=["train_F.parquet"]).select(
-        "model_path", "test_file_name", "test_f1score")
+    return L.select_top(_full_ledger(spark, sf), 3, train_files=["train_F.parquet"]).select(
+        "model_path", "test_file_name", "test_hits_at_200", "test_f1score")
+
+
+_MEANS_SQL = ", ".join(f"round(avg({m}), 6) AS {m}" for m in L.PLOTTED)
 
 
-@register("metrics_by_model_feature", with_views("""
-    SELECT model_type, column_name, round(avg(test_accuracy), 6) AS mean_accuracy,
-           round(avg(test_f1score), 6) AS mean_f1, round(avg(cv_f1), 6) AS mean_cv_f1
-    FROM ledger WHERE model_type <> '' GROUP BY model_type, column_name""", "ledger"))
+@register("metrics_by_model_feature", with_views(f"""
+    SELECT model_type, column_name, {_MEANS_SQL}
+    FROM full_ledger WHERE model_type <> '' GROUP BY model_type, column_name""", "ledger", extra=FULL_SQL))
 def q_metrics_by_model_feature(spark, sf):
-    led = _ledger(spark, sf).filter(F.col("model_type") != "")
-    return led.groupBy("model_type", "column_name").agg(
-        F.round(F.avg("test_accuracy"), 6).alias("mean_accuracy"), F.round(F.avg("test_f1score"), 6).alias("mean_f1"),
-        F.round(F.avg("cv_f1"), 6).alias("mean_cv_f1"))
-
-
-@register("metric_grid", with_views("""
-    SELECT g.model_type, g.column_name, coalesce(a.mean_f1, 0.0) AS mean_f1
-    FROM (SELECT * FROM (SELECT DISTINCT model_type FROM ledger WHERE model_type <> '') m0
-          CROSS JOIN (SELECT DISTINCT column_name FROM ledger WHERE column_name <> '') c0) g
-    LEFT JOIN (SELECT model_type, column_name, round(avg(test_f1score), 6) AS mean_f1 FROM ledger
-               WHERE model_type <> ''
-               GROUP BY ALL) a USING (model_type, column_name)""", "ledger"))
+    return rounded(L.mean_metrics(_full_ledger(spark, sf).filter(F.col("model_type") != "")))
+
+
+@register("metric_grid", with_views(f"""
+    SELECT g.model_type, g.column_name, {', '.join(f'coalesce(a.{m}, 0.0) AS {m}' for m in L.PLOTTED)}
+    FROM (SELECT * FROM (SELECT DISTINCT model_type FROM full_ledger WHERE model_type <> '') m0
+          CROSS JOIN (SELECT DISTINCT column_name FROM full_ledger WHERE column_name <> '') c0) g
+    LEFT JOIN (SELECT model_type, column_name, {_MEANS_SQL} FROM full_ledger
+               WHERE model_type <> '' GROUP BY ALL) a USING (model_type, column_name)""", "ledger", extra=FULL_SQL))
 def q_metric_grid(spark, sf):
-    led = _ledger(spark, sf).filter(F.col("model_type") != "")
-    # a (model, column) cell without runs appears with 0
-    means = led.groupBy("model_type", "column_name").agg(F.round(F.avg("test_f1score"), 6).alias("mean_f1"))
-    cells = L.grid({"model_type": led.select("model_type"), "column_name": led.select("column_name")})
-    return cells.join(means, ["model_type", "column_name"], "left").select(
-        "model_type", "column_name", F.coalesce("mean_f1", F.lit(0.0)).alias("mean_f1"))
-
-
-@register("topk_metric_profile", _top_sql(3, """
-    SELECT round(avg(test_accuracy), 6) AS test_accuracy, round(avg(test_precision), 6) AS test_precision,
-           round(avg(test_recall), 6) AS test_recall, round(avg(test_f1score), 6) AS test_f1score,
-           count(*) AS n_models FROM top"""))
+    # knn never ran on MACCS: its cell has zeros
+    return rounded(L.metric_grid(_full_ledger(spark, sf).filter(F.col("model_type") != "")))
+
+
+@register("topk_metric_profile", _top_sql(3, f"""
+    SELECT {', '.join(f'round(avg({c}), 6) AS {c}' for c in L.RADAR)} FROM top"""))
 def q_topk_metric_profile(spark, sf):
-    top = L.select_top(_ledger(spark, sf), 3, train_files=["train_F.parquet"])
-    cols = ["test_accuracy", "test_precision", "test_recall", "test_f1score"]
-    return top.agg(*[F.round(F.avg(c), 6).alias(c) for c in cols], F.count(F.lit(1)).alias("n_models"))
+    return rounded(L.radar_profile(L.select_top(_full_ledger(spark, sf), 3, train_files=["train_F.parquet"])))
 
 
 @register("status_tally", with_views("""

@@ -7,10 +7,14 @@ small by nature; still, every step is a plain DataFrame operation.
 
 from __future__ import annotations
 
+import json
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from .prefix import global_rank
 
@@ -30,13 +34,76 @@ def append_union(ledger: DataFrame, new_rows: DataFrame) -> DataFrame:
     return ledger.unionByName(new_rows, allowMissingColumns=True)
 
 
-def append_to_path(new_rows: DataFrame, path: str) -> None:
-    """Append-mode write; readers use mergeSchema to see the union of all runs' columns."""
-    new_rows.write.mode("append").parquet(path)
-
-
-def read_ledger(spark, path: str) -> DataFrame:
-    return spark.read.option("mergeSchema", True).parquet(path)
+# A ledger on disk is a folder of Parquet folders and of manifests, one line of JSON each: version, schema, and the data folders
+# that make it up.  Data are written first and the manifest last, into a folder that must not exist; so an interrupted write
+# leaves the former version, of two writers of one version the second fails, and a reader opens one manifest
+# and no Parquet footer for its schema.
+
+def manifest(spark: SparkSession, path: str, version: int | None = None) -> dict | None:
+    """The newest manifest (or that of ``version``); None before the first write."""
+    try:
+        lines = spark.read.option("recursiveFileLookup", True).text(f"{path}/manifests")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    own = lines.select(F.from_json("value", "version int").version.alias("version"), "value")
+    own = own if version is None else own.filter(F.col("version") == version)
+    newest = own.agg(F.max_by("value", "version")).first()[0]
+    return json.loads(newest) if newest else None
+
+
+def _union_schema(old: StructType, new: StructType) -> StructType:
+    kinds = {f.name: f.dataType for f in old}
+    for f in new:
+        if kinds.setdefault(f.name, f.dataType) != f.dataType:
+            raise ValueError(f"column {f.name} is {kinds[f.name].simpleString()} in the ledger, not {f.dataType.simpleString()}")
+    return StructType([StructField(k, t, True) for k, t in kinds.items()])
+
+
+def _write_version(rows: DataFrame, path: str, before: dict | None, keep: bool) -> int:
+    spark, version = rows.sparkSession, (before["version"] if before else 0) + 1
+    old = StructType.fromJson(before["schema"]) if before else StructType([])
+    schema = _union_schema(old, rows.schema)
+    part = f"data-{uuid.uuid4().hex}"
+    rows.write.mode("errorifexists").parquet(f"{path}/{part}")
+    line = json.dumps({"version": version, "schema": schema.jsonValue(), "parts": [*(before["parts"] if before and keep else []), part]})
+    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("errorifexists").text(f"{path}/manifests/{version:08d}")
+    return version
+
+
+def append_to_path(new_rows: DataFrame, path: str) -> int:
+    """The next version: all rows so far and the new ones, columns united by name."""
+    return _write_version(new_rows, path, manifest(new_rows.sparkSession, path), keep=True)
+
+
+def read_ledger(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """Rows of a version; columns that a part lacks are NULL."""
+    found = manifest(spark, path, version)
+    if found is None:
+        raise ValueError(f"no ledger version at {path}")
+    return spark.read.schema(StructType.fromJson(found["schema"])).parquet(*[f"{path}/{p}" for p in found["parts"]])
+
+
+def replace_rows(spark: SparkSession, path: str, rows: DataFrame) -> int:
+    """The next version: these rows alone; columns known before stay in its schema."""
+    return _write_version(rows, path, manifest(spark, path), keep=False)
+
+
+def upsert(spark: SparkSession, path: str, rows: DataFrame, keys: list[str]) -> int:
+    """The next version: columns of ``rows`` (unique by ``keys``) replace those of the ledger rows with their keys, other columns and
+    other rows stay, rows with new keys are added.  NULL keys match NULL keys."""
+    before = manifest(spark, path)
+    if before is None:
+        return _write_version(rows, path, None, keep=False)
+    old = read_ledger(spark, path, before["version"])
+    new = rows.select(*[F.col(c).alias(f"_new_{c}") for c in rows.columns], F.lit(True).alias("_is_new"))
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys])
+    both = old.withColumn("_is_old", F.lit(True)).join(new, on, "full")
+    is_new = F.col("_is_new").isNotNull()
+    out = both.select(*[F.when(is_new, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in rows.columns else F.col(c) for c in old.columns],
+                      *[F.col(f"_new_{c}").alias(c) for c in rows.columns if c not in old.columns])
+    return _write_version(out, path, before, keep=False)
 
 
 def blanks_to_null(df: DataFrame) -> DataFrame:

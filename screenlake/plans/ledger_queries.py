@@ -75,6 +75,35 @@ def q_ledger_append_union(spark, sf):
                                       F.count("status").alias("n_status"))
 
 
+_TRAINED = ["model_type", "column_name", "model_path", "train_file", "hyperparameters", "cv_accuracy", "cv_precision", "cv_recall", "cv_f1"]
+
+
+@register("ledger_test_rewrite", with_views(f"""
+    SELECT t.*, 'test_' || f.test_file || '.parquet' AS test_file_name,
+           {', '.join(f'CAST(e.{m} AS DOUBLE) AS test_{m}' for m in METRIC_COLUMNS)}, 3 AS ledger_version
+    FROM (SELECT DISTINCT {', '.join(_TRAINED)} FROM ledger WHERE model_type <> '') t
+    CROSS JOIN (SELECT DISTINCT test_file FROM scored) f
+    LEFT JOIN ({eval_select('clustered')}) e
+      ON e.test_file = f.test_file AND t.model_type = list_extract(['rf', 'lr', 'svc', 'nb', 'dt', 'knn', 'gb'], e.model_id)""",
+    "ledger", extra=[CLUSTERED_SQL]))
+def q_ledger_test_rewrite(spark, sf):
+    """Version 1 holds the trained models, version 2 a row for each with every test file, version 3 has all test metrics beside
+    the identity, configuration and cross-validation columns of these rows."""
+    path = scratch_path(spark, "ledger")
+    trained = fx.ledger(spark, sf).filter(F.col("model_type") != "").select(*_TRAINED).distinct()
+    L.append_to_path(trained, path)
+    files = fx.scored(spark, sf).select(F.concat(F.lit("test_"), "test_file", F.lit(".parquet")).alias("test_file_name"))
+    cells = L.grid({"model_path": L.read_ledger(spark, path).select("model_path"), "test_file_name": files})
+    L.replace_rows(spark, path, L.read_ledger(spark, path).join(cells, "model_path"))
+    ev = rounded(evaluate(clustered(spark, sf), KEYS))
+    kind = F.element_at(F.array(*[F.lit(x) for x in fx.MODEL_TYPES]), F.col("model_id"))
+    tested = ev.select(kind.alias("model_type"), F.concat(F.lit("test_"), "test_file", F.lit(".parquet")).alias("test_file_name"),
+                       *[F.col(m).cast("double").alias(f"test_{m}") for m in METRIC_COLUMNS])
+    known = L.read_ledger(spark, path).select("model_type", "model_path", "test_file_name")
+    L.upsert(spark, path, known.join(tested, ["model_type", "test_file_name"]).drop("model_type"), ["model_path", "test_file_name"])
+    return L.read_ledger(spark, path).withColumn("ledger_version", F.lit(L.manifest(spark, path)["version"]))
+
+
 @register("clean_blank_rows", with_views("""
     SELECT nullif(trim(model_path), '') AS model_path, nullif(trim(status), '') AS status,
            test_f1score, nullif(trim(run_time), '') AS run_time

@@ -232,30 +232,3 @@ EVAL_SQL = with_views(EVAL_SELECT, "scored", extra=[CLUSTERED_SQL])
 @register("evaluate_all", EVAL_SQL)
 def q_evaluate_all(spark, sf):
     return rounded(evaluate(clustered(spark, sf), KEYS))
-
-
-@register("ledger_test_rewrite", with_views("""
-    SELECT g.model_id, g.test_file, e.accuracy AS test_accuracy, e.f1 AS test_f1score,
-           e.auc_roc AS test_auc_roc, e.average_precision AS test_auc_pr, e.mcc AS test_mcc,
-           e.hits_at_200 AS test_hits_at_200, e.plate_ppv AS test_plate_ppv, e.total_hits AS test_total_hits,
-           2 AS ledger_version
-    FROM (SELECT * FROM (SELECT DISTINCT model_id FROM scored) m
-          CROSS JOIN (SELECT DISTINCT test_file FROM scored) t) g
-    LEFT JOIN ev e USING (model_id, test_file)""", "scored", extra=[CLUSTERED_SQL, ("ev", EVAL_SELECT)]))
-def q_ledger_test_rewrite(spark, sf):
-    # every (model, test file) cell of the experiment grid gets its Test_* metrics; the result
-    # is written as a new ledger version in the shared folder and read back
-    from ..operators.ledger import grid
-    from ..session import scratch_path
-    s = fx.scored(spark, sf)
-    ev = evaluate(clustered(spark, sf), KEYS)
-    cells = grid({"model_id": s.select("model_id"), "test_file": s.select("test_file")})
-    out = rounded(cells.join(ev, KEYS, "left").select(
-        *KEYS, F.col("accuracy").alias("test_accuracy"), F.col("f1").alias("test_f1score"),
-        F.col("auc_roc").alias("test_auc_roc"), F.col("average_precision").alias("test_auc_pr"),
-        F.col("mcc").alias("test_mcc"), F.col("hits_at_200").alias("test_hits_at_200"),
-        F.col("plate_ppv").alias("test_plate_ppv"), F.col("total_hits").alias("test_total_hits"),
-        F.lit(2).alias("ledger_version")))
-    path = scratch_path(spark, "ledger_v2")
-    out.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)

@@ -2,11 +2,13 @@
 
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from screenlake.operators import ledger as L
 from screenlake.operators import sampling as S
 from screenlake.plans import catalog
+from screenlake.session import scratch_path
 
 SF = "/root/testdata/sf0.001"
 
@@ -66,3 +68,46 @@ def test_nested_split_and_coverage(spark):
     n_test = 100     # of 500 vectors
     for r in got:
         assert r.coverage >= 0.95 - 3 * math.sqrt(0.95 * 0.05 / n_test) and 0 <= r.mean_set_size <= 2
+
+
+def as_rows(df):
+    return sorted((tuple(sorted(r.asDict().items())) for r in df.collect()), key=str)
+
+
+def test_versions_unions_and_upserts(spark):
+    path = scratch_path(spark, "ledger-test")
+    assert L.manifest(spark, path) is None
+    with pytest.raises(ValueError):
+        L.read_ledger(spark, path)
+    one = spark.createDataFrame([("a", 1, 0.5), ("b", 2, None), (None, 3, 0.1)], "model string, depth int, cv double")
+    two = spark.createDataFrame([("c", "x")], "model string, fused string")
+    assert L.append_to_path(one, path) == 1 and L.append_to_path(two, path) == 2
+    got = L.read_ledger(spark, path)
+    assert got.columns == ["model", "depth", "cv", "fused"] and got.count() == 4
+    assert {r.model: (r.depth, r.cv, r.fused) for r in got.collect()} == {"a": (1, 0.5, None), "b": (2, None, None), None: (3, 0.1, None), "c": (None, None, "x")}
+    assert as_rows(L.read_ledger(spark, path, 1)) == as_rows(one)
+    new = spark.createDataFrame([("a", 0.9, 0.7), (None, None, 0.2), ("z", 0.3, 0.4)], "model string, cv double, test double")
+    assert L.upsert(spark, path, new, ["model"]) == 3
+    assert {r.model: (r.depth, r.cv, r.fused, r.test) for r in L.read_ledger(spark, path).collect()} == {
+        "a": (1, 0.9, None, 0.7), "b": (2, None, None, None), None: (3, None, None, 0.2), "c": (None, None, "x", None), "z": (None, 0.3, None, 0.4)}
+    assert L.read_ledger(spark, path, 2).count() == 4
+    with pytest.raises(ValueError):
+        L.append_to_path(spark.createDataFrame([("d", "deep")], "model string, depth string"), path)
+
+
+def test_an_interrupted_append_leaves_the_former_version(spark, monkeypatch):
+    path = scratch_path(spark, "ledger-test")
+    L.append_to_path(spark.createDataFrame([("a", 1)], "model string, depth int"), path)
+    real = L.json.dumps
+    monkeypatch.setattr(L.json, "dumps", lambda *a, **k: (_ for _ in ()).throw(KeyboardInterrupt()))
+    with pytest.raises(KeyboardInterrupt):       # data are there, the manifest isn't
+        L.append_to_path(spark.createDataFrame([("b", 2)], "model string, depth int"), path)
+    monkeypatch.setattr(L.json, "dumps", real)
+    assert [r.model for r in L.read_ledger(spark, path).collect()] == ["a"]
+    # a writer that has read the same version as another comes second
+    before = L.manifest(spark, path)
+    late = spark.createDataFrame([("c", 3)], "model string, depth int")
+    L.append_to_path(late, path)
+    with pytest.raises(Exception, match="(?i)exist"):
+        L._write_version(late, path, before, keep=True)
+    assert sorted(r.model for r in L.read_ledger(spark, path).collect()) == ["a", "c"]

@@ -23,6 +23,17 @@ RULES: dict[str, list[Condition]] = {
     "veber": [("line_count", "<=", 100), ("digit_share", "<=", 0.02)],
 }
 
+# The reference's rules on its property names, and the names of a whole record.
+PROPERTIES = ["molecular_weight", "logp", "h_bond_donor", "h_bond_acceptors", "rotatable_bonds", "num_atoms", "molar_refractivity",
+              "topo_surface_area"]
+COMPOUND_RULES: dict[str, list[Condition]] = {
+    "lipinski": [("molecular_weight", "<=", 500), ("logp", "<=", 5), ("h_bond_donor", "<=", 5), ("h_bond_acceptors", "<=", 10),
+                 ("rotatable_bonds", "<=", 5)],
+    "ghose": [("molecular_weight", "between", (160, 480)), ("logp", "between", (-0.4, 5.6)), ("num_atoms", "between", (20, 70)),
+              ("molar_refractivity", "between", (40, 130))],
+    "veber": [("rotatable_bonds", "<=", 10), ("topo_surface_area", "<=", 140)],
+}
+
 
 def condition(prop: str, op: str, bound) -> Column:
     c = F.col(prop)

@@ -10,6 +10,7 @@ from ..operators import fingerprint as FP
 from ..functions import rules as RL
 from ..operators import screen as SC
 from ..operators import similarity as SIM
+from ..sources.tables import read_table
 from . import fixtures as fx
 from .catalog import register
 from .fixture_sql import with_views
@@ -39,6 +40,27 @@ def q_rule_pass_all(spark, sf):
         "doc_id", F.col("quality").cast("double").alias("quality"), "n_chars")
 
 
+# Property records under the reference's names: one for each order line, with exact bound values among them and, where
+# the line was returned by accident of the flag A, no surface area.
+_COMPOUNDS = {
+    "molecular_weight": "CAST(l_quantity * 10 AS DOUBLE)", "logp": "CAST(round(l_discount * 100) AS DOUBLE) - 0.4",
+    "h_bond_donor": "l_linenumber", "h_bond_acceptors": "CAST(l_quantity AS INTEGER) % 14", "rotatable_bonds": "CAST(l_suppkey % 13 AS INTEGER)",
+    "num_atoms": "CAST(l_partkey % 90 AS INTEGER)", "molar_refractivity": "CAST(round(l_tax * 100) * 20 AS DOUBLE)",
+    "topo_surface_area": "CASE WHEN l_returnflag <> 'A' THEN CAST(l_quantity * 5 AS DOUBLE) END",
+}
+
+
+@register("compound_rules", f"""
+    SELECT row_id, {rule_sql(RL.COMPOUND_RULES)}
+    FROM (SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS row_id,
+                 {', '.join(f'{e} AS {n}' for n, e in _COMPOUNDS.items())} FROM lineitem)""")
+def q_compound_rules(spark, sf):
+    lines = read_table(spark, sf, "lineitem", [*fx.SCORED_KEY, "l_quantity", "l_discount", "l_tax", "l_returnflag"])
+    row_id = F.concat_ws("-", *[F.col(c).cast("string") for c in fx.SCORED_KEY])
+    props = lines.select(row_id.alias("row_id"), *[F.expr(e).alias(n) for n, e in _COMPOUNDS.items()])
+    return SC.apply_rules(props, "row_id", RL.COMPOUND_RULES)
+
+
 @register("join_flags", with_views("""
     SELECT p.doc_id, p.word_count, CAST(p.quality AS DOUBLE) AS quality, f.pass_all_filters
     FROM props p JOIN flags f USING (doc_id)""", "props", extra=[FLAGS_SQL]))

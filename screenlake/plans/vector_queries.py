@@ -212,14 +212,22 @@ _DOC_FP_SQL = [("doc_fp", """
                ("docs", "SELECT doc_id, 'd' || doc_id AS tok_id, text, lang, source FROM documents")]
 
 
+# Every seventh text is missing and every eleventh is blank.
+_FAILING = "CASE WHEN doc_id % 7 = 0 THEN NULL WHEN doc_id % 11 = 0 THEN '   ' ELSE text END"
+
+
 @register("fp_invalid_rows", with_views(f"""
-    SELECT (text IS NOT NULL AND length(trim(text)) > 0) AS is_valid, count(*) AS n_rows,
-           count(*) FILTER (WHERE NOT (text IS NOT NULL AND length(trim(text)) > 0)) AS n_null_vectors
-    FROM documents GROUP BY 1""", "tokens"))
+    SELECT doc_id, (text IS NOT NULL AND length(trim(text)) > 0) AS is_valid,
+           CASE WHEN text IS NOT NULL AND length(trim(text)) > 0 THEN CAST({N_BITS} AS DOUBLE) END AS width,
+           CASE WHEN text IS NOT NULL AND length(trim(text)) > 0 THEN CAST(f.total AS DOUBLE) END AS total
+    FROM (SELECT doc_id, {_FAILING} AS text FROM documents) d
+    LEFT JOIN (SELECT tok_id, sum(value) AS total FROM sparse_fp GROUP BY tok_id) f ON f.tok_id = 'd' || d.doc_id""",
+    "tokens", extra=_SPARSE_FP_SQL))
 def q_fp_invalid_rows(spark, sf):
-    df = _docs_with_fp(spark, sf)
-    return df.groupBy("is_valid").agg(F.count(F.lit(1)).alias("n_rows"),
-                                      F.count_if(F.col("fp").isNull()).alias("n_null_vectors"))
+    docs = read_table(spark, sf, "documents", ["doc_id", "text"]).withColumn("text", F.expr(_FAILING))
+    df = FP.with_vectors(docs, "text", "ngram", 2, N_BITS)
+    total = F.aggregate("fp", F.lit(0).cast("bigint"), lambda a, x: a + x).cast("double")
+    return df.select("doc_id", "is_valid", F.when(F.col("fp").isNotNull(), F.size("fp").cast("double")).alias("width"), total.alias("total"))
 
 
 @register("fp_attach", with_views("""

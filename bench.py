@@ -19,6 +19,7 @@ HEADLINE = [
     "fp_ngram_r2", "fp_key_presence", "rule_filters",
     "fusion_metrics", "conformal_sets", "scores_pivot",
     "ledger_dedupe", "select_top_models",
+    "knn_vote", "cv_mean_metrics", "train_nb", "train_dt",
 ]
 
 

@@ -31,7 +31,7 @@ MODELS = ("rf", "lr", "svc", "nb", "dt", "gb", "ada", "bag", "mlp")
 TREES, BAGS, ROUNDS, ADA_ROUNDS, HIDDEN, MLP_ITER, DRAWS, SEARCH_FOLDS, CV_FOLDS = 100, 10, 100, 50, 100, 200, 32, 5, 2
 
 CALIBRATION_FOLDS, SVC_REG = 3, 0.01
-CHECKPOINT_ROUNDS = 10   # of boosting, after which the weights' lineage is cut
+CHECKPOINT_ROUNDS = 4   # of boosting, after which the weights' lineage is cut
 
 
 def features(df: DataFrame, vec_col: str = "v", label_col: str = "y", key: str = "row_id") -> DataFrame:

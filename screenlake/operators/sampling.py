@@ -62,11 +62,9 @@ def balance(df: DataFrame, label: str, key: str, ratios: list[float], seed: int
     """Balanced sets for several ratios in one job, tagged by ``ratio``.  Within a ratio each
     class keeps its first ``quota`` rows in the seeded order; sets for smaller quotas are
     nested in those of larger ones.  The quota table has 2 rows per ratio."""
-    quotas = balance_quotas(df, label, ratios)
-    per_ratio = df.filter(F.col(label).isin(0, 1)).withColumn(
-        "ratio", F.explode(F.array(*[F.lit(float(r)) for r in ratios])))
-    ranked = seeded_rank(per_ratio, ["ratio", label], key, seed)
-    kept = ranked.join(F.broadcast(quotas), ["ratio", label]).filter(F.col("_rank") <= F.col("quota"))
+    # the rank doesn't depend on the ratio: rows are ranked once and meet the quotas afterwards
+    ranked = seeded_rank(df.filter(F.col(label).isin(0, 1)), [label], key, seed)
+    kept = ranked.join(balance_quotas(df, label, ratios), label).filter(F.col("_rank") <= F.col("quota"))
     return kept.drop("_rank", "quota")
 
 

@@ -27,10 +27,10 @@ def components(edges: DataFrame) -> DataFrame:
         if labels is None:
             labels = hook.withColumnRenamed("to", "label")
         else:
-            labels = cut_lineage(labels.join(hook.withColumnRenamed("node", "label"), "label", "left")
+            labels = cut_lineage(labels.join(hook.withColumnRenamed("node", "label").hint("merge"), "label", "left")
                                  .select("node", F.coalesce("to", "label").alias("label")))
-        moved = (edges.join(hook.select(F.col("node").alias("a"), F.col("to").alias("ta")), "a")
-                 .join(hook.select(F.col("node").alias("b"), F.col("to").alias("tb")), "b")
+        moved = (edges.join(hook.select(F.col("node").alias("a"), F.col("to").alias("ta")).hint("merge"), "a")
+                 .join(hook.select(F.col("node").alias("b"), F.col("to").alias("tb")).hint("merge"), "b")
                  .where("ta != tb"))
         edges = cut_lineage(moved.select(F.least("ta", "tb").alias("a"), F.greatest("ta", "tb").alias("b")).distinct())
     return labels if labels is not None else edges.select(F.col("a").alias("node"), F.col("b").alias("label"))

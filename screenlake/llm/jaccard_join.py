@@ -7,8 +7,10 @@ d <= e.  The join goes down through regions around pivots and loses no link:
    shingles, t given by the band and e.  A band deals all shingles into m > t parts; the parts are pivots, a set's trace in
    a part is its place there, and sets with one trace form a cell.  Linked sets have one trace in at least m - t parts, so each set is replicated to
    its cells in all parts (of its own band, and of the next one where a partner can be that large) and linked sets meet at least once.
-   Empty traces are left out where a set has at most m - t - 1 of them, which still leaves another cell to meet in.  Sets that meet
-   are tied to the smallest one in the cell; the components of these ties are regions that no link leaves.  Cells are first exchanged as
+   Traces are of rare shingles alone: those that ``FREQUENT`` sets or more hold (or a higher power of two of them, so many as a bitmap
+   of fixed size tells apart) would tie documents that only share a passage.  Linked sets differ in at most t rare shingles too.  Empty
+   traces are left out: where a set has at most m - t - 1 of them, another cell remains to meet in.  Sets with more empty traces, which
+   consist of frequent shingles, are dealt a second time with all their shingles, and meet each other there.  Sets that meet are tied to the smallest one in the cell; the components of these ties are regions that no link leaves.  Cells are first exchanged as
    48-bit hashes alone; sets travel (as digests) only to cells that hold two of them, by a bitmap of fixed size.  A
    task ties the sets of a cell among themselves and sends one of them.
 2. Inside a region, sets are pivots in turn.  Those within e of the pivot link to it.  A link from one of them to a set
@@ -37,10 +39,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from screenlake.llm.components import components
-from screenlake.llm.tables import text_or_empty
+from screenlake.llm.tables import text_or_empty, whole_rows
 from screenlake.session import cut_lineage
 
 LIMIT, PIVOTS = 4_000_000, 32
+FREQUENT, HEAVY_BITS = 16, 1 << 25
+BLOCK = 4_000_000  # shingles of a bucket, on the average
 MEMBER_BITS, CELL_BITS = 1 << 23, 1 << 25
 PENDING = 2_000_000  # cells of sets a task gathers before it sends them
 _PIECE = 1 << 20  # bytes of text hashed at a time, or one document
@@ -160,25 +164,32 @@ class Bands:
         own = int(np.searchsorted(self.high, n))
         return [own, own + 1] if int(n / self.near) >= self.low[own + 1] else [own]
 
-    def cells(self, tokens: np.ndarray) -> np.ndarray:
-        """48-bit hashes of the cells of a set: band, part and trace."""
-        out = []
+    def cells(self, tokens: np.ndarray, rare: np.ndarray | None = None) -> np.ndarray:
+        """48-bit hashes of the cells of a set: band, part and trace of its rare shingles (all without ``rare``), and
+        of all of them where too few are rare."""
+        rare, out = tokens if rare is None else rare, []
         for band in self.of(len(tokens)):
-            m = self.parts[band]
-            mixed = _mixed(tokens + np.uint64(band * 2 + 1), _C2)
-            part = (mixed % np.uint64(m)).astype(np.int64)
-            trace = np.zeros(m, np.uint64)
-            np.add.at(trace, part, _mixed(mixed))
-            cell = _mixed(trace + np.uint64(_M) * np.arange(1, m + 1, dtype=np.uint64) + np.uint64(band << 40)) & np.uint64((1 << 48) - 1)
-            empty = np.bincount(part, minlength=m) == 0
-            if empty.sum() <= self.spare[band]:
-                cell = cell[~empty]
-            out.append(cell)
+            cell, empty = self._dealt(rare, band, 0)
+            out.append(cell[~empty])
+            if empty.sum() > self.spare[band]:
+                cell, empty = self._dealt(tokens, band, 1)
+                out.append(cell[~empty] if empty.sum() <= self.spare[band] else cell)
         return np.concatenate(out)
 
+    def _dealt(self, tokens: np.ndarray, band: int, dealing: int) -> tuple[np.ndarray, np.ndarray]:
+        """The cell of every part, and which traces are empty."""
+        m = self.parts[band]
+        mixed = _mixed(tokens + np.uint64(band * 2 + 1), _C2)
+        part = (mixed % np.uint64(m)).astype(np.int64)
+        trace = np.zeros(m, np.uint64)
+        np.add.at(trace, part, _mixed(mixed))
+        place = np.uint64(_M) * np.arange(1, m + 1, dtype=np.uint64) + np.uint64((band << 40) + (dealing << 60))
+        return _mixed(trace + place) & np.uint64((1 << 48) - 1), np.bincount(part, minlength=m) == 0
+
 
 _ROOT_SQL = "bucket int, tie boolean, a binary, b binary"
 _ROOT = pa.schema([("bucket", pa.int32()), ("tie", pa.bool_()), ("a", pa.binary()), ("b", pa.binary())])
+_COUNT = pa.schema([("bucket", pa.int32()), ("a", pa.binary()), ("b", pa.binary())])
 _LINK = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 _LINK_SQL = "a binary, b binary"
 
@@ -188,13 +199,14 @@ def _batch(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
         [pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [()] * len(schema), schema)], schema=schema)
 
 
-def _pack48(h: np.ndarray) -> bytes:
-    return h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+def _packed(h: np.ndarray, width: int) -> bytes:
+    """The low bytes of each value."""
+    return h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
 
-def _unpack48(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+def _unpacked(raw: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(raw) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(raw, np.uint8).reshape(-1, width)
     return out.view("<u8").ravel()
 
 
@@ -216,13 +228,75 @@ def _by_bucket(cell: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray
         yield int(to[order[i]]), order[i:j]
 
 
-def _cells(words: int, near: Fraction, buckets: int, wanted=None):
+def _short(tokens: np.ndarray) -> np.ndarray:
+    """40 bits of shingles, by which they are counted."""
+    return tokens >> np.uint64(24)
+
+
+def _holds(bits: np.ndarray, spot: np.ndarray) -> np.ndarray:
+    return bits[spot >> 6] >> (spot & 63) & 1 == 1
+
+
+def _counts(words: int, buckets: int):
+    """Arrow batches of (body) -> shingles of a task's sets by bucket, with the number of sets that hold them (255 or more: 255)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make, seen, sets, pending = Shingler(words), set(), [], 0
+
+        def send() -> pa.RecordBatch:
+            value, count = np.unique(np.concatenate(sets), return_counts=True)
+            count = np.minimum(count, 255).astype(np.uint8)
+            return _batch(_COUNT, [(to, _packed(value[at], 5), count[at].tobytes()) for to, at in _by_bucket(value, buckets)])
+
+        for batch in batches:
+            for s in make.sets(batch.column(0)):
+                if len(s) and (key := set_key(s)) not in seen:
+                    seen.add(key)
+                    sets.append(_short(s))
+                    pending += len(s)
+                    if pending > PENDING:
+                        yield send()
+                        sets, pending = [], 0
+        if sets:
+            yield send()
+
+    return run
+
+
+def _frequent(rows: pa.Table) -> pa.Table:
+    """Of a bucket's shingles those that ``FREQUENT`` sets hold: place in the bitmap and binary logarithm of the number."""
+    value = _unpacked(b"".join(rows.column("a").to_pylist()), 5)
+    count = np.frombuffer(b"".join(rows.column("b").to_pylist()), np.uint8)
+    order = np.argsort(value)
+    start = _starts(value[order])
+    total = np.add.reduceat(count[order].astype(np.int64), start) if len(start) else np.zeros(0, np.int64)
+    many = total >= FREQUENT
+    spot = (value[order][start][many] & np.uint64(HEAVY_BITS - 1)).astype(np.int64)
+    return pa.table({"spot": pa.array(spot, pa.int64()), "level": pa.array(np.log2(total[many]).astype(np.int32), pa.int32())})
+
+
+def _heavy(body: DataFrame, words: int, buckets: int) -> np.ndarray:
+    """Bitmap of frequent shingles, at most one bit in 16 set."""
+    found = cut_lineage(body.mapInArrow(_counts(words, buckets), "bucket int, a binary, b binary")
+                        .groupBy("bucket").applyInArrow(_frequent, "spot long, level int"))
+    above, least = 0, 64
+    for r in found.groupBy("level").count().orderBy(F.desc("level")).collect():  # one row a power of two
+        above += r["count"]
+        if above > HEAVY_BITS // 16:
+            break
+        least = r["level"]
+    return _bitmap(found.where(F.col("level") >= least).select(
+        F.shiftright("spot", 6).alias("word"), F.expr("shiftleft(1L, cast(spot & 63 as int))").alias("bit")), HEAVY_BITS)
+
+
+def _cells(words: int, near: Fraction, buckets: int, heavy, wanted=None):
     """Arrow batches of (body) -> without ``wanted`` the cells of a task with a flag for those it has twice; with it (a bitmap) the
     cells it lets through with one set each, and the ties of a cell's other sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make, bands, keys, index, cells, owner = Shingler(words), Bands(near), [], set(), [], []
         bits = wanted.value if wanted is not None else None
+        often = heavy.value
         pending = 0
 
         def send() -> pa.RecordBatch:
@@ -237,12 +311,12 @@ def _cells(words: int, near: Fraction, buckets: int, wanted=None):
             head = np.repeat(start, np.diff(np.append(start, len(cell))))
             if bits is None:
                 twice = np.diff(np.append(start, len(cell))) > 1
-                return _batch(_ROOT, [(to, None, _pack48(cell[start][at]), np.packbits(twice[at]).tobytes())
+                return _batch(_ROOT, [(to, None, _packed(cell[start][at], 6), np.packbits(twice[at]).tobytes())
                                       for to, at in _by_bucket(cell[start], buckets)])
             name = np.frombuffer(b"".join(keys), "V16")
             tied = np.unique((own * len(keys) + own[head])[own != own[head]])
             first, of = cell[start], own[start]
-            rows = [(to, False, _pack48(first[at]), name[of[at]].tobytes()) for to, at in _by_bucket(first, buckets)]
+            rows = [(to, False, _packed(first[at], 6), name[of[at]].tobytes()) for to, at in _by_bucket(first, buckets)]
             if len(tied):
                 rows.append((int(tied[0] % buckets), True, name[tied // len(keys)].tobytes(), name[tied % len(keys)].tobytes()))
             return _batch(_ROOT, rows)
@@ -255,10 +329,9 @@ def _cells(words: int, near: Fraction, buckets: int, wanted=None):
                 if key in index:
                     continue
                 index.add(key)
-                mine = bands.cells(s)
+                mine = bands.cells(s, s[~_holds(often, (_short(s) & np.uint64(HEAVY_BITS - 1)).astype(np.int64))])
                 if bits is not None:
-                    at = _spot(mine)
-                    mine = mine[bits[at >> 6] >> (at & 63) & 1 == 1]
+                    mine = mine[_holds(bits, _spot(mine))]
                 if len(mine):
                     cells.append(mine)
                     owner.append(np.full(len(mine), len(keys)))
@@ -276,7 +349,7 @@ def _cells(words: int, near: Fraction, buckets: int, wanted=None):
 
 def _held_twice(rows: pa.Table) -> pa.Table:
     """Of a bucket's cells those with two sets, as words of the bitmap."""
-    cell = [_unpack48(a) for a in rows.column("a").to_pylist()]
+    cell = [_unpacked(a, 6) for a in rows.column("a").to_pylist()]
     twice = [np.unpackbits(np.frombuffer(b, np.uint8), count=len(c)).astype(bool) for b, c in zip(rows.column("b").to_pylist(), cell)]
     cell, twice = np.concatenate(cell), np.concatenate(twice)
     values = np.sort(cell)
@@ -303,7 +376,7 @@ def _meet(rows: pa.Table) -> pa.Table:
     a, b = rows.column("a").to_pylist(), rows.column("b").to_pylist()
     both = lambda xs: np.frombuffer(b"".join(xs), np.uint8).reshape(-1, 16)
     ready = np.concatenate([both([x for x, t in zip(a, tie) if t]), both([x for x, t in zip(b, tie) if t])], axis=1)
-    cell = _unpack48(b"".join(x for x, t in zip(a, tie) if not t))
+    cell = _unpacked(b"".join(x for x, t in zip(a, tie) if not t), 6)
     key = both([x for x, t in zip(b, tie) if not t])
     high, low = key[:, :8].copy().view(">u8").ravel(), key[:, 8:].copy().view(">u8").ravel()
     order = np.lexsort((low, high, cell))
@@ -445,13 +518,13 @@ def _large_regions(sets: DataFrame, near: Fraction) -> DataFrame:
                   .agg(F.collect_list(F.struct("key", "tokens")).alias("pivots")))
         found = sets.join(pivots, "region").select("key", "tokens", "pivots").mapInArrow(_to_pivots(near), _LINK_SQL)
         links = cut_lineage(found if links is None else links.unionByName(found))
-        used = chosen if used is None else used.unionByName(chosen)
+        used = chosen if used is None else cut_lineage(used.unionByName(chosen))
         label = components(links).withColumnsRenamed({"node": "key"})
-        known = sets.select("region", "key").join(label, "key", "left")
+        known = cut_lineage(sets.select("region", "key").join(label.hint("merge"), "key", "left"))
         size = known.where("label is not null").groupBy("region", "label").count()
         main = size.groupBy("region").agg(F.max_by("label", F.struct("count", "label")).alias("main"))
         rest = known.join(main, "region", "left").where("label is null or main is null or label != main").select("region", "key")
-        open_ = cut_lineage(rest.join(used.select("key"), "key", "left_anti").select("region", "key"))
+        open_ = cut_lineage(rest.join(used.select("key").hint("merge"), "key", "left_anti").select("region", "key"))
     return links
 
 
@@ -500,17 +573,19 @@ def jaccard_join(docs: DataFrame, words: int = 3, near: Fraction = Fraction(9, 1
     spark = docs.sparkSession
     body = text_or_empty(F.col("text")).cast("binary").alias("body")
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), body)
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     members = cut_lineage(read.withColumn("text_key", text_key(F.col("body"))).mapInArrow(
         _sizes(words), "doc_id long, n_shingles long, set_key binary, text_key binary"))
+    total = members.agg(F.sum("n_shingles")).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BLOCK))
     body = read.select("body")
-    held = body.mapInArrow(_cells(words, near, buckets), _ROOT_SQL).groupBy("bucket").applyInArrow(_held_twice, "word long, bit long")
+    heavy = spark.sparkContext.broadcast(_heavy(body, words, buckets))
+    held = body.mapInArrow(_cells(words, near, buckets, heavy), _ROOT_SQL).groupBy("bucket").applyInArrow(_held_twice, "word long, bit long")
     wanted = spark.sparkContext.broadcast(_bitmap(held, CELL_BITS))
-    region = components(body.mapInArrow(_cells(words, near, buckets, wanted), _ROOT_SQL)
+    region = components(body.mapInArrow(_cells(words, near, buckets, heavy, wanted), _ROOT_SQL)
                         .groupBy("bucket").applyInArrow(_meet, _LINK_SQL))
     bits = spark.sparkContext.broadcast(_members(region))
     sets = read.select("body").mapInArrow(_sets_of(words, bits), "key binary, n long, tokens binary").dropDuplicates(["key"])
-    sets = cut_lineage(sets.join(region.select(F.col("node").alias("key"), F.col("label").alias("region")), "key")
+    sets = cut_lineage(sets.join(region.select(F.col("node").alias("key"), F.col("label").alias("region")).hint("merge"), "key")
                        .select("region", "key", "n", "tokens"))
     weight = sets.groupBy("region").agg(F.sum("n").alias("w"))
     large = cut_lineage(weight.where(F.col("w") > limit).select("region"))
@@ -526,7 +601,7 @@ def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
     """``set_key, label`` of every non-empty set; sets of one component share a label."""
     keys = members.where("set_key is not null").select("set_key").distinct()
     label = components(links).withColumnRenamed("node", "set_key")
-    return keys.join(label, "set_key", "left").select("set_key", F.coalesce("label", "set_key").alias("label"))
+    return keys.join(label.hint("merge"), "set_key", "left").select("set_key", F.coalesce("label", "set_key").alias("label"))
 
 
 def near_components(docs: DataFrame, words: int = 3, near: Fraction = Fraction(9, 10), limit: int = LIMIT) -> DataFrame:
@@ -534,11 +609,11 @@ def near_components(docs: DataFrame, words: int = 3, near: Fraction = Fraction(9
     members, links = jaccard_join(docs, words, near, limit)
     label = _labelled(members, links)
     own = members.where("set_key is not null")
-    least = own.groupBy("set_key").agg(F.min("doc_id").alias("least")).join(label, "set_key")
-    least = label.join(least.groupBy("label").agg(F.min("least").alias("component_id")), "label").select("set_key", "component_id")
+    least = own.groupBy("set_key").agg(F.min("doc_id").alias("least")).join(label.hint("merge"), "set_key")
+    least = label.join(least.groupBy("label").agg(F.min("least").alias("component_id")).hint("merge"), "label").select("set_key", "component_id")
     empty = members.where("set_key is null").withColumn("component_id", F.col("doc_id"))
     out = ["doc_id", "n_shingles", "set_key", "component_id"]
-    return own.join(least, "set_key").select(*out).unionByName(empty.select(*out))
+    return own.join(least.hint("merge"), "set_key").select(*out).unionByName(empty.select(*out))
 
 
 def one_of_each(docs: DataFrame, words: int = 5, near: Fraction = Fraction(4, 5), limit: int = LIMIT) -> DataFrame:
@@ -547,10 +622,10 @@ def one_of_each(docs: DataFrame, words: int = 5, near: Fraction = Fraction(4, 5)
     members, links = jaccard_join(docs, words, near, limit)
     label = _labelled(members, links)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("m")
-    own = members.where("set_key is not null").groupBy("set_key").agg(first).join(label, "set_key")
+    own = members.where("set_key is not null").groupBy("set_key").agg(first).join(label.hint("merge"), "set_key")
     kept = own.groupBy("label").agg(F.min("m").alias("m")).select(F.col("m.doc_id").alias("_id"), F.col("m.text_key").alias("_key"))
     kept = kept.unionByName(members.where("set_key is null").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))).distinct()
-    names = docs.columns
-    marked = docs.withColumns({"_doc": F.col("doc_id").cast("long"), "_text": text_key(text_or_empty(F.col("text")).cast("binary"))})
-    found = marked.join(kept, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_key")), "left_semi")
-    return found.dropDuplicates(["_doc", "_text"]).select(*names)
+    row = whole_rows(docs)
+    marked = row.select("row", F.col("row.doc_id").cast("long").alias("doc"), text_key(text_or_empty(F.col("row.text")).cast("binary")).alias("body"))
+    found = marked.join(kept.hint("merge"), F.col("doc").eqNullSafe(F.col("_id")) & (F.col("body") == F.col("_key")), "left_semi")
+    return found.dropDuplicates(["doc", "body"]).select("row.*")

@@ -19,3 +19,8 @@ def ascii_lower(c: Column) -> Column:
 
 def text_or_empty(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
+
+
+def whole_rows(df: DataFrame) -> DataFrame:
+    """Each row as one struct ``row``, so that columns added beside it can't clash with the table's own."""
+    return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"))

@@ -409,6 +409,7 @@ def near_rows(rnd, groups):
 def test_components_against_brute_force(spark, monkeypatch, k, near, limit, pivots):
     monkeypatch.setattr(jaccard_join, "PIVOTS", pivots)
     monkeypatch.setattr(jaccard_join, "PENDING", 500)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 100)
     rows = near_rows(random.Random(k), 7)
     sets, root = brute_components(rows, k, near)
     least = collections.defaultdict(list)
@@ -443,6 +444,8 @@ def test_linked_sets_meet_in_a_cell():
             if len(b) and both * near.denominator >= near.numerator * (len(a) + len(b) - both):
                 linked += 1
                 assert len(np.intersect1d(bands.cells(a), bands.cells(b)))
+                share = np.uint64(rnd.choice([0, 1, 5, 9, 10]))  # tenths of the shingles that count as frequent
+                assert len(np.intersect1d(bands.cells(a, a[a % np.uint64(10) >= share]), bands.cells(b, b[b % np.uint64(10) >= share])))
     assert linked > 500
 
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, LongType, StringType, StructField, StructType
 
-from screenlake.llm.tables import text_or_empty
+from screenlake.llm.tables import text_or_empty, whole_rows
 
 WIDTH, LEAST, BITS = 8, 0.5, 1 << 23
 RUN, GAP = 13, 8  # words of a passage that match, words between its parts that don't
@@ -373,4 +373,5 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = WIDTH, least: f
 def clean(docs: DataFrame, items: DataFrame, width: int = WIDTH, least: float = LEAST) -> DataFrame:
     """The rows of ``docs`` that hold no item, all their columns."""
     found = leaks(docs, items, width, least).select(F.col("digest").alias("_leak")).distinct()
-    return docs.join(found, text_digest() == F.col("_leak"), "left_anti")
+    rows = whole_rows(docs).withColumn("text", F.col("row.text"))
+    return rows.join(found, text_digest() == F.col("_leak"), "left_anti").select("row.*")

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from screenlake.llm.tables import text_or_empty
+from screenlake.llm.tables import text_or_empty, whole_rows
 from screenlake.session import cut_lineage
 
 # kind, pattern, group whose length counts, least length, strings without which nothing can match (lower case)
@@ -168,7 +168,7 @@ def redact(docs: DataFrame, scope: int = SCOPE, mark: str = "[secret]") -> DataF
     """``docs`` (all columns) with every span of its text replaced by ``mark``, overlapping ones by one; ``n_chars``, where present,
     follows the text.  Texts without a span, and null ones, stay as they are."""
     linked = _linked(cut_lineage(_parts(_with_parts(docs.select("text")).where("_digest is not null"))), scope)
-    marked = _with_spans(_with_parts(docs), linked)
+    marked = _with_spans(_with_parts(whole_rows(docs).withColumn("text", F.col("row.text"))), linked)
     text = F.col("text")
     begin = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 
@@ -180,10 +180,12 @@ def redact(docs: DataFrame, scope: int = SCOPE, mark: str = "[secret]") -> DataF
     done = F.aggregate("_spans", begin, step, lambda acc: F.concat(
         acc["out"], F.substring(text, acc["at"].cast("int") + 1, F.length(text))))
     new = F.when(F.size("_spans") > 0, done).otherwise(text)
-    out = marked.withColumn("text", new)
+    out = marked.select("row", "_spans", new.alias("text"))
+    own = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("_spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        own["n_chars"] = F.when(F.size("_spans") > 0, length).otherwise(F.col("row.n_chars"))
+    return out.select(*(own.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def render(spans: Column) -> Column:

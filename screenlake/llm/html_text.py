@@ -1,7 +1,9 @@
 """Main text of HTML pages by composite text density.
 
 The page becomes a tree (unclosed and misnested tags are mended as browsers do); parts that are never main text (scripts, menus,
-forms, asides, and boxes named as adverts, notices, comments ...) are cut.  Every node then gets the
+asides, hidden parts) are cut.  Forms and boxes named as adverts, notices, comments ... are cut where an article or main element
+stands beside them; else one that holds such an element, or ``SHARE`` of the text outside links, stays and its own boxes are
+judged alike within it.  Every node then gets the
 composite density of Sun, Song and Liao (SIGIR 2011): characters per tag, lowered where many of them are link text relative to
 the page.  A node's density sum adds those of its children.  The node with the largest sum is the content; the
 smallest density on its path to the body is the threshold by which its siblings, and those of its ancestors, count as content too.
@@ -41,7 +43,9 @@ BESIDE = frozenset("""ad ads advert adverts advertisement advertising banner bre
 contentinfo complementary consent cookie cookies copyright disqus footer gdpr login masthead menu modal nav navbar navigation newsletter
 notice notices pager pagination popup promo promoted promotion recommended related replies reply respond search share sharing
 sidebar signup skip social sponsor sponsored subscribe toolbar widget widgets alert announcement toc""".split())
+READERS = frozenset("comment comments disqus replies reply respond".split())
 KEEP = frozenset(("html", "body", "article", "main"))
+SHARE, READERS_SHARE = 0.5, 0.9  # of the text in a box's surroundings; the second one for boxes named after READERS
 
 
 class _Tree(HTMLParser):
@@ -50,19 +54,22 @@ class _Tree(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.tag, self.parent, self.parts, self.cut = ["html"], [-1], [[]], [False]
+        self.named: dict[int, float] = {}  # boxes that the page's text decides on, and the share they need to stay
         self.open = [0]
+        self.at: dict[str, list[int]] = {}  # places of open tags, by name
 
     def _inside(self, tags) -> bool:
-        return any(self.tag[i] in tags for i in self.open)
+        return any(self.at.get(t) for t in tags)
+
+    def _last(self, tags) -> int:
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
 
     def _close(self, names, limits) -> None:
-        for k in range(len(self.open) - 1, 0, -1):
-            tag = self.tag[self.open[k]]
-            if tag in names:
-                del self.open[k:]
-                return
-            if tag in limits:
-                return
+        k = self._last(names)
+        if k and k >= self._last(limits):
+            for node in self.open[k:]:
+                self.at[self.tag[node]].pop()
+            del self.open[k:]
 
     def handle_starttag(self, tag: str, attrs) -> None:
         if tag == "html":
@@ -80,8 +87,11 @@ class _Tree(HTMLParser):
         self.parent.append(self.open[-1])
         self.parts.append([])
         self.cut.append(self._beside(tag, attrs))
+        if not self.cut[-1] and (share := self._share(tag, attrs)) is not None:
+            self.named[node] = share
         self.parts[self.open[-1]].append(node)
         if tag not in VOID:
+            self.at.setdefault(tag, []).append(len(self.open))
             self.open.append(node)
 
     def handle_startendtag(self, tag: str, attrs) -> None:
@@ -100,21 +110,55 @@ class _Tree(HTMLParser):
             self.parts[self.open[-1]].append(data[6:])
 
     def _beside(self, tag: str, attrs) -> bool:
-        if tag in CUT:
+        if tag in CUT and tag != "form":
             return True
         if tag == "header":
             return not self._inside(("article", "main"))
         if tag in KEEP:
             return False
-        for name, value in attrs:
-            if name in ("class", "id", "role") and value:
-                if not BESIDE.isdisjoint(value.lower().replace("-", " ").replace("_", " ").split()):
-                    return True
-            elif name == "hidden" or name == "aria-hidden" and value == "true":
-                return True
-            elif name == "style" and value and "display:none" in value.replace(" ", "").lower():
-                return True
-        return False
+        return any(name == "hidden" or name == "aria-hidden" and value == "true"
+                   or name == "style" and value and "display:none" in value.replace(" ", "").lower() for name, value in attrs)
+
+    def _share(self, tag: str, attrs) -> float | None:
+        """The share of the text around it that a form or a box named as one beside the main text needs to stay."""
+        if tag in KEEP:
+            return None
+        words = {w for name, value in attrs if name in ("class", "id", "role") and value
+                 for w in value.lower().replace("-", " ").replace("_", " ").split()}
+        if not READERS.isdisjoint(words):
+            return READERS_SHARE
+        return SHARE if tag == "form" or not BESIDE.isdisjoint(words) else None
+
+
+def _judge_boxes(t: _Tree) -> None:
+    """Cuts the named boxes that aren't the main text's own."""
+    if not t.named:
+        return
+    n = len(t.tag)
+    gone, box, in_link = [False] * n, [0] * n, [False] * n  # box: the innermost named one around a node, itself included
+    for i in range(n):
+        p = max(t.parent[i], 0)
+        gone[i] = t.cut[i] or gone[p]
+        box[i] = i if i in t.named else box[p]
+        in_link[i] = in_link[p] or t.tag[i] == "a"
+    chars, main, own = [0] * n, [False] * n, set()  # own: boxes with an article that lies in no box within them
+    for i in range(n - 1, -1, -1):
+        if gone[i]:
+            continue
+        if not in_link[i]:
+            chars[i] += sum(len(" ".join(x.split())) for x in t.parts[i] if isinstance(x, str))
+        if t.tag[i] in ("article", "main"):
+            main[i] = True
+            own.add(box[i])
+        if i:
+            chars[t.parent[i]] += chars[i]
+            main[t.parent[i]] = main[t.parent[i]] or main[i]
+    for i in sorted(t.named):  # outer boxes first
+        around = box[t.parent[i]]
+        if around and t.cut[around]:
+            t.cut[i] = True
+        else:
+            t.cut[i] = around in own or not (main[i] or chars[i] > 0 and chars[i] >= t.named[i] * chars[around])
 
 
 def _densities(t: _Tree) -> list[float]:
@@ -188,6 +232,7 @@ def main_text(html: str | None) -> str:
     t = _Tree()
     t.feed(html + "-->" if html.rfind("<!--") > html.rfind("-->") else html)  # an open comment runs to the end
     t.close()
+    _judge_boxes(t)
     blocks, words = [], []
 
     def flush() -> None:

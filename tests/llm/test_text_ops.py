@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 import zlib
 from fractions import Fraction
 
@@ -431,6 +432,37 @@ def test_components_against_brute_force(spark, monkeypatch, k, near, limit, pivo
     assert sorted(((r["doc_id"], r["text"] or "") for r in kept.collect()), key=str) == sorted({(d, t) for _, d, t in firsts.values()}, key=str)
 
 
+PROSE = [f"Paragraph {i} tells at some length how the river {w}, and what the people on its banks made of it." for i, w in enumerate(("rose", "fell", "froze", "turned", "sank"))]
+
+
+@pytest.mark.parametrize("before, after", [
+    ('<div class="site nav-open">', "</div>"), ('<div class="page search-results"><article>', "</article></div>"),
+    ('<div class="article share">', "</div>"), ('<div class="elementor elementor-widget">', "</div>"), ("<form action='/x'>", "</form>")])
+def test_named_boxes_that_hold_the_text_stay(before, after):
+    inner = "".join(f"<p>{p}</p>" for p in PROSE)
+    aside = '<nav><a href="/">Home</a></nav><div class="newsletter">Sign up now</div><div class="comments"><p>Nice one</p></div>'
+    page = f"<html><body>{before}{inner}{after}{aside}<footer>Imprint</footer></body></html>"
+    assert html_text.main_text(page) == "\n\n".join(PROSE)
+    page = f"<html><body>{before}{inner}{aside}{after}<footer>Imprint</footer></body></html>"
+    assert html_text.main_text(page) == "\n\n".join(PROSE)
+
+
+def test_named_boxes_beside_an_article_go():
+    talk = "".join(f"<li><article><p>{p * 3}</p></article></li>" for p in PROSE)
+    inner = "".join(f"<p>{p}</p>" for p in PROSE)
+    for form in ("<form><label>Your name</label><p>" + PROSE[0] * 9 + "</p></form>", ""):
+        page = f'<body><article>{inner}</article><ol class="comments">{talk}</ol>{form}</body>'
+        assert html_text.main_text(page) == "\n\n".join(PROSE)
+    assert html_text.main_text('<body><form><input name="q"><button>Search</button></form></body>') == ""
+
+
+def test_stray_tags_take_no_walk():
+    began = time.perf_counter()
+    html_text.main_text("<body><i><article>" + "<b>x" * 20000 + "</i>" * 20000)
+    html_text.main_text("<body>" + "<b>x" * 20000 + "</i></p>" * 20000)
+    assert time.perf_counter() - began < 5
+
+
 def test_linked_sets_meet_in_a_cell():
     rnd, linked = random.Random(1), 0
     for near in (Fraction(9, 10), Fraction(4, 5), Fraction(3, 4), Fraction(1, 2)):

@@ -200,13 +200,16 @@ def _batch(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _packed(h: np.ndarray, width: int) -> bytes:
-    """The low bytes of each value."""
-    return h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+    """The low bytes of each value, the highest ones of all values first: those of sorted values repeat, which compresses."""
+    return h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, width - 1::-1].T.tobytes()
 
 
-def _unpacked(raw: bytes, width: int) -> np.ndarray:
-    out = np.zeros((len(raw) // width, 8), np.uint8)
-    out[:, :width] = np.frombuffer(raw, np.uint8).reshape(-1, width)
+def _unpacked(raws: list[bytes], width: int) -> np.ndarray:
+    n = [len(raw) // width for raw in raws]
+    out, at = np.zeros((sum(n), 8), np.uint8), 0
+    for raw, k in zip(raws, n):
+        out[at:at + k, :width] = np.frombuffer(raw, np.uint8).reshape(width, k)[::-1].T
+        at += k
     return out.view("<u8").ravel()
 
 
@@ -265,7 +268,7 @@ def _counts(words: int, buckets: int):
 
 def _frequent(rows: pa.Table) -> pa.Table:
     """Of a bucket's shingles those that ``FREQUENT`` sets hold: place in the bitmap and binary logarithm of the number."""
-    value = _unpacked(b"".join(rows.column("a").to_pylist()), 5)
+    value = _unpacked(rows.column("a").to_pylist(), 5)
     count = np.frombuffer(b"".join(rows.column("b").to_pylist()), np.uint8)
     order = np.argsort(value)
     start = _starts(value[order])
@@ -349,7 +352,7 @@ def _cells(words: int, near: Fraction, buckets: int, heavy, wanted=None):
 
 def _held_twice(rows: pa.Table) -> pa.Table:
     """Of a bucket's cells those with two sets, as words of the bitmap."""
-    cell = [_unpacked(a, 6) for a in rows.column("a").to_pylist()]
+    cell = [_unpacked([a], 6) for a in rows.column("a").to_pylist()]
     twice = [np.unpackbits(np.frombuffer(b, np.uint8), count=len(c)).astype(bool) for b, c in zip(rows.column("b").to_pylist(), cell)]
     cell, twice = np.concatenate(cell), np.concatenate(twice)
     values = np.sort(cell)
@@ -376,7 +379,7 @@ def _meet(rows: pa.Table) -> pa.Table:
     a, b = rows.column("a").to_pylist(), rows.column("b").to_pylist()
     both = lambda xs: np.frombuffer(b"".join(xs), np.uint8).reshape(-1, 16)
     ready = np.concatenate([both([x for x, t in zip(a, tie) if t]), both([x for x, t in zip(b, tie) if t])], axis=1)
-    cell = _unpacked(b"".join(x for x, t in zip(a, tie) if not t), 6)
+    cell = _unpacked([x for x, t in zip(a, tie) if not t], 6)
     key = both([x for x, t in zip(b, tie) if not t])
     high, low = key[:, :8].copy().view(">u8").ravel(), key[:, 8:].copy().view(">u8").ravel()
     order = np.lexsort((low, high, cell))

@@ -16,16 +16,21 @@ Count vs binary output is ``binary=``.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CELLS = 1 << 22      # counters, and characters, of the texts looked at together
-DIRECT = 1 << 24     # window numbers up to which a table, not a sort, tells the distinct ones
+CELLS = 1 << 20      # counters, and characters, of the texts looked at together
+DIRECT = 1 << 22     # window numbers up to which a table, not a sort, tells the distinct ones
+HASHED = 1 << 13     # tokens hashed together
+BLOCK = 64           # bytes of an MD5 block, the last nine of them padding at least
 WORD = re.compile("[^ \t\n\x0b\f\r]+")
 
 # The character-class map of the class n-gram mode (letters -> vowel 'v'
@@ -73,6 +78,65 @@ def _bit_of(tokens: Iterator[str], n_bits: int) -> np.ndarray:
     return np.frombuffer(digests, ">u4").astype("int64") % n_bits
 
 
+_SINES = [int(abs(math.sin(i + 1)) * 2 ** 32) for i in range(BLOCK)]
+_TURNS = ((7, 12, 17, 22), (5, 9, 14, 20), (4, 11, 16, 23), (6, 10, 15, 21))
+_START = (0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476)
+
+
+def _first_bits(message: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """First 32 bits of the MD5 of each row's first ``length`` bytes (at most 55; the rest is zero), for all rows at once."""
+    n = len(message)
+    message[np.arange(n), length] = 0x80
+    word = np.ascontiguousarray(message.view("<u4").T)
+    word[14] = length * 8
+    a, b, c, d = (np.full(n, v, "uint32") for v in _START)
+    for i in range(BLOCK):
+        if i < 16:
+            f, g = d ^ (b & (c ^ d)), i
+        elif i < 32:
+            f, g = c ^ (d & (b ^ c)), (5 * i + 1) % 16
+        elif i < 48:
+            f, g = b ^ c ^ d, (3 * i + 5) % 16
+        else:
+            f, g = c ^ (b | ~d), 7 * i % 16
+        f += a
+        f += np.uint32(_SINES[i])
+        f += word[g]
+        turn = _TURNS[i // 16][i % 4]
+        turned = f << np.uint32(turn)
+        turned |= f >> np.uint32(32 - turn)
+        turned += b
+        a, b, c, d = d, turned, b, c
+    return (a + np.uint32(_START[0])).byteswap()
+
+
+def _word_bits(names: list[bytes], words: np.ndarray, end: bytes, n_bits: int) -> np.ndarray:
+    """As ``_bit_of`` for tokens that are words, each followed by a separator (the last one by ``end``): ``words`` has the words'
+    places in ``names``, which hold the separators, a row for each token."""
+    size = np.fromiter(map(len, names), "int64", len(names))
+    place = np.concatenate([[0], np.cumsum(size)])
+    units = np.frombuffer(b"".join(names) + b" ", "uint8")
+    out = np.empty(len(words), "int64")
+    for lo in range(0, len(words), HASHED):
+        part = words[lo:lo + HASHED]
+        total = size[part].sum(axis=1) + len(end)
+        short = np.flatnonzero(total <= BLOCK - 9)
+        message = np.zeros((len(short), BLOCK), "uint8")
+        at = np.zeros(len(short), "int64")
+        for column in part[short].T:
+            own = size[column]
+            inside = np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+            message.reshape(-1)[np.repeat(np.arange(len(short)) * BLOCK + at, own) + inside] = units[np.repeat(place[column], own) + inside]
+            at += own
+        for i, unit in enumerate(end):
+            message[np.arange(len(short)), at + i] = unit
+        out[lo + short] = _first_bits(message, total[short]) % n_bits
+        for i in np.flatnonzero(total > BLOCK - 9):
+            token = b"".join(names[w] for w in part[i]) + end
+            out[lo + i] = int.from_bytes(hashlib.md5(token).digest()[:4], "big") % n_bits
+    return out
+
+
 def _char_tokens(texts: list[str], most: int, n_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(row, bit) of every substring of 1..most characters, tagged with its width ('2:ab')."""
     units = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4").astype("int64")
@@ -100,10 +164,10 @@ def _char_tokens(texts: list[str], most: int, n_bits: int) -> Iterator[tuple[np.
 def _word_codes(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
     """Words in rising order, and of each word of the texts its code, its row and the first place after its text."""
     words = [WORD.findall(t) for t in texts]
-    names = sorted(set().union(*words))
-    place = {w: i for i, w in enumerate(names)}
+    names = sorted(dict.fromkeys(chain.from_iterable(words)))
+    place = dict(zip(names, range(len(names))))
     length = np.array([len(w) for w in words], "int64")
-    code = np.fromiter((place[w] for ws in words for w in ws), "int64", int(length.sum()))
+    code = np.fromiter(map(place.__getitem__, chain.from_iterable(words)), "int64", int(length.sum()))
     return names, code, np.repeat(np.arange(len(texts)), length), np.repeat(np.cumsum(length), length)
 
 
@@ -112,19 +176,25 @@ def _path_tokens(texts: list[str], size: int, n_bits: int) -> Iterator[tuple[np.
     names, code, row, last = _word_codes(texts)
     at = np.flatnonzero(np.arange(len(code)) + size <= last)
     if len(at):
-        own, dense = np.unique(np.stack([code[at + k] for k in range(size)], axis=1), axis=0, return_inverse=True)
-        yield row[at], _bit_of((" ".join(names[i] for i in w) for w in own.tolist()), n_bits)[dense.ravel()]
+        # shingles are numbered word by word, which sorts one number a shingle; ``first`` is where each distinct one begins
+        dense = code[at]
+        for k in range(1, size):
+            _, first, dense = np.unique(dense * len(names) + code[at + k], return_index=True, return_inverse=True)
+        parts = [n.encode() + b" " for n in names] + [n.encode() for n in names]
+        words = np.stack([code[at[first] + k] + (k == size - 1) * len(names) for k in range(size)], axis=1)
+        yield row[at], _word_bits(parts, words, b"", n_bits)[dense]
 
 
 def _pair_tokens(texts: list[str], far: int, n_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(row, bit) of the unordered word pairs at distance 1..far, as 'a|b|d'."""
     names, code, row, last = _word_codes(texts)
+    parts = [n.encode() + b"|" for n in names]
     for d in range(1, far + 1):
         at = np.flatnonzero(np.arange(len(code)) + d < last)
         if len(at):
             a, b = code[at], code[at + d]
             own, dense = np.unique(np.minimum(a, b) * len(names) + np.maximum(a, b), return_inverse=True)
-            yield row[at], _bit_of((f"{names[k // len(names)]}|{names[k % len(names)]}|{d}" for k in own.tolist()), n_bits)[dense]
+            yield row[at], _word_bits(parts, np.stack([own // len(names), own % len(names)], axis=1), b"%d" % d, n_bits)[dense]
 
 
 def _key_marks(texts: list[str], n_bits: int) -> np.ndarray:
@@ -162,15 +232,25 @@ def _counts(mode: str, texts: list[str], radius: int, n_bits: int) -> np.ndarray
 
 
 def _pieces(texts: list[str], n_bits: int) -> Iterator[tuple[int, int]]:
-    """Ranges of texts with at most ``CELLS`` counters and characters, or one text."""
-    lo = size = 0
-    for i, t in enumerate(texts):
-        if i > lo and ((i + 1 - lo) * n_bits > CELLS or size + len(t) > CELLS):
+    return _ranges(map(len, texts), n_bits)
+
+
+def _ranges(lengths: Iterable[int], n_bits: int) -> Iterator[tuple[int, int]]:
+    """Ranges of texts, of these lengths, with at most ``CELLS`` counters and characters, or one text."""
+    lo = size = hi = 0
+    for i, length in enumerate(lengths):
+        if i > lo and ((i + 1 - lo) * n_bits > CELLS or size + length > CELLS):
             yield lo, i
             lo, size = i, 0
-        size += len(t)
-    if lo < len(texts):
-        yield lo, len(texts)
+        size += length
+        hi = i + 1
+    if lo < hi:
+        yield lo, hi
+
+
+def _lengths(texts: pa.Array) -> list[int]:
+    """Characters of each text, none for a missing one; the texts stay in Arrow."""
+    return pc.fill_null(pc.utf8_length(texts), 0).to_pylist()
 
 
 # ---- vectors ---------------------------------------------------------------------------
@@ -191,10 +271,10 @@ def _bit_lists(df: DataFrame, id_col: str, text_col: str, kinds: dict[str, tuple
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = {"text": batch.column(1).to_pylist(), "mapped": batch.column(2).to_pylist()}
-            for lo, hi in _pieces(columns["text"], n_bits):
+            for lo, hi in _ranges(_lengths(batch.column(1)), n_bits):
+                columns = {c: batch.column(i).slice(lo, hi - lo).to_pylist() for i, c in ((1, "text"), (2, "mapped"))}
                 for kind, (mode, radius, binary) in kinds.items():
-                    count = _counts(mode, columns[_source(mode)][lo:hi], radius, n_bits)
+                    count = _counts(mode, columns[_source(mode)], radius, n_bits)
                     row, bit = np.nonzero(count)
                     value = np.ones(len(row), "int64") if binary else count[row, bit]
                     ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=hi - lo))]).astype("int32")
@@ -230,10 +310,10 @@ def with_vectors(df: DataFrame, text_col: str, mode: str = "ngram", radius: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            for lo, hi in _pieces([t or "" for t in texts], n_bits):
-                there = np.array([t is not None for t in texts[lo:hi]])
-                count = _counts(mode, [t for t in texts[lo:hi] if t is not None], radius, n_bits)
+            for lo, hi in _ranges(_lengths(batch.column(batch.num_columns - 1)), n_bits):
+                texts = batch.column(batch.num_columns - 1).slice(lo, hi - lo).to_pylist()
+                there = np.array([t is not None for t in texts])
+                count = _counts(mode, [t for t in texts if t is not None], radius, n_bits)
                 flat = pa.array((np.minimum(count, 1) if binary else count).astype("int32").ravel())
                 ends = np.concatenate([[0], np.cumsum(there) * n_bits]).astype("int32")
                 vectors = pa.ListArray.from_arrays(ends, flat, mask=pa.array(~there))

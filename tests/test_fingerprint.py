@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,3 +80,19 @@ def test_clashing_columns_and_unknown_modes(spark):
         FP.sparse_fingerprint(df, "id", "text", "no_such_mode")
     with pytest.raises(ValueError):
         FP.with_vectors(df, "text", "key_presence", n_bits=8)
+
+
+def test_pieces_stay_small_whatever_the_text_lengths():
+    cuts = list(FP._pieces(["x" * 1000] * 9000, BITS))
+    assert max(hi - lo for lo, hi in cuts) * 1000 <= 1 << 20 and sum(hi - lo for lo, hi in cuts) == 9000
+
+
+def test_bits_of_word_tokens_are_those_of_their_md5():
+    import hashlib
+
+    words = ["", "a", "été", "x" * 20, "y" * 53, "z" * 54, "w" * 90]
+    parts = [w.encode() + b"|" for w in words]
+    pairs = np.array([(i, j) for i in range(len(words)) for j in range(len(words))])
+    got = FP._word_bits(parts, pairs, b"12", BITS)
+    want = [int(hashlib.md5(f"{words[i]}|{words[j]}|12".encode()).hexdigest()[:8], 16) % BITS for i, j in pairs]
+    assert got.tolist() == want

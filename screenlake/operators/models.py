@@ -10,7 +10,9 @@ from __future__ import annotations
 import math
 import random
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, NaiveBayes, RandomForestClassifier)
@@ -31,6 +33,8 @@ MODELS = ("rf", "lr", "svc", "nb", "dt", "gb", "ada", "bag", "mlp")
 TREES, BAGS, ROUNDS, ADA_ROUNDS, HIDDEN, MLP_ITER, DRAWS, SEARCH_FOLDS, CV_FOLDS = 100, 10, 100, 50, 100, 200, 32, 5, 2
 
 CALIBRATION_FOLDS, SVC_REG = 3, 0.01
+FITS = 12               # small fits that run side by side
+SLOW_FIRST = ("ada", "gb", "mlp", "rf")
 CHECKPOINT_ROUNDS = 4   # of boosting, after which the weights' lineage is cut
 
 
@@ -199,9 +203,25 @@ def arguments(drawn: dict, rows: int) -> dict:
 
 def fold_predictions(name: str, folded: DataFrame, folds: int, n_features: int = 64, **params) -> DataFrame:
     """Predictions of every row by a model fitted without its ``fold``, with that column."""
-    parts = [predict(fit(name, folded.filter(F.col("fold") != fold), n_features, **params), folded.filter(F.col("fold") == fold))
-             .withColumn("fold", F.lit(fold)) for fold in range(folds)]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, [_held_out(name, folded, fold, n_features, params) for fold in range(folds)])
+
+
+def _held_out(name: str, folded: DataFrame, fold: int, n_features: int, params: dict) -> DataFrame:
+    model = fit(name, folded.filter(F.col("fold") != fold), n_features, **params)
+    return predict(model, folded.filter(F.col("fold") == fold)).withColumn("fold", F.lit(fold))
+
+
+def all_fold_predictions(names: tuple[str, ...], folded: DataFrame, folds: int, n_features: int = 64) -> DataFrame:
+    """``fold_predictions`` of several models with their ``name``.  A fit is a chain of short jobs that leaves most cores idle,
+    so ``FITS`` of them run side by side."""
+    todo = [(name, fold) for name in names for fold in range(folds)]
+    todo.sort(key=lambda t: SLOW_FIRST.index(t[0]) if t[0] in SLOW_FIRST else len(SLOW_FIRST))
+
+    def one(task: tuple[str, int]) -> DataFrame:
+        return _held_out(task[0], folded, task[1], n_features, {}).withColumn("name", F.lit(task[0]))
+
+    with ThreadPool(FITS) as pool:
+        return reduce(DataFrame.unionByName, pool.map(inheritable_thread_target(folded.sparkSession)(one), todo, chunksize=1))
 
 
 def search(name: str, folded: DataFrame, folds: int = SEARCH_FOLDS, n: int = DRAWS, n_features: int = 64,
@@ -220,7 +240,7 @@ def search(name: str, folded: DataFrame, folds: int = SEARCH_FOLDS, n: int = DRA
     return sorted(out, key=lambda r: -(r["cv_auc"] or 0.0))
 
 
-def cross_validate(train_with_fold: DataFrame, est, grid=None, k: int = CV_FOLDS, parallelism: int = 2):
+def cross_validate(train_with_fold: DataFrame, est, grid=None, k: int = CV_FOLDS, parallelism: int = FITS):
     """K-fold CV on a precomputed stratified ``fold`` column 0..k-1 (per-fold models kept)."""
     grid = grid or ParamGridBuilder().build()
     cv = CrossValidator(estimator=est, estimatorParamMaps=grid, numFolds=k,

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import md5_bits
@@ -71,8 +68,8 @@ def q_knn_vote(spark, sf):
 def q_cv_models(spark, sf):
     """A row per model and fold: its metrics on the held-out fold, and beside them the model's means over the folds (``cv_``)."""
     feats = cut_lineage(_split(spark, sf))   # one fold table shared by all fits
-    preds = [MD.fold_predictions(name, feats, MD.CV_FOLDS).withColumn("name", F.lit(name)) for name in MD.MODELS]
-    per_fold = cut_lineage(evaluate(reduce(DataFrame.unionByName, preds), ["name", "fold"], materialize=True))
+    preds = MD.all_fold_predictions(MD.MODELS, feats, MD.CV_FOLDS)
+    per_fold = cut_lineage(evaluate(preds, ["name", "fold"], materialize=True))
     both = per_fold.join(fold_means(per_fold, ["name"]), "name")
     fold = F.concat(F.lit("fold"), F.col("fold").cast("string"))
     return rounded(both.select(F.concat("name", F.lit("_"), fold).alias("model_id"), fold.alias("test_file"),
@@ -81,7 +78,7 @@ def q_cv_models(spark, sf):
 
 @register("tune_lr")
 def q_tune_lr(spark, sf):
-    feats = _split(spark, sf, MD.SEARCH_FOLDS)
+    feats = cut_lineage(_split(spark, sf, MD.SEARCH_FOLDS))
     lr = MD.estimator("lr")
     grid = MD.random_search_grid(lr)
     cv = MD.cross_validate(feats, lr, grid, MD.SEARCH_FOLDS)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.joins import join_null_safe
-from ..session import cut_lineage
+from ..session import stored
 
 from . import metrics as M
 from . import ranking as R
@@ -29,9 +29,9 @@ def evaluate(pred: DataFrame, keys: list[str], clusters: DataFrame | None = None
     cols = list(dict.fromkeys([*keys, "row_id", "y_true", "y_pred", "y_proba", *([cluster_col] if clustered else [])]))
     pred = pred.select(*cols)
     if materialize:
-        # a *derived* prediction table (a model transform, a fused ensemble) is computed once into the shared
-        # checkpoint folder; a stored table is simply re-scanned (narrow columns), never rewritten
-        pred = cut_lineage(pred)
+        # a *derived* prediction table (a model transform, a fused ensemble, hashed scores) is computed once into the shared
+        # folder; a stored table is simply re-scanned (narrow columns), never rewritten
+        pred = stored(pred, "predictions")
     out = M.agreement_metrics(M.basic_metrics(M.state_metrics(M.evaluation_state(pred, keys), keys)))
     for part in (R.hits_at_k(pred, keys, (200, 500)), R.plate_ppv(pred, keys, 128)):
         out = join_null_safe(out, part, keys)

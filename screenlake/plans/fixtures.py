@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.hashing import md5_unit
+from ..functions.hashing import md5_bits, md5_unit
 from ..functions.vectors import binarize, format_text_vector
 from ..sources.tables import read_table
 
@@ -53,6 +53,11 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("y_pred", (F.col("y_proba") > 0.5).cast("int"))
 
 
+def folded(pred: DataFrame) -> DataFrame:
+    """A prediction table with one of two folds for each row."""
+    return pred.withColumn("fold", F.pmod(md5_bits("row_id"), F.lit(2)))
+
+
 def scored_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As ``scored`` with few distinct scores (l_discount * 10), to exercise ties."""
     base = _scored_base(spark, sf_dir)
@@ -174,17 +179,16 @@ def props(spark: SparkSession, sf_dir: str) -> DataFrame:
 MODEL_TYPES = ["rf", "lr", "svc", "nb", "dt", "knn", "gb"]
 
 
-def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ledger(spark: SparkSession, sf_dir: str, predictions: DataFrame | None = None) -> DataFrame:
     """Results ledger: identity, hyperparameters (JSON text), Test_* and CV_* metrics,
-    date/time text, status; plus duplicate runs, blank rows and missing values."""
+    date/time text, status; plus duplicate runs, blank rows and missing values.  ``predictions``: ``folded`` rows that are
+    computed already."""
     from ..operators.metrics import basic_metrics, confusion_counts
-    from ..functions.hashing import md5_bits
 
-    s = scored(spark, sf_dir)
+    s = folded(scored(spark, sf_dir)) if predictions is None else predictions
     keys = ["model_id", "test_file"]
     test = basic_metrics(confusion_counts(s, keys))
-    folds = basic_metrics(confusion_counts(s.withColumn("fold", F.pmod(md5_bits("row_id"), F.lit(2))),
-                                           keys + ["fold"]))
+    folds = basic_metrics(confusion_counts(s, keys + ["fold"]))
     cv = folds.groupBy(*keys).agg(*[F.avg(m).alias(f"cv_{m}") for m in ("accuracy", "precision", "recall", "f1")])
     j = test.join(cv, keys)
     mtype = F.element_at(F.array(*[F.lit(x) for x in MODEL_TYPES]), F.col("model_id"))

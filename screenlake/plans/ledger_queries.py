@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.hashing import md5_bits
 from ..operators import ledger as L
 from ..operators.evaluation import METRIC_COLUMNS, evaluate, fold_means
-from ..session import scratch_path
+from ..session import scratch_path, stored
 from ..sources.tables import read_table
 from . import fixtures as fx
 from .catalog import register
@@ -40,9 +39,9 @@ FULL_SQL = [CLUSTERED_SQL, ("folded", f"SELECT *, {md5_bits_sql('row_id')} % 2 A
 
 
 def _full_ledger(spark, sf):
-    led = fx.ledger(spark, sf)
-    s = clustered(spark, sf).withColumn("fold", F.pmod(md5_bits("row_id"), F.lit(2)))
-    test = rounded(evaluate(clustered(spark, sf), KEYS)).select(*KEYS, *[F.col(m).alias(f"test_{m}") for m in _MORE])
+    s = stored(fx.folded(clustered(spark, sf)), "predictions")   # read by every metric below
+    led = fx.ledger(spark, sf, s)
+    test = rounded(evaluate(s, KEYS)).select(*KEYS, *[F.col(m).alias(f"test_{m}") for m in _MORE])
     cv = rounded(fold_means(evaluate(s, KEYS + ["fold"]), KEYS)).select(*KEYS, *[f"cv_{m}" for m in _MORE])
     kind = F.element_at(F.array(*[F.lit(x) for x in fx.MODEL_TYPES]), F.col("model_id"))
     both = test.join(cv, KEYS).select(kind.alias("model_type"), F.concat(F.lit("test_"), "test_file", F.lit(".parquet")).alias("test_file_name"),

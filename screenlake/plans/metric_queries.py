@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import md5_bits
 from ..functions.maths import round6
 from ..operators import metrics as M
 from ..operators import ranking as R
@@ -211,8 +210,7 @@ CLUSTERED_SQL = ("clustered", "SELECT *, CAST(split_part(row_id, '-', 4) AS BIGI
     GROUP BY model_id, test_file""", "scored", extra=[
         CLUSTERED_SQL, ("folded", f"SELECT *, {md5_bits_sql('row_id')} % 2 AS fold FROM clustered")]))
 def q_cv_mean_metrics(spark, sf):
-    s = clustered(spark, sf).withColumn("fold", F.pmod(md5_bits("row_id"), F.lit(2)))
-    return rounded(fold_means(evaluate(s, KEYS + ["fold"]), KEYS))
+    return rounded(fold_means(evaluate(fx.folded(clustered(spark, sf)), KEYS + ["fold"], materialize=True), KEYS))
 
 
 # ranked metrics of whole test files from the states of their folds

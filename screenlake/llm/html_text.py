@@ -43,6 +43,7 @@ BESIDE = frozenset("""ad ads advert adverts advertisement advertising banner bre
 contentinfo complementary consent cookie cookies copyright disqus footer gdpr login masthead menu modal nav navbar navigation newsletter
 notice notices pager pagination popup promo promoted promotion recommended related replies reply respond search share sharing
 sidebar signup skip social sponsor sponsored subscribe toolbar widget widgets alert announcement toc""".split())
+ADVERTS = frozenset("ad ads advert adverts advertisement advertising".split())  # the page's own text in one only with an article
 READERS = frozenset("comment comments disqus replies reply respond".split())
 KEEP = frozenset(("html", "body", "article", "main"))
 SHARE, READERS_SHARE = 0.5, 0.9  # of the text in a box's surroundings; the second one for boxes named after READERS
@@ -125,6 +126,8 @@ class _Tree(HTMLParser):
             return None
         words = {w for name, value in attrs if name in ("class", "id", "role") and value
                  for w in value.lower().replace("-", " ").replace("_", " ").split()}
+        if not ADVERTS.isdisjoint(words):
+            return float("inf")
         if not READERS.isdisjoint(words):
             return READERS_SHARE
         return SHARE if tag == "form" or not BESIDE.isdisjoint(words) else None

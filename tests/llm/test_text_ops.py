@@ -154,6 +154,58 @@ def test_classifier_without_usable_labels(spark):
     assert toxicity.score_documents(docs.where("false"), toxicity.fit(docs, none)).count() == 0
 
 
+def test_every_labelled_text_is_trained_on_in_any_partitions(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SHARD", 100)
+    taken, train = [], toxicity._train
+
+    def seen(model, chunks, *more):
+        taken.append(chunks.select("shard", F.explode("ids").alias("id")).collect())
+        train(model, chunks, *more)
+
+    monkeypatch.setattr(toxicity, "_train", seen)
+    rows = _toxic_rows(700)
+    docs = docs_of(spark, [(i, t) for i, t, _ in rows])
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows] * 2, "doc_id long, toxic int")
+    models = [toxicity.fit(docs.repartition(n), labels.repartition(n), F.col("doc_id") % 3 != 1) for n in (2, 5)]
+    for got in taken:
+        assert sorted(int(r.id) for r in got) == [i for i, *_ in rows if i % 3 != 1] and len({r.shard for r in got}) > 3
+    a, b = models
+    assert np.array_equal(a.row, b.row) and np.allclose(a.emb, b.emb, atol=1e-5) and abs(a.shift - b.shift) < 1e-4
+    got = toxicity.score_documents(docs, a).collect()
+    right = [(r["score"] >= 0.7) == bool(rows[r["doc_id"]][2]) for r in got if r["doc_id"] % 3 == 1]
+    assert sum(right) / len(right) > 0.95
+
+
+def test_cuts_are_the_best_of_all_rows(spark):
+    rnd = random.Random(6)
+    rows = [(k, round(rnd.gauss(y, 1), 1), y) for k in "abc" for y in (0, 0, 1) for _ in range(150)]
+    got = toxicity._best_cuts(toxicity._cuts(spark.createDataFrame(rows, "kind string, x double, y int").repartition(5)))
+    for k in "abc":
+        mine = [(x, y) for kind, x, y in rows if kind == k]
+        xs = sorted({x for x, _ in mine})
+        ends = [xs[0] - 2, *xs, xs[-1] + 2]
+        cuts = [(-sum((x > (a + b) / 2) != y for x, y in mine), b - a, -a, (a + b) / 2) for a, b in zip(ends, ends[1:])]
+        assert got[k]["errors"] == -max(c[0] for c in cuts)
+        assert any(c[0] == max(cuts)[0] and c[1] > max(cuts)[1] - 1e-9 and abs(c[3] - got[k]["cut"]) < 1e-9 for c in cuts)
+        for y, c in ((1, "pos"), (0, "neg")):
+            assert got[k][c] == pytest.approx(np.median([x for x, label in mine if label == y]))
+
+
+def test_shorter_runs_of_words_that_tell_nothing_score_alike():
+    rng = np.random.default_rng(3)
+    model = toxicity.Model(rng)
+    model.row[:40] = np.arange(1, 41)
+    model.emb = rng.normal(size=(41, toxicity.DIM)).astype(np.float32)
+    model.emb[0] = 0
+    model.bias = [rng.normal(size=toxicity.FILTERS).astype(np.float32) for _ in toxicity.WIDTHS]
+    buckets = np.repeat(np.arange(400)[:, None], 5, axis=1).astype(np.int32)
+    sizes = np.array([0, 1, 2, 3, 4, 9, 60, 500, 0])
+    words = rng.integers(0, 400, sizes.sum())
+    kept, short = toxicity._compact(words, sizes, model.row[buckets].any(axis=1))
+    texts, less = (np.split(w, np.cumsum(n)[:-1]) for w, n in ((words, sizes), (kept, short)))
+    assert len(kept) < len(words) and np.allclose(model.logits(texts, buckets), model.logits(less, buckets), atol=1e-5)
+
+
 def test_long_texts_score_as_in_one_slice(monkeypatch):
     rng = np.random.default_rng(1)
     model = toxicity.Model(rng)

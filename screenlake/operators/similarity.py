@@ -23,7 +23,7 @@ Leader picking (a row is a leader unless an earlier leader is within the thresho
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -37,6 +37,7 @@ from ..session import cut_lineage
 
 EPS = 1e-9
 MOST_PROBES = 4096       # values of one part that a vector may probe
+PROBES = 256             # values of all parts that the mean vector may probe: more save comparisons, but all of them are shuffled
 FIRST_BLOCK = 512        # rows of the first block of leader picking; later ones double
 RANGE = 4096             # rows of a range of conflict edges that one task scans
 FEW = 4096               # leaders up to which rows are compared with a broadcast table of them
@@ -147,8 +148,9 @@ def plan_join(stats: BitStats, threshold: float, left: int | None = None, right:
         parts = tuple((a, b - a) for a, b in zip(cuts, cuts[1:]))
         taus = _taus(d_mean, k)
         rows = pairs * sum(_share_within([2 * f * (1 - f) for f in stats.share[a:a + w]], t) for (a, w), t in zip(parts, taus))
-        cost = rows + probing * (k + sum(_within(w, t) for (_, w), t in zip(parts, taus)))
-        best = min(best, (cost, parts))
+        probes = sum(_within(w, t) for (_, w), t in zip(parts, taus))
+        if probes <= max(PROBES, k):
+            best = min(best, (rows + probing * (k + probes), parts))
     return JoinPlan(threshold, stats.words, stats.most, tuple(rank), best[1])
 
 
@@ -186,14 +188,16 @@ def _prefix_candidates(left: DataFrame, right: DataFrame, plan: JoinPlan, self_j
     return lx.join(rx, "tok").filter(fits).filter(shared).select("id_l", "packed_l", "pop_l", "id_r", "packed_r", "pop_r")
 
 
+def _part(word_at: Callable[[int], Column], first: int, width: int) -> Column:
+    word, off = divmod(first, 64)
+    c = F.shiftrightunsigned(word_at(word), off)
+    if off + width > 64:
+        c = c.bitwiseOR(F.shiftleft(word_at(word + 1), 64 - off))
+    return c.bitwiseAND(F.lit((1 << width) - 1))
+
+
 def _with_parts(df: DataFrame, plan: JoinPlan) -> DataFrame:
-    def bits(first: int, width: int) -> Column:
-        word, off = divmod(first, 64)
-        c = F.shiftrightunsigned(F.get("packed", F.lit(word)), off)
-        if off + width > 64:
-            c = c.bitwiseOR(F.shiftleft(F.get("packed", F.lit(word + 1)), 64 - off))
-        return c.bitwiseAND(F.lit((1 << width) - 1))
-    return df.select("id", "packed", "pop", F.array(*[bits(*p) for p in plan.parts]).alias("parts"))
+    return df.select("id", "packed", "pop", F.array(*[_part(lambda w: F.get("packed", F.lit(w)), *p) for p in plan.parts]).alias("parts"))
 
 
 def _masks(width: int, tau: int) -> list[int]:
@@ -218,13 +222,15 @@ def _part_candidates(probe: DataFrame, index: DataFrame, plan: JoinPlan, smaller
           .select("*", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("part"))
           .withColumn("tau", F.col("base") - (F.col("part") >= F.col("rest")).cast("int")).filter("tau >= 0")
           .select("*", F.explode(F.get(masks, F.col("tau"))).alias("mask")))
-    lx = _sided(lx, "l", F.col("parts").alias("parts_l"), "base", "rest", "part",
-                F.get("parts", F.col("part")).bitwiseXOR(F.col("mask")).alias("value"))
-    rx = _with_parts(index, plan)
-    rx = _sided(rx, "r", F.col("parts").alias("parts_r"), F.posexplode("parts").alias("part", "value"))
+    # parts are taken from the words again after the join: probes are many, and would carry them all through the shuffle
+    lx = _sided(lx, "l", "base", "rest", "part", F.get("parts", F.col("part")).bitwiseXOR(F.col("mask")).alias("value"))
+    rx = _sided(_with_parts(index, plan), "r", F.posexplode("parts").alias("part", "value"))
+
+    def differ(w: int) -> Column:
+        return F.get("packed_l", F.lit(w)).bitwiseXOR(F.get("packed_r", F.lit(w)))
+
     first = reduce(lambda later, i: F.when(
-        F.bit_count(F.get("parts_l", F.lit(i)).bitwiseXOR(F.get("parts_r", F.lit(i))))
-        <= F.col("base") - (F.col("rest") <= i).cast("int"), i).otherwise(later), reversed(range(k)), F.lit(k))
+        F.bit_count(_part(differ, *plan.parts[i])) <= F.col("base") - (F.col("rest") <= i).cast("int"), i).otherwise(later), reversed(range(k)), F.lit(k))
     fits = smaller & (F.col("pop_r") >= F.col("pop_l") * t - EPS)
     return (lx.join(rx, ["part", "value"]).filter(fits & (first == F.col("part")))
             .select("id_l", "packed_l", "pop_l", "id_r", "packed_r", "pop_r"))

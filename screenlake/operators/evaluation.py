@@ -32,7 +32,8 @@ def evaluate(pred: DataFrame, keys: list[str], clusters: DataFrame | None = None
         # a *derived* prediction table (a model transform, a fused ensemble, hashed scores) is computed once into the shared
         # folder; a stored table is simply re-scanned (narrow columns), never rewritten
         pred = stored(pred, "predictions")
-    out = M.agreement_metrics(M.basic_metrics(M.state_metrics(M.evaluation_state(pred, keys), keys)))
+    parts = M.state_parts(pred, keys)
+    out = M.agreement_metrics(M.basic_metrics(M.state_metrics(M.evaluation_state(pred, keys, parts=parts), keys, parts)))
     for part in (R.hits_at_k(pred, keys, (200, 500)), R.plate_ppv(pred, keys, 128)):
         out = join_null_safe(out, part, keys)
     if clustered:

@@ -60,11 +60,25 @@ def agreement_metrics(counts: DataFrame) -> DataFrame:
 
 
 COUNTERS = ("pos", "neg", "pos_pred", "neg_pred", "rows")
+STATE_ROWS = 1 << 18     # rows of a state that one task aggregates or sorts
 
 
-def evaluation_state(pred: DataFrame, keys: list[str], score: str = PROBA) -> DataFrame:
+def state_parts(pred: DataFrame, keys: list[str], score: str = PROBA) -> int | None:
+    """Partitions for a state with too many rows for the session's number of them, by the (approximate) count of its rows;
+    else None.  A state compresses so well in the shuffle that sizes alone give tasks of many million rows."""
+    usual = int(pred.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if pred.count() <= usual * STATE_ROWS:
+        return None
+    rows = pred.agg(F.approx_count_distinct(F.struct(*keys, score))).first()[0]
+    return max(usual + 1, -(-rows // STATE_ROWS)) if rows > usual * STATE_ROWS else None
+
+
+def evaluation_state(pred: DataFrame, keys: list[str], score: str = PROBA, parts: int | None = None) -> DataFrame:
     """One row per (group, distinct score) with what every count and curve needs: positives and negatives, those of them
-    predicted 1, all rows.  States of parts of a table add up (``merged_state``)."""
+    predicted 1, all rows.  States of parts of a table add up (``merged_state``).  ``parts`` partitions (``state_parts``), where
+    rows are dealt before they are aggregated, since most of them have a score of their own."""
+    if parts:
+        pred = pred.select(*keys, score, TRUE, PRED).repartition(parts, *keys, score)
     t, p = F.col(TRUE), F.col(PRED)
     return pred.groupBy(*keys, F.col(score).alias("score")).agg(
         F.count_if(t == 1).alias("pos"), F.count_if(t == 0).alias("neg"),
@@ -72,10 +86,11 @@ def evaluation_state(pred: DataFrame, keys: list[str], score: str = PROBA) -> Da
         F.count(F.lit(1)).alias("rows"))
 
 
-def merged_state(states: list[DataFrame], keys: list[str]) -> DataFrame:
+def merged_state(states: list[DataFrame], keys: list[str], parts: int | None = None) -> DataFrame:
     """The state of several states' rows together, grouped by ``keys`` (some of theirs)."""
     columns = [*keys, "score", *COUNTERS]
     every = reduce(DataFrame.unionByName, [s.select(*columns) for s in states])
+    every = every.repartition(parts, *keys, "score") if parts else every
     return every.groupBy(*keys, "score").agg(*[F.sum(c).alias(c) for c in COUNTERS])
 
 
@@ -103,7 +118,8 @@ def state_metrics(state: DataFrame, keys: list[str], buckets: int | None = None)
 
 def ranked_metrics(pred: DataFrame, keys: list[str], score: str = PROBA, buckets: int | None = None) -> DataFrame:
     """AUC-ROC and average precision per group."""
-    return state_metrics(evaluation_state(pred, keys, score), keys, buckets).select(*keys, "auc_roc", "average_precision")
+    parts = state_parts(pred, keys, score)
+    return state_metrics(evaluation_state(pred, keys, score, parts), keys, buckets or parts).select(*keys, "auc_roc", "average_precision")
 
 
 def auc_roc(pred: DataFrame, keys: list[str], score: str = PROBA) -> DataFrame:

@@ -25,7 +25,8 @@ def running_sums(df: DataFrame, keys: list[str], order_col: str, value_cols: lis
     """Add ``cum_<v>`` = sum of v over rows of the same keys with order_col <= current, and with ``totals`` as prefix the
     group's sums.  ``order_col`` must be unique within ``keys`` (aggregate ties first).  ``buckets`` ranges, by default as many
     as the session has shuffle partitions."""
-    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = buckets or usual
     placed = cut_lineage(df.repartitionByRange(n, *keys, order_col).withColumn("_bucket", F.spark_partition_id()))
     sums = placed.groupBy(*keys, "_bucket").agg(*[F.sum(v).alias(f"_tot_{v}") for v in value_cols])
     group = Window.partitionBy(*keys)
@@ -33,10 +34,13 @@ def running_sums(df: DataFrame, keys: list[str], order_col: str, value_cols: lis
     offsets = sums.select(*keys, "_bucket", *[F.coalesce(F.sum(f"_tot_{v}").over(before), F.lit(0)).alias(f"_off_{v}") for v in value_cols],
                           *([F.sum(f"_tot_{v}").over(group).alias(f"{totals}{v}") for v in value_cols] if totals else []))
     local = Window.partitionBy(*keys, "_bucket").orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = join_null_safe(placed, offsets, keys + ["_bucket"])
+    # more ranges than the session has partitions: as many tasks sort them
+    own = placed.repartition(n, *keys, "_bucket") if n > usual else placed
+    own = own.select("*", *[F.sum(v).over(local).alias(f"_own_{v}") for v in value_cols])
+    out = join_null_safe(own, offsets, keys + ["_bucket"])
     for v in value_cols:
-        out = out.withColumn(f"{prefix}{v}", F.col(f"_off_{v}") + F.sum(v).over(local))
-    return out.drop("_bucket", *[f"_off_{v}" for v in value_cols])
+        out = out.withColumn(f"{prefix}{v}", F.col(f"_off_{v}") + F.col(f"_own_{v}"))
+    return out.drop("_bucket", *[f"_{k}_{v}" for k in ("off", "own") for v in value_cols])
 
 
 def global_rank(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:

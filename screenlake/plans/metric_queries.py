@@ -219,8 +219,9 @@ def q_cv_mean_metrics(spark, sf):
     FROM ({counts_sql('scored', 'model_id')}) JOIN {ranked_sql('scored', 'model_id')} USING (model_id)""", "scored"))
 def q_merged_state_metrics(spark, sf):
     s = fx.scored(spark, sf)
-    files = [M.evaluation_state(s.filter(F.col("test_file") == f), ["model_id", "test_file"]) for f in ("F", "O")]
-    return rounded(M.state_metrics(M.merged_state(files, ["model_id"]), ["model_id"]))
+    parts = M.state_parts(s, KEYS)
+    files = [M.evaluation_state(s.filter(F.col("test_file") == f), KEYS, parts=parts) for f in ("F", "O")]
+    return rounded(M.state_metrics(M.merged_state(files, ["model_id"], parts), ["model_id"], parts))
 
 
 EVAL_SELECT = eval_select("clustered")

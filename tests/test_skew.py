@@ -53,3 +53,19 @@ def test_exact_sample_under_skew(spark):
     out = S.balance(lab, "y", "row_id", [1, 3])
     counts = {(r.ratio, r.y): r["count"] for r in out.groupBy("ratio", "y").count().collect()}
     assert counts == {(1.0, 0): 50, (1.0, 1): 50, (3.0, 0): 150, (3.0, 1): 50}
+
+
+def test_large_states_are_dealt_over_more_tasks(spark, monkeypatch):
+    rows, df = _skewed(spark, n_hot=6000)
+    df = df.withColumn("y_proba", F.col("y_proba") + F.length("row_id") / 1000 + F.xxhash64("row_id") % 997 * 1e-7)
+    want = {r.g: r for r in M.state_metrics(M.merged_state([M.evaluation_state(df, ["g"])], ["g"]), ["g"]).collect()}
+    monkeypatch.setattr(M, "STATE_ROWS", 200)
+    parts = M.state_parts(df, ["g"])
+    assert 20 < parts < 60 and M.state_parts(df.withColumn("y_proba", F.lit(0.5)), ["g"]) is None
+    halves = [M.evaluation_state(df.filter(F.xxhash64("row_id") % 2 == k), ["g"], parts=parts) for k in (0, 1, -1)]
+    state = M.merged_state(halves, ["g"], parts)
+    sizes = state.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > 20 and max(r["count"] for r in sizes) < 600
+    got = {r.g: r for r in M.state_metrics(state, ["g"], parts).collect()}
+    for g in ("hot", "cold"):
+        assert all(got[g][c] == pytest.approx(want[g][c]) for c in want[g].asDict() if c != "g")

@@ -155,7 +155,7 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (id, toxic, lang, text) of a shard, in order, as ``CHUNKS``: words as numbers of rows of ``buckets``.
 
     Of rows of one id, which follow each other, the first counts.  Every fifth one is held back."""
-    table, last, seen, chunk = _Words(), None, 0, 0
+    table, last, seen, chunk = _Words(100_000), None, 0, 0
     shard = TaskContext.get().partitionId()
     for batch in batches:
         for at in range(0, batch.num_rows, CHUNK):

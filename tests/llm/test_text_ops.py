@@ -563,6 +563,36 @@ def test_links_of_a_region_keep_its_components():
         assert {(max(x), min(x)) for x in found} <= set(every) and labels(found) == labels(every)
 
 
+def test_pieces_make_the_bitmap():
+    rnd = np.random.default_rng(4)
+    for n in (0, 1, 5000):
+        spot = np.unique(rnd.integers(0, 1 << 16, n))
+        for buckets in (1, 7, 3000):
+            out = np.zeros(1 << 10, np.int64)
+            for _, at in jaccard_join._by_bucket(spot, 1 << 16, buckets):
+                for r in jaccard_join._piece(spot[at]).to_pylist():
+                    words = np.frombuffer(r["words"], "<i8")
+                    assert not out[r["at"]:r["at"] + len(words)].any()  # no two buckets share a word
+                    out[r["at"]:r["at"] + len(words)] = words
+            assert np.flatnonzero(jaccard_join._holds(out, np.arange(1 << 16))).tolist() == spot.tolist()
+    assert jaccard_join._piece(np.zeros(0, np.int64)).num_rows == 0
+
+
+def test_driver_gets_pieces_and_no_rows_of_the_join(spark, monkeypatch):
+    """Bitmaps of cells, frequent shingles and sets reach the driver as a few pieces, whatever they hold."""
+    rnd, got = random.Random(3), []
+    common = " ".join(f"c{i}" for i in range(400))
+    rows = [(2 * i + j, " ".join(w) + f" {common}" * (i % 2)) for i in range(60) for w in [[f"w{rnd.random()}" for _ in range(600)]] for j in range(2)]
+    rows = [(d, t + " end" * (d % 2)) for d, t in rows]
+    docs = docs_of(spark, rows)
+    for name in ("collect", "toPandas"):
+        monkeypatch.setattr(type(docs), name, lambda self, f=getattr(type(docs), name): got.append(len(out := f(self))) or out)
+    _, links = jaccard_join.jaccard_join(docs, 5, Fraction(4, 5))
+    monkeypatch.undo()
+    assert links.count() == 60
+    assert got and max(got) <= 1024 and sum(got) < 2000
+
+
 def test_empty_documents_table(spark):
     none = docs_of(spark, HARD).where("false")
     assert jaccard_join.one_of_each(none).count() == 0

@@ -12,7 +12,7 @@ for which bit frequencies predict fewer rows, and the pairs found are the same:
   sum(tau + 1) = D + 1 make one part differ in at most tau bits (pigeonhole), so the vector with more bits probes every
   value of a part within its tau, the other one its own value.  A pair counts at its first such part alone.
 
-Hot bits and part values are spread by AQE's skew-join splitting.
+Both joins are always shuffled; hot bits and part values are spread by AQE's skew-join splitting.
 
 Leader picking (a row is a leader unless an earlier leader is within the threshold) is the sequential scan's result:
   take a block of undecided rows, the first in id order (blocks double in size); join the block with itself; settle its
@@ -166,6 +166,12 @@ def _sided(df: DataFrame, side: str, *more: Column) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{c}_{side}") for c in ("id", "packed", "pop")], *more)
 
 
+def _shuffled(df: DataFrame) -> DataFrame:
+    """For a join with tokens or probes: the planner takes exploded rows for as many as there were vectors, and so would
+    broadcast hundreds of times what it allows, by way of the driver's memory."""
+    return df.hint("merge")
+
+
 def _prefixed(df: DataFrame, plan: JoinPlan, side: str) -> DataFrame:
     """A row for each prefix bit (``tok``, as rank) with its place in the rarest-first order (``at``)."""
     rank = F.expr("array(" + ", ".join(map(str, plan.rank)) + ")") if plan.rank else F.array().cast("array<int>")
@@ -185,7 +191,7 @@ def _prefix_candidates(left: DataFrame, right: DataFrame, plan: JoinPlan, self_j
         fits &= F.col("id_l") < F.col("id_r")
     # the array test is the dearer one: codegen filters come first
     shared = F.array_min(F.array_intersect("prefix_l", "prefix_r")) == F.col("tok")
-    return lx.join(rx, "tok").filter(fits).filter(shared).select("id_l", "packed_l", "pop_l", "id_r", "packed_r", "pop_r")
+    return lx.join(_shuffled(rx), "tok").filter(fits).filter(shared).select("id_l", "packed_l", "pop_l", "id_r", "packed_r", "pop_r")
 
 
 def _part(word_at: Callable[[int], Column], first: int, width: int) -> Column:
@@ -232,7 +238,7 @@ def _part_candidates(probe: DataFrame, index: DataFrame, plan: JoinPlan, smaller
     first = reduce(lambda later, i: F.when(
         F.bit_count(_part(differ, *plan.parts[i])) <= F.col("base") - (F.col("rest") <= i).cast("int"), i).otherwise(later), reversed(range(k)), F.lit(k))
     fits = smaller & (F.col("pop_r") >= F.col("pop_l") * t - EPS)
-    return (lx.join(rx, ["part", "value"]).filter(fits & (first == F.col("part")))
+    return (lx.join(_shuffled(rx), ["part", "value"]).filter(fits & (first == F.col("part")))
             .select("id_l", "packed_l", "pop_l", "id_r", "packed_r", "pop_r"))
 
 

@@ -197,3 +197,16 @@ def test_probes_of_a_vector_do_not_grow_with_the_table(spark):
     prep = SIM.prepare(table(spark, half_full(20)), "row_id", "bits")
     found = SIM.candidates(prep, prep, plan, self_join=True)
     assert "parts_l" not in found._jdf.queryExecution().analyzed().toString()
+
+
+def test_probes_and_tokens_are_never_broadcast(spark):
+    """After the vectors' own exchange a table of 120,000 looked small enough, and all its probes went through the driver."""
+    bits = half_full(300, seed=12)
+    prep = SIM.prepare(table(spark, bits), "row_id", "bits")
+    for parts in (0, 8):
+        plan = forced(prep, 0.5, parts)
+        for found in (SIM.similarity_join(prep, prep, plan, self_join=True), SIM.similarity_join(prep.filter("id < 9"), prep, plan)):
+            run = found._jdf.queryExecution()
+            assert "SortMergeJoin" in run.executedPlan().toString()
+            n = run.executedPlan().executeCollect()
+            assert len(list(n)) and "Broadcast" not in run.executedPlan().toString()

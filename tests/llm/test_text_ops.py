@@ -7,8 +7,10 @@ import re
 import time
 import zlib
 from fractions import Fraction
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -611,3 +613,38 @@ def test_connected_components(spark):
     pairs = {(find(n), lab) for n, lab in got.items()}
     assert len({a for a, _ in pairs}) == len({b for _, b in pairs}) == len(pairs)
     assert components.components(spark.createDataFrame([], "a string, b string")).count() == 0
+
+
+def test_size_estimates_do_not_grow_with_the_rounds(spark):
+    """(Before, the planner's estimate of bytes had three times as many digits after each round, in the driver's memory.)"""
+    name = [hashlib.md5(str(i).encode()).hexdigest() for i in range(301)]
+    got = components.components(spark.createDataFrame(list(zip(name, name[1:])), "a string, b string"))
+    assert got.count() == 301 and got.select("label").distinct().count() == 1
+    assert got._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 10 ** 9
+
+
+def test_pairs_of_a_large_region_have_all_links():
+    """(Before, each set of a large region without a link took its turn in a round of 32 pivots.)"""
+    rnd, none = random.Random(6), SimpleNamespace(value=np.zeros(jaccard_join.HEAVY_BITS // 64, np.int64))
+    for near in (Fraction(4, 5), Fraction(1, 2)):
+        word = lambda: rnd.getrandbits(64)
+        bases = [[word() for _ in range(rnd.randint(1, 60))] for _ in range(8)]
+        sets = [np.unique(np.array(rnd.sample(b, max(1, len(b) - rnd.randint(0, 6))) + [word() for _ in range(rnd.randint(0, 6))], np.uint64))
+                for b in bases for _ in range(8)]
+        keys = [jaccard_join.set_key(s) for s in sets]
+        of = dict(zip(keys, sets))
+        batch = pa.RecordBatch.from_pydict({"key": pa.array(keys, pa.binary()), "tokens": pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary()),
+                                            "label": pa.array(keys, pa.binary())})
+        seats = pa.Table.from_batches(jaccard_join._seats(near, none)([batch])).sort_by([("cell", "ascending"), ("key", "ascending")])
+        want = {(max(a, b), min(a, b)) for a in of for b in of if a != b
+                and jaccard_join._linked(len(np.intersect1d(of[a], of[b])), len(of[a]), len(of[b]), near)}
+        for size in (211, 100_000):  # cells may go on in the next batch
+            rows = pa.Table.from_batches(jaccard_join._pairs(near, True)(seats.to_batches(size))).to_pylist()
+            every = {(r["a"], r["b"]) for r in rows}
+            assert len(want) > 50 and want <= every and len(every) < 3 * len(want) + 300
+            one = pa.Table.from_batches(jaccard_join._pairs(near, False)(seats.to_batches(size))).to_pylist()
+            assert {(r["a"], r["b"]) for r in one} <= every and {a for a, _ in want} <= {r["a"] for r in one}
+        tokens = lambda ks: pa.array([of[k].astype("<u8").tobytes() for k in ks], pa.binary())
+        a, b = zip(*sorted(every))
+        met = pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), tokens(a), tokens(b)], names=["a", "b", "tokens_a", "tokens_b"])
+        assert {(r["a"], r["b"]) for out in jaccard_join._verified(near)([met]) for r in out.to_pylist()} == want
